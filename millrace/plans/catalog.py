@@ -1,4 +1,4 @@
 """All registered queries: importing the modules fills the registry."""
 
-from millrace.plans import q_tables  # noqa: F401
+from millrace.plans import q_tables, q_clean, q_quality  # noqa: F401
 from millrace.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -22,6 +22,7 @@ def build_session(app: str = "millrace", master: str | None = None, partitions:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         b = b.master(master)
