@@ -79,6 +79,14 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def stream(self, name: str) -> DataFrame:
+        """A table as a file stream.
+
+        A file source wants a folder or a glob; the glob fits a table that is one file as well
+        as one that is a folder of files.
+        """
+        return self.spark.readStream.schema(getattr(self, name).schema).parquet(f"{self.folder}/{name}.parque[t]")
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
