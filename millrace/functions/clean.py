@@ -32,8 +32,8 @@ def strip(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Double for number-shaped text, else NULL."""
-    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast("double"))
+    """Double for number-shaped text, else NULL. The text is evaluated once."""
+    return F.regexp_extract(text, NUMBER_SHAPE, 0).try_cast("double")
 
 
 def clean_email(email: Column) -> Column:
@@ -45,12 +45,19 @@ def email_errors(email: Column) -> Column:
     return errors((given & ~F.contains(email, F.lit("@")), F.concat(F.lit("Invalid email format: "), email)))
 
 
-def parse_amount(text: Column) -> Column:
+def _without_currency(text: Column) -> Column:
+    for mark in ("$", "Rp", " "):
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
+def parse_amounts(df: DataFrame, text: str, out: str) -> DataFrame:
     """Amount from US (1,234.56), European (1.234,56) or Indonesian (1.234.567) text.
 
-    Empty is 0; text that is no number is NULL.
+    Empty is 0; text that is no number is NULL. The text without its currency marks is a column
+    of its own, so that the branches below share it instead of computing it again.
     """
-    bare = F.regexp_replace(text, r"\$|Rp| ", "")
+    bare = F.col("_bare")
     comma, dot = F.instr(bare, ","), F.instr(bare, ".")
     no_commas, no_dots = F.replace(bare, F.lit(","), F.lit("")), F.replace(bare, F.lit("."), F.lit(""))
     decimals_after = {c: F.length(F.substring_index(bare, c, -1)) for c in ",."}
@@ -61,12 +68,14 @@ def parse_amount(text: Column) -> Column:
         .when((dot > 0) & (several_dots | (decimals_after["."] == 3)), no_dots)
         .otherwise(bare)
     )
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0.0)).otherwise(to_number(plain))
+    empty = F.coalesce(F.col(text), F.lit("")) == ""
+    return (df.withColumn("_bare", _without_currency(F.col(text)))
+            .withColumn(out, F.when(empty, F.lit(0.0)).otherwise(to_number(plain))).drop("_bare"))
 
 
 def parse_amount_lenient(text: Column) -> Column:
     """Amount with symbols and commas removed; anything else is 0."""
-    return F.coalesce(to_number(F.regexp_replace(text, r"\$|Rp| |,", "")), F.lit(0.0))
+    return F.coalesce(to_number(F.replace(_without_currency(text), F.lit(","), F.lit(""))), F.lit(0.0))
 
 
 def parse_instant(text: Column) -> Column:

@@ -58,11 +58,17 @@ def conditional_pivot(df: DataFrame, keys: Sequence[str], label: str, value: Col
     return df.groupBy(*keys).agg(*[F.max(F.when(F.col(label) == want, value)).alias(name) for want, name in names.items()])
 
 
-def sales_by_product(df: DataFrame, product: str, amount: str, quantity: str) -> DataFrame:
-    """Σ amount × quantity per product; rows without a product are skipped, a missing quantity is 1, a missing amount 0."""
+def sales_by_product(df: DataFrame, product: str, amount: str, quantity: str, valid: Column | None = None) -> DataFrame:
+    """Σ amount × quantity per product; rows without a product are skipped, a missing quantity is 1, a missing amount 0.
+
+    Rows that are not ``valid`` do not count, and a product with no other rows is left out.
+    """
     total = F.coalesce(F.col(amount), F.lit(0)).cast("decimal(18,2)") * F.coalesce(F.col(quantity), F.lit(1)).cast("decimal(10,0)")
-    return (df.where(F.col(product).isNotNull() & (F.col(product) != ""))
-            .groupBy(product).agg(F.sum(total).cast("double").alias("total_sales")))
+    sold = df.where(F.col(product).isNotNull() & (F.col(product) != "")).groupBy(product)
+    if valid is None:
+        return sold.agg(F.sum(total).cast("double").alias("total_sales"))
+    sums = sold.agg(F.sum(F.when(valid, total)).cast("double").alias("total_sales"))
+    return sums.where("total_sales IS NOT NULL")
 
 
 def trade_summary(df: DataFrame, symbol: str, price: str, quantity: Column, batch_date: Column) -> DataFrame:
@@ -143,9 +149,11 @@ def mention_counts(docs: DataFrame, text: str, keywords: Sequence[str]) -> DataF
 
     One scan and one aggregated row, turned into one row per keyword.
     """
-    low = F.lower(text)
     edge = r"[^\p{L}\p{N}_]"
-    hits = docs.agg(*[F.count_if(low.rlike(f"(^|{edge}){k}($|{edge})")).alias(f"_k{i}") for i, k in enumerate(keywords)])
+    low = docs.select(F.lower(text).alias("_low"))
+    # The plain substring test spares most texts the pattern.
+    hits = low.agg(*[F.count_if(F.col("_low").contains(k) & F.col("_low").rlike(f"(^|{edge}){k}($|{edge})")).alias(f"_k{i}")
+                     for i, k in enumerate(keywords)])
     pairs = [F.struct(F.lit(k).alias("keyword"), F.coalesce(f"_k{i}", F.lit(0)).alias("documents")) for i, k in enumerate(keywords)]
     return hits.select(F.inline(F.array(*pairs)))
 

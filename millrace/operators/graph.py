@@ -22,9 +22,11 @@ def pagerank(edges: DataFrame, reset: float = 0.15, iterations: int = 10) -> Dat
     count = nodes.count()
     ranks = nodes.withColumn("rank", F.lit(1.0 / count))
     for _ in range(iterations):
-        received = shares.join(ranks.select(F.col("id").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("id")).agg(
-            F.sum(F.col("rank") * F.col("share")).alias("received"))
+        passed = shares.join(ranks.select(F.col("id").alias("src"), "rank"), "src").select(
+            F.col("dst").alias("id"), F.lit(0).alias("has_out"), (F.col("rank") * F.col("share")).alias("part"))
+        received = passed.unionByName(nodes.withColumn("part", F.lit(0.0))).groupBy("id").agg(
+            F.max("has_out").alias("has_out"), F.sum("part").alias("received"))
         lost = ranks.agg(F.coalesce(F.sum(F.when(F.col("has_out") == 0, F.col("rank"))), F.lit(0.0)).alias("lost")).scalar()
-        rank = reset / count + (1 - reset) * (F.coalesce("received", F.lit(0.0)) + lost / count)
-        ranks = stage(nodes.join(received, "id", "left").select("id", "has_out", rank.alias("rank")), "ranks")
+        rank = reset / count + (1 - reset) * (F.col("received") + lost / count)
+        ranks = stage(received.select("id", "has_out", rank.alias("rank")), "ranks")
     return ranks.select("id", "rank")

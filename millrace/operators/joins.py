@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.runs import MAX_GROUP_ROWS
+from millrace.operators.runs import MAX_GROUP_ROWS, largest_group
 from millrace.operators.windows import _join_null_safe, locf
 
 MAX_BROADCAST_ROWS = 200_000
@@ -65,7 +65,9 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by
     at = sign * _at(left, left_on)
     probes = left.select(*by, at.alias("_at")).distinct()
     probes = probes.select(*by, "_at", F.lit(1).alias("_side"), F.lit(None).cast(marks.schema["_val"].dataType).alias("_val"))
-    filled = locf(marks.unionByName(probes), by, ["_at", "_side"], "_val", "_found", max_group_rows)
+    # Rows before the distinct bound the group sizes without running the distinct twice.
+    sizes = largest_group(left.select(*by, F.lit(1).alias("_one")).unionByName(right.select(*by, F.lit(1).alias("_one"))), by)
+    filled = locf(marks.unionByName(probes), by, ["_at", "_side"], "_val", "_found", max_group_rows, sizes)
     found = filled.where("_side = 1").select(*by, "_at", "_found")
     joined = _join_null_safe(left.withColumn("_at", at), found, [*by, "_at"]).drop("_at")
     return joined.select("*", *[F.col(f"_found.{n}").alias(n) for n in values.values()]).drop("_found")

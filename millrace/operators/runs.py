@@ -38,14 +38,17 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return row[0] or 0, row[1] or 0
 
 
-def split_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int | None = None) -> Runs:
+def split_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int | None = None,
+               sizes: tuple[int, int] | None = None) -> Runs:
     """Give every row a run number; one run only if no group is larger than the limit.
 
+    ``sizes`` passes what ``largest_group`` found (or an upper bound of it), to spare the count.
+
     ``order`` names ascending columns that, with the keys, identify a row: a total order is
     what lets the range partitioner cut anywhere.
     """
     limit = max_group_rows or MAX_GROUP_ROWS
-    biggest, total = largest_group(df, keys)
+    biggest, total = sizes or largest_group(df, keys)
     if biggest <= limit:
         return Runs(df, False)
     runs = 2 * math.ceil(total / limit)

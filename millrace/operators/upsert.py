@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.windows import dedup_rows
 from millrace.session import stage
-from millrace.sources.files import path_exists
+from millrace.sources.files import path_exists, write_partitioned
 
 MERGES: dict[str, Callable[[Column, Column], Column]] = {
     "new": lambda old, new: new,
@@ -54,20 +54,19 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     scratch folder first, then replace those partitions; the same batch again gives the same table.
     A row must not move between partitions: the partition columns are part of or follow from the key.
     """
-    if path_exists(spark, path):
+    if not path_exists(spark, path):
+        write_partitioned(batch, path, partition_by)
+    else:
         table = spark.read.schema(batch.schema).parquet(path)
         touched = batch.select(*partition_by).distinct()
         current = table.join(touched, list(partition_by), "left_semi").select(*batch.columns)
         merged = upsert_merge(current, batch, keys, rules) if rules else upsert_replace(current, batch, keys)
-    else:
-        merged = batch
-    ready = stage(merged, "upsert")
-    (ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+        write_partitioned(stage(merged, "upsert"), path, partition_by)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace the partitions the rows belong to; a rerun gives the same table."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    write_partitioned(df, path, partition_by)
 
 
 def newer_rows(source: DataFrame, target: DataFrame, ts: str, lookback: timedelta | None = None) -> DataFrame:

@@ -70,9 +70,9 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
-                  max_group_rows: int | None = None) -> DataFrame:
+                  max_group_rows: int | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
     """Sum of ``value`` from the start of the group to the current row."""
-    runs = split_runs(df, keys, order, max_group_rows)
+    runs = split_runs(df, keys, order, max_group_rows, sizes)
     upto = local_window(runs, keys, order).rowsBetween(Window.unboundedPreceding, 0)
     local = F.sum(value).over(upto)
     if not runs.split:
@@ -83,13 +83,13 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Mapping[str, Column | str],
-              previous: bool = True, max_group_rows: int | None = None) -> DataFrame:
+              previous: bool = True, max_group_rows: int | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
     """Add columns taken from the previous (or next) row of the group.
 
     ``cols`` maps each new name to an expression evaluated on the neighbour row.
     """
     picked = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in cols.items()])
-    runs = split_runs(df, keys, order, max_group_rows)
+    runs = split_runs(df, keys, order, max_group_rows, sizes)
     w = local_window(runs, keys, order)
     near = (F.lag if previous else F.lead)(picked).over(w)
     if not runs.split:
@@ -115,9 +115,9 @@ def lag_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
 
 
 def locf(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str,
-         max_group_rows: int | None = None) -> DataFrame:
+         max_group_rows: int | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
     """Last non-NULL ``value`` at or before the row within the group."""
-    runs = split_runs(df, keys, order, max_group_rows)
+    runs = split_runs(df, keys, order, max_group_rows, sizes)
     w = local_window(runs, keys, order).rowsBetween(Window.unboundedPreceding, 0)
     local = F.last(value, ignorenulls=True).over(w)
     if not runs.split:
@@ -188,10 +188,11 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_second
                max_group_rows: int | None = None) -> DataFrame:
     """Number the sessions of each key: a new one starts after more than ``gap_seconds`` of silence."""
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    prev = neighbour(df.withColumn("_at", at), keys, [ts, tie], {"_prev": "_at"}, True, max_group_rows)
+    sizes = largest_group(df, keys)
+    prev = neighbour(df.withColumn("_at", at), keys, [ts, tie], {"_prev": "_at"}, True, max_group_rows, sizes)
     starts = F.col("_prev").isNull() | (F.col("_at") - F.col("_prev") > gap_seconds * 1_000_000)
     flagged = prev.withColumn("_new", starts.cast("int"))
-    return running_total(flagged, keys, [ts, tie], F.col("_new"), name, max_group_rows).drop("_at", "_prev", "_new")
+    return running_total(flagged, keys, [ts, tie], F.col("_new"), name, max_group_rows, sizes).drop("_at", "_prev", "_new")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],

@@ -32,7 +32,7 @@ def _(t):
     raw = (F.when(k == 0, F.concat(F.lit("$"), us)).when(k == 1, F.translate(us, ",.", ".,"))
            .when(k == 2, F.concat(F.lit("Rp "), F.translate(F.format_number(F.floor("o_totalprice"), 0), ",", ".")))
            .when(k == 3, F.col("o_totalprice").cast("string")).when(k == 4, "").otherwise("n/a"))
-    return t.orders.select("o_orderkey", clean.parse_amount(raw).alias("amount"))
+    return clean.parse_amounts(t.orders.select("o_orderkey", raw.alias("raw")), "raw", "amount").drop("raw")
 
 
 @query("c03_parse_amounts_lenient", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_totalprice WHEN 1 THEN floor(o_totalprice) ELSE 0.0 END AS amount FROM orders")

@@ -203,7 +203,7 @@ def _(t):
     n = F.col("l_linenumber")
     raw = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.when(F.col("l_suppkey") % 9 == 0, "no-at-sign").otherwise(F.concat(F.lit("  User"), "l_suppkey", F.lit("@Shop.COM "))).alias("user_email"),
-        F.col("p_name").alias("product"), F.when(n == 4, "free").otherwise(F.concat(F.lit("$"), F.format_number("l_extendedprice", 2))).alias("amount"),
+        F.col("p_name").alias("product"), F.when(n == 4, "free").otherwise(F.concat(F.lit("$"), F.col("l_extendedprice").cast("string"))).alias("amount"),
         F.when(n != 2, F.col("l_quantity")).alias("quantity"),
         F.when(n == 5, "someday").when(n == 1, F.unix_millis(F.col("l_shipdate").cast("timestamp")).cast("string"))
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("timestamp"))
@@ -211,22 +211,22 @@ def _(t):
 
 
 @query("e11_graded_scores", """
-WITH s AS (SELECT event_id AS id, event_type AS name, CASE WHEN event_id % 10 <> 0 THEN value / 5 END AS score, ts AS created_at FROM events),
+WITH s AS (SELECT event_id AS id, event_type AS name, CASE WHEN event_id % 10 <> 0 THEN least(value / 5, 100.0) END AS score, ts AS created_at FROM events),
 m AS (SELECT CAST(sum(CAST(score AS DECIMAL(18,4))) AS DOUBLE) / count(score) AS mean FROM s), f AS (SELECT id, name, coalesce(score, (SELECT mean FROM m)) AS score, created_at FROM s)
 SELECT *, CASE WHEN score >= 90 THEN 'A' WHEN score >= 80 THEN 'B' WHEN score >= 70 THEN 'C' WHEN score >= 60 THEN 'D' ELSE 'F' END AS grade, 'b7' AS batch_id, '1.0.0' AS pipeline_version,
   'scores' AS source_name, TIMESTAMP '2024-02-01 00:00:00' AS processed_at FROM f
 """)
 def _(t):
     scores = t.events.select(F.col("event_id").alias("id"), F.col("event_type").alias("name"),
-                             F.when(F.col("event_id") % 10 != 0, F.col("value") / 5).alias("score"), F.col("ts").alias("created_at"))
+                             F.when(F.col("event_id") % 10 != 0, F.least(F.col("value") / 5, F.lit(100.0))).alias("score"), F.col("ts").alias("created_at"))
     return flows.graded_scores(scores, scratch_path(t.spark, "graded"), "b7", datetime(2024, 2, 1))
 
 
 @query("e12_contract_batch", """
-SELECT event_type AS symbol, CAST(ts AS DATE) AS batch_date, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price, min(value) AS min_price, max(value) AS max_price,
+SELECT event_type AS symbol, CAST(ts AS DATE) AS batch_date, CAST(sum(CAST(value + 1 AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price, min(value + 1) AS min_price, max(value + 1) AS max_price,
   CAST(sum(CAST(json_extract(props, '$.k') AS DOUBLE)) AS DOUBLE) AS total_quantity, count(*) AS trade_count FROM events WHERE event_id % 20 <> 0 GROUP BY 1, 2
 """)
 def _(t):
-    batch = t.events.select(F.col("event_type").alias("symbol"), F.when(F.col("event_id") % 20 == 0, "n/a").otherwise(F.col("value").cast("string")).alias("price"),
+    batch = t.events.select(F.col("event_type").alias("symbol"), F.when(F.col("event_id") % 20 == 0, "n/a").otherwise((F.col("value") + 1).cast("string")).alias("price"),
                             F.unix_seconds(F.col("ts").cast("timestamp")).alias("event_time"), F.from_json("props", "k float")["k"].alias("volume"))
     return flows.contract_batch(batch, TRADE_V2, scratch_path(t.spark, "contract"))[0]

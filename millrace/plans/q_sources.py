@@ -92,7 +92,7 @@ def _(t):
     return out
 
 
-TRADE_V2 = """{"type": "record", "name": "CryptoTrade", "fields": [
+TRADE_V2 = """{"type": "record", "name": "Trade", "fields": [
   {"name": "symbol", "type": "string"}, {"name": "price", "type": "double"}, {"name": "event_time", "type": "long"},
   {"name": "volume", "type": "float", "default": 0.0}]}"""
 
@@ -495,7 +495,7 @@ def _(t):
 @query("s10_keyed_state", "SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS events, round(sum(value), 2) AS total, max(ts) AS last_seen FROM events GROUP BY 1")
 def _(t):
     path = scratch_path(t.spark, "activity")
-    st.start_query(st.keyed_activity(event_stream(t), "user_id", "event_time", "value"), scratch_path(t.spark, "offsets"), "update",
+    st.start_query(st.keyed_activity(t.stream("events"), "user_id", "ts", "value", "10 minutes"), scratch_path(t.spark, "offsets"), "update",
                    write=st.append_sink(path)).awaitTermination()
     # A query over all available input may end with an extra batch in which idle keys expire.
     newest = windows.latest_per_key(t.spark.read.parquet(path).where("NOT expired"), ["key"], ["last_seen", "events"])
@@ -605,11 +605,12 @@ def _(t):
 
 @query("m01_fit_and_score")
 def _(t):
-    words = F.size(F.split(F.col("text"), r"\s+"))
-    docs = t.documents.join(t.labels, "doc_id").select(
-        "doc_id", "quality", F.log1p("n_chars").alias("size"), (F.col("n_chars") / words).alias("word_length"),
-        (F.length(F.regexp_replace("text", r"[^0-9]", "")) / F.col("n_chars")).alias("digit_share"))
-    model = ml.fit_classifier(docs, ["size", "word_length", "digit_share"], "quality")
+    def share(chars):
+        return 1 - F.length(F.translate("text", chars, "")) / F.length("text")
+
+    docs = stage(t.documents.join(t.labels, "doc_id").select(
+        "doc_id", "quality", F.log1p("n_chars").alias("size"), share(" ").alias("space_share"), share("0123456789").alias("digit_share")), "features")
+    model = ml.fit_classifier(docs, ["size", "space_share", "digit_share"], "quality")
     return ml.score(model, docs).select("doc_id", "quality", "prediction")
 
 

@@ -9,6 +9,7 @@ from millrace.operators import aggregates as agg
 from millrace.operators import columns as cols
 from millrace.operators import joins, reshape, windows
 from millrace.plans.registry import query
+from millrace.session import stage
 
 # --- projections and filters -------------------------------------------------------------
 
@@ -643,7 +644,8 @@ def _(t):
 WITH {MONTHLY} SELECT *, CAST(rank() OVER (PARTITION BY category, year, month ORDER BY total_revenue DESC) AS INTEGER) AS region_rank FROM monthly
 """)
 def _(t):
-    return windows.rank_in_group(agg.monthly_sales(sales_table(t)), ["category", "year", "month"], "total_revenue", "region_rank")
+    monthly = stage(agg.monthly_sales(sales_table(t)), "monthly")
+    return windows.rank_in_group(monthly, ["category", "year", "month"], "total_revenue", "region_rank")
 
 
 @query("w02_top2_regions", f"""

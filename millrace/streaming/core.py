@@ -7,7 +7,7 @@ with the same function on the whole table.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import datetime
 
 import pandas as pd
@@ -84,32 +84,44 @@ def match_payments(orders: DataFrame, payments: DataFrame, wait: str = "15 minut
 
 
 ACTIVITY = "key string, events long, total double, last_seen timestamp, expired boolean"
+_PARTIAL = "key string, events long, total double, last_seen timestamp"
 
 
-def keyed_activity(df: DataFrame, key: str, ts: str, value: str, ttl_minutes: int = 30) -> DataFrame:
+def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per key and Arrow batch, so a hot key costs few rows in the shuffle."""
+    for pdf in batches:
+        yield pdf.groupby("key", as_index=False, dropna=False).agg(events=("value", "size"), total=("value", "sum"), last_seen=("at", "max"))
+
+
+def keyed_activity(df: DataFrame, key: str, ts: str, value: str, delay: str, ttl_minutes: int = 30) -> DataFrame:
     """Running count and total per key, forgotten after ``ttl_minutes`` without events.
 
-    The input needs a watermark on ``ts``. A key's rows arrive in chunks, so memory stays
-    constant however many rows a key has in a batch.
+    Rows are combined per task before the shuffle, and a key's rows arrive in chunks, so
+    neither traffic nor memory follows the rows of one key.
     """
 
+    def row(key_value, events, total, last, expired) -> pd.DataFrame:
+        return pd.DataFrame({"key": [key_value], "events": [events], "total": [total],
+                             "last_seen": [pd.Timestamp(last, unit="us")], "expired": [expired]})
+
     def update(group: tuple, chunks, state: GroupState):
         if state.hasTimedOut:
-            events, total, last = state.get
+            gone = state.get
             state.remove()
-            yield pd.DataFrame({"key": [group[0]], "events": [events], "total": [total], "last_seen": [pd.Timestamp(last, unit="us")], "expired": [True]})
+            yield row(group[0], *gone, True)
             return
         events, total, last = state.get if state.exists else (0, 0.0, 0)
         for pdf in chunks:
-            events += len(pdf)
-            total += float(pdf["_value"].sum())
-            last = max(last, int(pdf["_at"].max()))
+            events += int(pdf["events"].sum())
+            total += float(pdf["total"].sum())
+            last = max(last, pdf["last_seen"].max().value // 1000)
         state.update((events, total, last))
         state.setTimeoutTimestamp(max(last // 1000 + ttl_minutes * 60_000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"key": [group[0]], "events": [events], "total": [total], "last_seen": [pd.Timestamp(last, unit="us")], "expired": [False]})
+        yield row(group[0], events, total, last, False)
 
-    slim = df.select(F.col(key).cast("string").alias("_key"), F.col(ts), F.unix_micros(ts).alias("_at"), F.col(value).cast("double").alias("_value"))
-    return slim.groupBy("_key").applyInPandasWithState(
+    slim = df.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("at"), F.col(value).cast("double").alias("value"))
+    partial = slim.mapInPandas(_combine, _PARTIAL).withWatermark("last_seen", delay)
+    return partial.groupBy("key").applyInPandasWithState(
         update, ACTIVITY, "events long, total double, last long", "update", GroupStateTimeout.EventTimeTimeout)
 
 
