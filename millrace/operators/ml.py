@@ -10,12 +10,20 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import scratch_path
+
 
 def fit_classifier(df: DataFrame, features: Sequence[str], label: str, max_iter: int = 20) -> PipelineModel:
-    """Logistic regression on numeric columns."""
+    """Logistic regression on numeric columns.
+
+    The model is saved to the shared folder and loaded back: the loaded one carries no training
+    summary, which would tie it to this session when it is shipped to the executors.
+    """
     stages = [VectorAssembler(inputCols=list(features), outputCol="_features"),
               LogisticRegression(featuresCol="_features", labelCol="_label", maxIter=max_iter)]
-    return Pipeline(stages=stages).fit(df.withColumn("_label", F.col(label).cast("double")))
+    path = scratch_path(df.sparkSession, "model")
+    Pipeline(stages=stages).fit(df.withColumn("_label", F.col(label).cast("double"))).write().save(path)
+    return PipelineModel.load(path)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -59,10 +59,21 @@ def avsc_to_struct(contract: str | Mapping) -> T.StructType:
     return T.StructType(fields)
 
 
+def _relaxed(dt: T.DataType) -> T.DataType:
+    """The type with NULLs allowed inside, so that a cast to it checks values only."""
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(_relaxed(dt.elementType))
+    if isinstance(dt, T.MapType):
+        return T.MapType(dt.keyType, _relaxed(dt.valueType))
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, _relaxed(f.dataType)) for f in dt.fields])
+    return dt
+
+
 def _converted(value: Column, have: T.DataType, want: T.DataType) -> Column:
     if isinstance(want, T.TimestampType) and isinstance(have, (T.LongType, T.IntegerType)):
         return F.timestamp_millis(value)
-    return value.try_cast(want)
+    return value.try_cast(_relaxed(want))
 
 
 def enforce_contract(df: DataFrame, contract: str | Mapping) -> DataFrame:
@@ -86,6 +97,8 @@ def enforce_contract(df: DataFrame, contract: str | Mapping) -> DataFrame:
         value = _converted(raw, have[field.name], field.dataType)
         cols.append(value.alias(field.name))
         errors.append(F.when(raw.isNotNull() & value.isNull(), f"{field.name}: wrong type"))
+        if isinstance(field.dataType, T.ArrayType) and not field.dataType.containsNull:
+            errors.append(F.when(F.exists(value, lambda x: x.isNull()), f"{field.name}: empty element"))
         if not nullable:
             errors.append(F.when(raw.isNull(), f"{field.name}: required"))
         if isinstance(kind, Mapping) and kind.get("type") == "enum":
