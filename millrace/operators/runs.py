@@ -3,7 +3,7 @@
 A window such as ``lag(x) over (partition by symbol order by ts)`` sorts each group in one
 task. That is fine for millions of small groups, but a group with a third of all rows would
 sit in a single task. Operators here measure the largest group first (one narrow, map-side
-combined count). When it is small they use the plain window. Otherwise the rows are
+combined count). Groups up to the limit keep the plain window. The rows of larger groups are
 range-partitioned on (group, order) into balanced *runs*, the window works inside
 (group, run), and one small summary per run is carried to the next run of the same group.
 
@@ -14,7 +14,7 @@ so the carried table has fewer rows than there are runs: that is its size bound.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 from millrace.session import stage
 
 RUN = "_run"
-MAX_GROUP_ROWS = 1_000_000
+MAX_GROUP_ROWS = 5_000_000
+MAX_RUNS = 20_000
 
 
 class Runs(NamedTuple):
-    rows: DataFrame
-    split: bool
+    rows: DataFrame  # rows of the large groups with their run number
+    rest: DataFrame | None  # rows of all other groups
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -39,33 +40,53 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
 
 
 def split_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int | None = None,
-               sizes: tuple[int, int] | None = None) -> Runs:
-    """Give every row a run number; one run only if no group is larger than the limit.
-
-    ``sizes`` passes what ``largest_group`` found (or an upper bound of it), to spare the count.
+               sizes: tuple[int, int] | None = None) -> Runs | None:
+    """Cut the groups over the limit into runs; None if there are none.
 
     ``order`` names ascending columns that, with the keys, identify a row: a total order is
-    what lets the range partitioner cut anywhere.
+    what lets the range partitioner cut anywhere. ``sizes`` passes what ``largest_group`` found
+    (or an upper bound of it), to spare the count. The limit grows with the table, so that
+    there are never more than ``MAX_RUNS`` large groups or twice as many runs.
     """
-    limit = max_group_rows or MAX_GROUP_ROWS
     biggest, total = sizes or largest_group(df, keys)
+    limit = max(max_group_rows or MAX_GROUP_ROWS, math.ceil(total / MAX_RUNS))
     if biggest <= limit:
-        return Runs(df, False)
-    runs = 2 * math.ceil(total / limit)
-    cut = df.repartitionByRange(runs, *keys, *order).withColumn(RUN, F.spark_partition_id())
+        return None
+    rows, rest, large = df, None, total
+    if keys:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+        hot = stage(counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n"), "hot")
+        large = hot.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+        if not large:
+            return None
+        hot = F.broadcast(hot.drop("_n"))
+        rows, rest = (df.join(hot, _same_keys(keys), how) for how in ("left_semi", "left_anti"))
+    cut = rows.repartitionByRange(2 * math.ceil(large / limit), *keys, *order).withColumn(RUN, F.spark_partition_id())
     # The range bounds come from sampling, so the run numbers are written once and read by
     # every consumer instead of being computed again.
-    return Runs(stage(cut, "runs"), True)
+    return Runs(stage(cut, "runs"), rest)
+
 
+def _same_keys(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return cond
 
-def local_window(runs: Runs, keys: Sequence[str], order: Sequence[str]):
-    by = [*keys, RUN] if runs.split else list(keys)
-    return Window.partitionBy(*by).orderBy(*order)
 
+def by_group_size(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int | None, sizes: tuple[int, int] | None,
+                  plain: Callable[[DataFrame], DataFrame], split: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``split`` on the runs of the large groups and ``plain`` on all other rows."""
+    runs = split_runs(df, keys, order, max_group_rows, sizes)
+    if runs is None:
+        return plain(df)
+    done = split(runs.rows).drop(RUN)
+    return done if runs.rest is None else done.unionByName(plain(runs.rest))
 
-def _carried(runs: Runs, keys: Sequence[str], summary: Column, fold, forward: bool) -> DataFrame:
+
+def _carried(rows: DataFrame, keys: Sequence[str], summary: Column, fold, forward: bool) -> DataFrame:
     """Per run that continues a group: ``fold`` over the summaries of the runs before (after) it."""
-    per_run = runs.rows.groupBy(*keys, RUN).agg(summary.alias("_s"))
+    per_run = rows.groupBy(*keys, RUN).agg(summary.alias("_s"))
     by = Window.partitionBy(*keys).orderBy(F.col(RUN).asc() if forward else F.col(RUN).desc())
     earlier = by.rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -76,13 +97,10 @@ def _carried(runs: Runs, keys: Sequence[str], summary: Column, fold, forward: bo
     )
 
 
-def with_carry(runs: Runs, keys: Sequence[str], summary: Column, fold, forward: bool = True) -> DataFrame:
+def with_carry(rows: DataFrame, keys: Sequence[str], summary: Column, fold, forward: bool = True) -> DataFrame:
     """Rows plus ``_carry``: the folded summary of this group's earlier (later) runs, else NULL."""
-    carried = _carried(runs, keys, summary, fold, forward)
-    cond = F.col(RUN) == F.col("_krun")
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = runs.rows.join(F.broadcast(carried), cond, "left")
+    carried = _carried(rows, keys, summary, fold, forward)
+    joined = rows.join(F.broadcast(carried), (F.col(RUN) == F.col("_krun")) & _same_keys(keys), "left")
     return joined.drop("_krun", *[f"_k{i}" for i in range(len(keys))])
 
 

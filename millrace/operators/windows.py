@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.runs import (
-    RUN, largest_group, last_value, local_window, MAX_GROUP_ROWS, split_runs, sum_value, with_carry,
+    MAX_GROUP_ROWS, RUN, by_group_size, largest_group, last_value, sum_value, with_carry,
 )
 
 
@@ -38,7 +38,7 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], by: str, name: str = "rank
     biggest, _ = largest_group(df, keys)
     order = F.col(by).desc() if descending else F.col(by).asc()
     if biggest <= (max_group_rows or MAX_GROUP_ROWS):
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(order)))
+        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
     counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     sums = running_total(counts, keys, [by], F.col("_n"), "_upto", max_group_rows)
     if descending:
@@ -46,7 +46,7 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], by: str, name: str = "rank
         sums = _join_null_safe(sums, totals, keys).withColumn("_r", F.col("_all") - F.col("_upto") + 1)
     else:
         sums = sums.withColumn("_r", F.col("_upto") - F.col("_n") + 1)
-    ranked = sums.select(*keys, by, F.col("_r").cast("int").alias(name))
+    ranked = sums.select(*keys, by, F.col("_r").cast("bigint").alias(name))
     return _join_null_safe(df, ranked, [*keys, by])
 
 
@@ -59,27 +59,38 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     return left.join(renamed, cond, how).drop(*[f"_on{i}" for i in range(len(on))])
 
 
+def _window(keys: Sequence[str], order: Sequence[str], in_run: bool = False):
+    return Window.partitionBy(*keys, *([RUN] if in_run else [])).orderBy(*order)
+
+
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
                 max_group_rows: int | None = None) -> DataFrame:
-    runs = split_runs(df, keys, order, max_group_rows)
-    local = F.row_number().over(local_window(runs, keys, order))
-    if not runs.split:
-        return runs.rows.withColumn(name, local)
-    rows = with_carry(runs, keys, F.count(F.lit(1)), sum_value)
-    return rows.withColumn(name, (local + F.coalesce("_carry", F.lit(0))).cast("bigint")).drop("_carry", RUN)
+    def plain(rows):
+        return rows.withColumn(name, F.row_number().over(_window(keys, order)).cast("bigint"))
+
+    def split(rows):
+        local = F.row_number().over(_window(keys, order, True))
+        return with_carry(rows, keys, F.count(F.lit(1)), sum_value).withColumn(
+            name, local + F.coalesce("_carry", F.lit(0).cast("bigint"))).drop("_carry")
+
+    return by_group_size(df, keys, order, max_group_rows, None, plain, split)
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
                   max_group_rows: int | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
     """Sum of ``value`` from the start of the group to the current row."""
-    runs = split_runs(df, keys, order, max_group_rows, sizes)
-    upto = local_window(runs, keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    local = F.sum(value).over(upto)
-    if not runs.split:
-        return runs.rows.withColumn(name, local)
-    rows = with_carry(runs, keys, F.sum(value), sum_value)
-    total = F.when(F.col("_carry").isNull(), local).when(local.isNull(), F.col("_carry")).otherwise(local + F.col("_carry"))
-    return rows.withColumn(name, total).drop("_carry", RUN)
+    total = F.sum(value)
+
+    def upto(in_run):
+        return total.over(_window(keys, order, in_run).rowsBetween(Window.unboundedPreceding, 0))
+
+    def split(rows):
+        before = F.col("_carry")
+        both = F.when(before.isNull(), F.col(name)).when(F.col(name).isNull(), before).otherwise(F.col(name) + before)
+        local = with_carry(rows, keys, total, sum_value).withColumn(name, upto(True))
+        return local.withColumn(name, both.cast(local.schema[name].dataType)).drop("_carry")
+
+    return by_group_size(df, keys, order, max_group_rows, sizes, lambda rows: rows.withColumn(name, upto(False)), split)
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Mapping[str, Column | str],
@@ -89,42 +100,54 @@ def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Ma
     ``cols`` maps each new name to an expression evaluated on the neighbour row.
     """
     picked = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in cols.items()])
-    runs = split_runs(df, keys, order, max_group_rows, sizes)
-    w = local_window(runs, keys, order)
-    near = (F.lag if previous else F.lead)(picked).over(w)
-    if not runs.split:
-        out = runs.rows.withColumn("_near", near)
-    else:
-        position = F.struct(*order)
-        edge = F.max_by(picked, position) if previous else F.min_by(picked, position)
-        rows = with_carry(runs, keys, edge, last_value, forward=previous)
+    step, edge_of = (F.lag, F.max_by) if previous else (F.lead, F.min_by)
+
+    def plain(rows):
+        return rows.withColumn("_near", step(picked).over(_window(keys, order)))
+
+    def split(rows):
+        near = step(picked).over(_window(keys, order, True))
+        carried = with_carry(rows, keys, edge_of(picked, F.struct(*order)), last_value, forward=previous)
         # _near is NULL only on the first (last) row of a run: a picked struct is never NULL.
-        out = rows.withColumn("_near", F.coalesce(near, F.col("_carry"))).drop("_carry", RUN)
+        return carried.withColumn("_near", F.coalesce(near, F.col("_carry"))).drop("_carry")
+
+    out = by_group_size(df, keys, order, max_group_rows, sizes, plain, split)
     return out.select("*", *[F.col(f"_near.{n}").alias(n) for n in cols]).drop("_near")
 
 
 def lag_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, prev: str, nxt: str,
              max_group_rows: int | None = None) -> DataFrame:
     """Previous and next value of ``col`` in the group."""
-    runs = split_runs(df, keys, order, max_group_rows)
-    if not runs.split:
-        w = local_window(runs, keys, order)
-        return runs.rows.withColumns({prev: F.lag(col).over(w), nxt: F.lead(col).over(w)})
-    back = neighbour(df, keys, order, {prev: col}, True, max_group_rows)
-    return neighbour(back, keys, order, {nxt: col}, False, max_group_rows)
+
+    def plain(rows):
+        w = _window(keys, order)
+        return rows.withColumns({prev: F.lag(col).over(w), nxt: F.lead(col).over(w)})
+
+    def split(rows):
+        # The row before and after also goes by run, so both looks share one cut.
+        w, pos, first_last = _window(keys, order, True), F.struct(*order), F.struct(F.col(col).alias("v"))
+        back = with_carry(rows, keys, F.max_by(first_last, pos), last_value).withColumnRenamed("_carry", "_b")
+        ahead = with_carry(back, keys, F.min_by(first_last, pos), last_value, forward=False)
+        return ahead.withColumns({
+            prev: F.when(F.lag(F.lit(1)).over(w).isNull(), F.col("_b.v")).otherwise(F.lag(col).over(w)),
+            nxt: F.when(F.lead(F.lit(1)).over(w).isNull(), F.col("_carry.v")).otherwise(F.lead(col).over(w)),
+        }).drop("_b", "_carry")
+
+    return by_group_size(df, keys, order, max_group_rows, None, plain, split)
 
 
 def locf(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str,
          max_group_rows: int | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
     """Last non-NULL ``value`` at or before the row within the group."""
-    runs = split_runs(df, keys, order, max_group_rows, sizes)
-    w = local_window(runs, keys, order).rowsBetween(Window.unboundedPreceding, 0)
-    local = F.last(value, ignorenulls=True).over(w)
-    if not runs.split:
-        return runs.rows.withColumn(name, local)
-    newest = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
-    rows = with_carry(runs, keys, newest, last_value)
-    return rows.withColumn(name, F.coalesce(local, F.col("_carry"))).drop("_carry", RUN)
+
+    def newest(in_run):
+        return F.last(value, ignorenulls=True).over(_window(keys, order, in_run).rowsBetween(Window.unboundedPreceding, 0))
+
+    def split(rows):
+        last = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
+        return with_carry(rows, keys, last, last_value).withColumn(name, F.coalesce(newest(True), F.col("_carry"))).drop("_carry")
+
+    return by_group_size(df, keys, order, max_group_rows, sizes, lambda rows: rows.withColumn(name, newest(False)), split)
 
 
 def drop_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], fingerprint: Column,

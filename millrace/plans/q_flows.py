@@ -92,7 +92,7 @@ def _(t):
 
 
 @query("e04_monthly_sales", f"""
-WITH {MONTHLY} SELECT *, CAST(rank() OVER (PARTITION BY category, year, month ORDER BY total_revenue DESC) AS INTEGER) AS region_rank,
+WITH {MONTHLY} SELECT *, rank() OVER (PARTITION BY category, year, month ORDER BY total_revenue DESC) AS region_rank,
   CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) OVER (PARTITION BY region ORDER BY year, month, category ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cumulative_revenue FROM monthly
 """)
 def _(t):

@@ -415,7 +415,7 @@ def drain(t, df, keys, mode="update", rules=None):
 SALES_SQL = """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, event_type AS category,
   CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_sales, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS total_quantity, count(*) AS transaction_count,
-  CAST(round(CAST(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS DECIMAL(38,12)), 2) AS DOUBLE) AS avg_transaction_value, max(event_id % 300) AS max_delay_seen FROM events WHERE value > 0 GROUP BY ALL
+  CAST(round(CAST(CAST(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_transaction_value, max(event_id % 300) AS max_delay_seen FROM events WHERE value > 0 GROUP BY ALL
 """
 
 

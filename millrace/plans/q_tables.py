@@ -641,7 +641,7 @@ def _(t):
 
 
 @query("w02_rank_in_group", f"""
-WITH {MONTHLY} SELECT *, CAST(rank() OVER (PARTITION BY category, year, month ORDER BY total_revenue DESC) AS INTEGER) AS region_rank FROM monthly
+WITH {MONTHLY} SELECT *, rank() OVER (PARTITION BY category, year, month ORDER BY total_revenue DESC) AS region_rank FROM monthly
 """)
 def _(t):
     monthly = stage(agg.monthly_sales(sales_table(t)), "monthly")
@@ -680,7 +680,7 @@ def _(t):
 
 @query("w06_price_anomalies", """
 WITH l AS (SELECT event_id, event_type, ts, value, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous_price FROM events),
-c AS (SELECT *, (value - previous_price) / previous_price AS change_pct FROM l)
+c AS (SELECT *, (value - previous_price) / nullif(previous_price, 0) AS change_pct FROM l)
 SELECT *, CASE WHEN abs(change_pct) >= 0.20 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, 'Price changed ' || printf('%.2f', change_pct * 100) || '%' AS message
 FROM c WHERE abs(change_pct) >= 0.10
 """)

@@ -11,7 +11,8 @@ from millrace.operators import aggregates, joins, windows
 from millrace.operators.runs import RUN, split_runs
 from tests.conftest import rows
 
-LIMIT = 20
+LIMIT = 20  # every group is cut
+LIMITS = (1000, 60, LIMIT)  # none is cut, only the hot one, all
 KEYS, ORDER = ["k"], ["ts", "id"]
 
 
@@ -41,7 +42,7 @@ def groups(reverse=False):
 
 def test_runs_are_balanced_and_contiguous(df):
     runs = split_runs(df, KEYS, ORDER, LIMIT)
-    assert runs.split
+    assert runs.rest.count() == 0
     sizes = [r["count"] for r in runs.rows.groupBy(RUN).count().collect()]
     assert sum(sizes) == 300 and max(sizes) <= 2 * LIMIT
     crossing = runs.rows.groupBy(RUN).agg(F.count_distinct(F.coalesce("k", F.lit("-"))).alias("n")).agg(F.sum("n")).first()[0]
@@ -49,11 +50,16 @@ def test_runs_are_balanced_and_contiguous(df):
 
 
 def test_small_groups_keep_the_plain_window(df):
-    assert not split_runs(df, KEYS, ORDER, 1000).split
+    assert split_runs(df, KEYS, ORDER, 1000) is None
+    hot = split_runs(df, KEYS, ORDER, 60)
+    assert [r[0] for r in hot.rows.select("k").distinct().collect()] == ["hot"]
+    assert hot.rows.count() + hot.rest.count() == 300 and hot.rest.where("k = 'hot'").count() == 0
 
 
 def both(fn):
-    return [rows(fn(limit)) for limit in (1000, LIMIT)]
+    plain, mixed, split = (rows(fn(limit)) for limit in LIMITS)
+    assert mixed == plain
+    return plain, split
 
 
 def test_running_total(df):
@@ -163,7 +169,7 @@ def test_asof_join_split_equals_brute_force(df):
             times = [u for u in marks.get(k, {}) if (u <= ts if direction == "backward" else u >= ts)]
             best = (max(times) if direction == "backward" else min(times)) if times else None
             want.append((i, marks[k][best] if times else None))
-        for limit in (1000, LIMIT):
+        for limit in LIMITS:
             got = joins.asof_join(left, right, "ts", "ts", ["k"], {"rid": "rid"}, direction, limit).select("id", "rid")
             assert sorted(map(tuple, got.collect())) == sorted(want, key=lambda r: r[0])
 
