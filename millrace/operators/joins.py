@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.runs import MAX_GROUP_ROWS, largest_group
 from millrace.operators.windows import _join_null_safe, locf
+from millrace.session import stage
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -99,7 +100,10 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, row_id: Sequence[str
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join repeats the right side: inner or left only")
-    hot = F.broadcast(hot_keys(big, key, max_key_rows))
+    hot = stage(hot_keys(big, key, max_key_rows), "hot")
+    if hot.isEmpty():
+        return big.join(small, key, how)
+    hot = F.broadcast(hot)
     pieces = F.coalesce("_pieces", F.lit(1))
     left = big.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*row_id), pieces).cast("int")).drop("_hot", "_pieces")
@@ -115,7 +119,10 @@ def split_skew_join(big: DataFrame, small: DataFrame, key: str, row_id: Sequence
     If the right rows of the hot keys are themselves too many to broadcast, the salted join
     takes over. NULL keys never match.
     """
-    hot = F.broadcast(hot_keys(big, key, max_key_rows).select(F.col("_hot").alias(key)))
+    hot = stage(hot_keys(big, key, max_key_rows).select(F.col("_hot").alias(key)), "hot")
+    if hot.isEmpty():
+        return big.join(small, key)
+    hot = F.broadcast(hot)
     small_hot = small.join(hot, key, "left_semi")
     if not is_small(small_hot):
         return salted_join(big, small, key, row_id, "inner", max_key_rows)

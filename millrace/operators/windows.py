@@ -11,6 +11,8 @@ from millrace.operators.runs import (
     MAX_GROUP_ROWS, RUN, by_group_size, largest_group, last_value, sum_value, with_carry,
 )
 
+MAX_QUANTILE_ROWS = 1_000_000
+
 
 def dedup_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row of each key by a total order.
@@ -227,7 +229,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     """
     data = df.where(F.col(value).isNotNull())
     biggest, _ = largest_group(data, keys)
-    if biggest <= (max_group_rows or MAX_GROUP_ROWS):
+    if biggest <= (max_group_rows or MAX_QUANTILE_ROWS):
         qs = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]))
         return data.groupBy(*keys).agg(qs.alias("_q")).select(
             *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

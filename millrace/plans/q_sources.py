@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from millrace.functions import udfs
 from millrace.operators import aggregates as agg
 from millrace.operators import dimensional as dims
-from millrace.operators import graph, ml, upsert, windows
+from millrace.operators import graph, ml, quality, upsert, windows
 from millrace.plans.q_tables import CANDLES, minute_candles, sales_table
 from millrace.plans.registry import query
 from millrace.session import scratch_path, stage
-from millrace.sources import contracts, files, html, sinks
+from millrace.sources import contracts, files, html, kafka, sinks
 from millrace.streaming import core as st
 
 # --- sources and sinks -------------------------------------------------------------------
@@ -92,6 +92,13 @@ def _(t):
     return out
 
 
+@query("f10_parse_broker_json", "SELECT event_type AS kind, value AS amount, ts AS kafka_timestamp FROM events")
+def _(t):
+    body = F.to_json(F.struct(F.col("event_type").alias("kind"), F.col("value").alias("amount"), F.lit("x").alias("unknown")))
+    raw = t.events.select(body.cast("binary").alias("value"), F.col("ts").alias("timestamp"))
+    return kafka.parse_json_value(raw, "kind string, amount double")
+
+
 TRADE_V2 = """{"type": "record", "name": "Trade", "fields": [
   {"name": "symbol", "type": "string"}, {"name": "price", "type": "double"}, {"name": "event_time", "type": "long"},
   {"name": "volume", "type": "float", "default": 0.0}]}"""
@@ -502,6 +509,31 @@ def _(t):
     return newest.select("key", "events", F.round("total", 2).alias("total"), F.col("last_seen").cast("timestamp_ntz").alias("last_seen"))
 
 
+@query("s11_order_payment_stream", """
+SELECT event_id AS order_id, ts AS order_time, ts + to_minutes(event_id % 30) AS payment_time FROM events WHERE event_id % 3 <> 0 AND event_id % 30 <= 15
+""")
+def _(t):
+    """Paid orders; those that fail come out as the watermark passes them and are left out here."""
+    e = t.stream("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    orders = e.select(F.col("event_id").alias("order_id"), F.col("ts").alias("order_time"))
+    paid = e.where("event_id % 3 <> 0").select(F.col("event_id").alias("payment_order_id"), (
+        F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 30).cast("int"))).alias("payment_time"))
+    path = scratch_path(t.spark, "matched")
+    matched = st.match_payments(orders, paid)
+    st.start_query(matched, scratch_path(t.spark, "offsets"), "append", write=st.append_sink(path)).awaitTermination()
+    return t.spark.read.parquet(path).where("status = 'completed'").select(
+        "order_id", F.col("order_time").cast("timestamp_ntz").alias("order_time"), F.col("payment_time").cast("timestamp_ntz").alias("payment_time"))
+
+
+@query("j14_stream_static_join", "SELECT event_id, user_id, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey")
+def _(t):
+    path = scratch_path(t.spark, "enriched")
+    people = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
+    live = t.stream("events").select("event_id", "user_id").join(people, "user_id", "left")
+    st.start_query(live, scratch_path(t.spark, "offsets"), "append", write=st.append_sink(path)).awaitTermination()
+    return t.spark.read.parquet(path).select("event_id", "user_id", "c_name", "c_mktsegment")
+
+
 @query("s13_raw_tick_sink", "SELECT event_id, event_type, ts, value FROM events")
 def _(t):
     path = scratch_path(t.spark, "raw")
@@ -597,6 +629,18 @@ def _(t):
     return udfs.offending_rows("range", t.customer, "c_acctbal", low=0, high=5000).select("c_custkey", "c_acctbal")
 
 
+@query("d04_runtime_model", """
+SELECT 'not_null' AS "check", 'user_id' AS "column", count(*) FILTER (user_id IS NULL) AS failed_rows FROM events
+UNION ALL SELECT 'in_range', 'value', count(*) FILTER (value < 1 OR value > 100) FROM events
+UNION ALL SELECT 'is_in', 'event_type', count(*) FILTER (event_type NOT IN ('view', 'click')) FROM events
+""")
+def _(t):
+    config = {"user_id": {"type": "bigint"}, "value": {"type": "double", "required": False, "min": 1, "max": 100},
+              "event_type": {"type": "string", "required": False, "choices": ["view", "click"]}}
+    schema, rules = udfs.model_from_config(config)
+    return quality.run_checks(t.events.select(*schema.fieldNames()), rules).select("check", "column", "failed_rows")
+
+
 @query("d05_partition_function")
 def _(t):
     e = t.events.select("event_id", "value")

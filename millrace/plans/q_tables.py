@@ -354,13 +354,18 @@ def _(t):
 
 
 def sales_table(t):
-    """Sales records from the order tables: one per line, category and region resolved."""
-    return (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    """Sales records from the order tables: one per line, category and region resolved.
+
+    The region is found per order, before the join with the many lines.
+    """
+    located = (
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    return (
+        t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(located, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"), F.col("p_type").alias("category"),
                 F.col("r_name").alias("region"), F.col("l_extendedprice").alias("amount"),
                 F.col("l_quantity").cast("int").alias("quantity"), F.to_date("o_orderdate").alias("date"))

@@ -53,8 +53,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses.
+
+    Everything one application writes is in one folder, which can go when the application has ended.
+    """
+    return f"{shared_dir(spark).rstrip('/')}/millrace/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -143,7 +143,7 @@ class FakeSession:
 
     def __init__(self, setting=None, master="yarn"):
         self.conf, self.sparkContext, self.master, self.made = self, self, master, None
-        self.setting = setting
+        self.setting, self.applicationId = setting, "app-1"
 
     def get(self, _key, default=None):
         return self.setting or default
@@ -159,7 +159,7 @@ class FakeSession:
 
 
 def test_shared_dir_comes_from_the_session(spark):
-    assert session.scratch_path(FakeSession("hdfs:///shared"), "x").startswith("hdfs:///shared/millrace/x-")
+    assert session.scratch_path(FakeSession("hdfs:///shared"), "x").startswith("hdfs:///shared/millrace/app-1/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(FakeSession())
     assert session.shared_dir(spark) == session.shared_dir(spark)
