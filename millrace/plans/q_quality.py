@@ -247,12 +247,11 @@ def _(t):
 
 
 @query("q24_reconcile", """
-WITH s AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 50 <> 0), g AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 70 <> 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 90 = 0),
+WITH s AS (SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1995-03-01'), g AS (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '2001-05-01' UNION ALL SELECT o_orderkey FROM orders WHERE o_totalprice > 490000),
 c AS (SELECT coalesce(s.o_orderkey, g.o_orderkey) AS o_orderkey, coalesce(sn, 0) AS source_rows, coalesce(gn, 0) AS target_rows
   FROM (SELECT o_orderkey, count(*) AS sn FROM s GROUP BY 1) s FULL JOIN (SELECT o_orderkey, count(*) AS gn FROM g GROUP BY 1) g ON s.o_orderkey = g.o_orderkey)
 SELECT *, CASE WHEN target_rows = 0 THEN 'missing_in_target' WHEN source_rows = 0 THEN 'extra_in_target' ELSE 'count_differs' END AS finding FROM c WHERE source_rows <> target_rows
 """)
 def _(t):
-    k = F.col("o_orderkey")
-    target = t.orders.where(k % 70 != 0).unionByName(t.orders.where(k % 90 == 0))
-    return q.reconcile(t.orders.where(k % 50 != 0), target, ["o_orderkey"])
+    target = t.orders.where("o_orderdate < '2001-05-01'").unionByName(t.orders.where("o_totalprice > 490000"))
+    return q.reconcile(t.orders.where("o_orderdate >= '1995-03-01'"), target, ["o_orderkey"])

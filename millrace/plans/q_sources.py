@@ -51,11 +51,11 @@ def _(t):
     return out
 
 
-@query("f04_merge_schema", "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_acctbal FROM supplier")
+@query("f04_merge_schema", "SELECT s_suppkey, s_name, CASE WHEN s_nationkey >= 12 THEN s_acctbal END AS s_acctbal FROM supplier")
 def _(t):
     path = scratch_path(t.spark, "versions")
-    t.supplier.where("s_suppkey % 2 = 1").select("s_suppkey", "s_name").write.parquet(f"{path}/v=1")
-    t.supplier.where("s_suppkey % 2 = 0").select("s_suppkey", "s_name", "s_acctbal").write.parquet(f"{path}/v=2")
+    t.supplier.where("s_nationkey < 12").select("s_suppkey", "s_name").write.parquet(f"{path}/v=1")
+    t.supplier.where("s_nationkey >= 12").select("s_suppkey", "s_name", "s_acctbal").write.parquet(f"{path}/v=2")
     return files.read_parquet(t.spark, path, merge_schema=True).drop("v")
 
 
@@ -144,9 +144,8 @@ def _(t):
 @query("f18_new_files_only", "SELECT c_mktsegment, count(*) AS rows FROM customer GROUP BY 1")
 def _(t):
     source, out, ledger = (scratch_path(t.spark, n) for n in ("landed", "out", "ledger"))
-    half = F.col("c_custkey") % 2
-    for part in (0, 1):
-        t.customer.where(half == part).write.mode("append").option("header", True).csv(source)
+    for day in ("c_nationkey < 12", "c_nationkey >= 12"):
+        t.customer.where(day).write.mode("append").option("header", True).csv(source)
         for _rerun in range(2):
             files.process_new_files(t.spark, source, t.customer.schema, ledger, st.append_sink(out), "csv", {"header": True})
     return t.spark.read.parquet(out).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("rows"))
@@ -198,31 +197,37 @@ def _(t):
 
 
 @query("u01_upsert_replace", """
-SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'Z' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
-FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN 'Z' ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders
 """)
 def _(t):
-    o = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    batch = o.where("o_orderkey % 3 = 0").withColumns({"o_orderstatus": F.lit("Z"), "o_totalprice": F.col("o_totalprice") + 1})
-    return upsert.upsert_replace(o.where("o_orderkey % 2 = 0"), batch.unionByName(batch), ["o_orderkey"], ["o_totalprice"])
+    old, new = t.orders.where("o_orderdate < '1998-01-01'"), t.orders.where("o_orderdate >= '1997-01-01'")
+    old = old.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    batch = new.select("o_orderkey", F.lit("Z").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return upsert.upsert_replace(old, batch.unionByName(batch), ["o_orderkey"], ["o_totalprice"])
 
 
 @query("u01_upsert_table", """
-SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year
-FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0
+SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-07-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
 """)
 def _(t):
     path = scratch_path(t.spark, "table")
-    o = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    batch = o.where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    for rows in (o.where("o_orderkey % 2 = 0"), batch, batch):
+    cols = ("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    old = t.orders.where("o_orderdate < '1998-01-01'").select(*cols)
+    batch = t.orders.where("o_orderdate >= '1997-07-01'").select(*cols).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for rows in (old, batch, batch):
         upsert.upsert_table(t.spark, path, rows, ["o_orderkey", "year"], ["year"])
     return t.spark.read.parquet(path)
 
 
+def _half_minutes(t):
+    """Two batches that share every candle: the first and the second half of each minute."""
+    return t.events.where(F.second("ts") < 30), t.events.where(F.second("ts") >= 30)
+
+
 @query("u02_upsert_merge", f"WITH {CANDLES} SELECT * FROM candles")
 def _(t):
-    early, late = t.events.where("event_id % 2 = 0"), t.events.where("event_id % 2 = 1")
+    early, late = _half_minutes(t)
     # Open and close carry their event, so batches may overlap in time and still merge exactly.
     def candles(e):
         return minute_candles_with_edges(e)
@@ -240,16 +245,16 @@ def minute_candles_with_edges(e):
 
 
 @query("u02_upsert_merge_keep_open", """
-WITH b AS (SELECT date_trunc('minute', ts) AS window_start, event_type AS symbol, event_id % 2 AS half, arg_min(value, ROW(ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+WITH b AS (SELECT date_trunc('minute', ts) AS window_start, event_type AS symbol, second(ts) >= 30 AS half, arg_min(value, ROW(ts, event_id)) AS open, max(value) AS high, min(value) AS low,
   arg_max(value, ROW(ts, event_id)) AS close FROM events GROUP BY ALL),
-o AS (SELECT * FROM b WHERE half = 0), n AS (SELECT * FROM b WHERE half = 1)
+o AS (SELECT * FROM b WHERE NOT half), n AS (SELECT * FROM b WHERE half)
 SELECT window_start, symbol, coalesce(o.open, n.open) AS open, greatest(o.high, n.high) AS high, least(o.low, n.low) AS low, coalesce(n.close, o.close) AS close FROM o FULL JOIN n USING (window_start, symbol)
 """)
 def _(t):
     def candles(e):
         return agg.ohlc(e, "ts", "event_type", "value", "event_id").drop("window_end")
 
-    old, new = candles(t.events.where("event_id % 2 = 0")), candles(t.events.where("event_id % 2 = 1"))
+    old, new = map(candles, _half_minutes(t))
     return upsert.upsert_merge(old, new, ["window_start", "symbol"], {"open": "old", "high": "greatest", "low": "least", "close": "new"})
 
 
@@ -276,31 +281,31 @@ def _(t):
     return t.spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("rows"), F.max("o_totalprice").alias("top"))
 
 
-@query("u05_incremental_append", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE (o_orderdate < TIMESTAMP '1997-01-01' AND o_custkey % 5 <> 0) OR o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01') - INTERVAL 3 DAY")
+@query("u05_incremental_append", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE (o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority <> '5-LOW') OR o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01') - INTERVAL 3 DAY")
 def _(t):
     o = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
-    # A fifth of the old rows is missing from the table: those of the last three days come in late.
-    loaded = t.orders.where("o_orderdate < '1997-01-01' AND o_custkey % 5 <> 0").select(*o.columns)
+    # Low-priority rows never reached the table: those of its last three days come in late.
+    loaded = t.orders.where("o_orderdate < '1997-01-01' AND o_orderpriority <> '5-LOW'").select(*o.columns)
     return upsert.incremental_append(loaded, o, "o_orderdate", ["o_orderkey"], ["o_orderdate"], lookback=timedelta(days=3))
 
 
 def _two_snapshots(t):
     k = F.col("c_custkey")
-    first = t.customer.where(k % 10 != 9).select("c_custkey", "c_mktsegment", F.when(k % 6 != 0, F.col("c_acctbal")).alias("c_acctbal"))
-    second = t.customer.where(k % 10 != 8).select("c_custkey", F.when(k % 4 == 0, "MOVED").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+    first = t.customer.where("c_nationkey <> 9").select("c_custkey", "c_mktsegment", F.when(k % 6 != 0, F.col("c_acctbal")).alias("c_acctbal"))
+    second = t.customer.where("c_nationkey <> 8").select("c_custkey", F.when(k % 4 == 0, "MOVED").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
                                                   F.when(k % 9 != 0, F.when(k % 6 != 0, F.col("c_acctbal"))).alias("c_acctbal"))
     return first, second
 
 
 @query("u06_scd2", """
-WITH a AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 6 <> 0 THEN c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 10 <> 9),
-b AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_custkey % 9 <> 0 AND c_custkey % 6 <> 0 THEN c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 10 <> 8),
+WITH a AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 6 <> 0 THEN c_acctbal END AS c_acctbal FROM customer WHERE c_nationkey <> 9),
+b AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'MOVED' ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_custkey % 9 <> 0 AND c_custkey % 6 <> 0 THEN c_acctbal END AS c_acctbal FROM customer WHERE c_nationkey <> 8),
 j AS (SELECT coalesce(a.c_custkey, b.c_custkey) AS k, a.c_custkey IS NOT NULL AS in_a, b.c_custkey IS NOT NULL AS in_b, a.c_mktsegment AS am, a.c_acctbal AS ab, b.c_mktsegment AS bm, b.c_acctbal AS bb,
   a.c_mktsegment IS DISTINCT FROM b.c_mktsegment OR a.c_acctbal IS DISTINCT FROM b.c_acctbal AS diff FROM a FULL JOIN b ON a.c_custkey = b.c_custkey),
 v AS (SELECT k, am AS seg, ab AS bal, TIMESTAMP '2024-01-01 00:00:00' AS f, CASE WHEN in_b AND diff THEN TIMESTAMP '2024-02-01 00:00:00' END AS u, NOT (in_b AND diff) AS cur FROM j WHERE in_a
   UNION ALL SELECT k, bm, bb, TIMESTAMP '2024-02-01 00:00:00', NULL, true FROM j WHERE in_b AND (NOT in_a OR diff)),
-w AS (SELECT k, seg, bal, f, CASE WHEN cur AND k % 8 = 0 THEN TIMESTAMP '2024-03-01 00:00:00' ELSE u END AS u, cur AND k % 8 <> 0 AS cur FROM v
-  UNION ALL SELECT k, 'AGAIN', bal, TIMESTAMP '2024-03-01 00:00:00', NULL, true FROM v WHERE cur AND k % 8 = 0)
+w AS (SELECT k, seg, bal, f, CASE WHEN cur AND seg = 'BUILDING' THEN TIMESTAMP '2024-03-01 00:00:00' ELSE u END AS u, cur AND seg <> 'BUILDING' AS cur FROM v
+  UNION ALL SELECT k, 'AGAIN', bal, TIMESTAMP '2024-03-01 00:00:00', NULL, true FROM v WHERE cur AND seg = 'BUILDING')
 SELECT sha256(concat_ws('|', CAST(k AS VARCHAR), CAST(f AS VARCHAR))) AS version_key, k AS c_custkey, seg AS c_mktsegment, bal AS c_acctbal, f AS valid_from, u AS valid_to, cur AS is_current FROM w
 """)
 def _(t):
@@ -308,15 +313,14 @@ def _(t):
     tracked = ["c_mktsegment", "c_acctbal"]
     dim = dims.scd2_open(first, ["c_custkey"], tracked, datetime(2024, 1, 1))
     dim = dims.scd2(dim, second, ["c_custkey"], tracked, datetime(2024, 2, 1))
-    third = dim.where("is_current AND c_custkey % 8 = 0").select("c_custkey", F.lit("AGAIN").alias("c_mktsegment"), "c_acctbal")
+    third = dim.where("is_current AND c_mktsegment = 'BUILDING'").select("c_custkey", F.lit("AGAIN").alias("c_mktsegment"), "c_acctbal")
     return dims.scd2(dim, third, ["c_custkey"], tracked, datetime(2024, 3, 1))
 
 
-@query("u07_scd1", "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 5 = 0 THEN 0.0 ELSE s_acctbal END AS s_acctbal FROM supplier")
+@query("u07_scd1", "SELECT s_suppkey, s_name, CASE WHEN s_nationkey >= 15 THEN 0.0 ELSE s_acctbal END AS s_acctbal FROM supplier")
 def _(t):
-    s = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
-    return dims.scd1(s.where("s_suppkey % 7 <> 0"), s.where("s_suppkey % 5 = 0").withColumn("s_acctbal", F.lit(0.0)).unionByName(
-        s.where("s_suppkey % 7 = 0 AND s_suppkey % 5 <> 0")), ["s_suppkey"])
+    old = t.supplier.where("s_nationkey < 20").select("s_suppkey", "s_name", "s_acctbal")
+    return dims.scd1(old, t.supplier.where("s_nationkey >= 15").select("s_suppkey", "s_name", F.lit(0.0).alias("s_acctbal")), ["s_suppkey"])
 
 
 @query("u08_dim_from_source", """
@@ -510,13 +514,13 @@ def _(t):
 
 
 @query("s11_order_payment_stream", """
-SELECT event_id AS order_id, ts AS order_time, ts + to_minutes(event_id % 30) AS payment_time FROM events WHERE event_id % 3 <> 0 AND event_id % 30 <= 15
+SELECT event_id AS order_id, ts AS order_time, ts + to_minutes(event_id % 30) AS payment_time FROM events WHERE event_type <> 'error' AND event_id % 30 <= 15
 """)
 def _(t):
     """Paid orders; those that fail come out as the watermark passes them and are left out here."""
-    e = t.stream("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    e = t.stream("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     orders = e.select(F.col("event_id").alias("order_id"), F.col("ts").alias("order_time"))
-    paid = e.where("event_id % 3 <> 0").select(F.col("event_id").alias("payment_order_id"), (
+    paid = e.where("event_type <> 'error'").select(F.col("event_id").alias("payment_order_id"), (
         F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 30).cast("int"))).alias("payment_time"))
     path = scratch_path(t.spark, "matched")
     matched = st.match_payments(orders, paid)

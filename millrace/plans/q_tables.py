@@ -266,12 +266,11 @@ def _(t):
 
 
 @query("j08_asof_join", """
-WITH s AS (SELECT date_trunc('month', l_shipdate) AS d, sum(l_quantity) AS qty FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND month(l_shipdate) % 3 = 1 GROUP BY 1)
+WITH s AS (SELECT date_trunc('quarter', l_shipdate) AS d, sum(l_quantity) AS qty FROM lineitem GROUP BY 1)
 SELECT o_orderkey, o_orderdate, qty AS macro_value, d AS macro_date FROM orders ASOF LEFT JOIN s ON o_orderdate >= d
 """)
 def _(t):
-    shipped = t.lineitem.where((F.col("l_shipdate") >= "1996-01-01") & (F.month("l_shipdate") % 3 == 1))
-    series = shipped.groupBy(F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("d")).agg(F.sum("l_quantity").alias("qty"))
+    series = t.lineitem.groupBy(F.date_trunc("quarter", "l_shipdate").cast("timestamp_ntz").alias("d")).agg(F.sum("l_quantity").alias("qty"))
     return joins.asof_join(t.orders.select("o_orderkey", "o_orderdate"), series, "o_orderdate", "d", [],
                            {"qty": "macro_value", "d": "macro_date"})
 
@@ -341,13 +340,13 @@ def _(t):
 @query("j16_coalesce_sources", """
 SELECT event_id, coalesce(p.value, s.value) AS value, coalesce(p.event_type, s.event_type) AS event_type,
   CASE WHEN p.event_id IS NOT NULL THEN 'primary' ELSE 'secondary' END AS _source
-FROM (SELECT event_id, event_type, value FROM events WHERE event_id % 2 = 0) p
+FROM (SELECT event_id, event_type, value FROM events WHERE event_type IN ('click', 'purchase')) p
 FULL JOIN (SELECT event_id, upper(event_type) AS event_type, value + 1 AS value FROM events) s USING (event_id)
 """)
 def _(t):
     e = t.events.select("event_id", "event_type", "value")
     backup = e.select("event_id", F.upper("event_type").alias("event_type"), (F.col("value") + 1).alias("value"))
-    return joins.coalesce_sources(e.where("event_id % 2 = 0"), backup, ["event_id"])
+    return joins.coalesce_sources(e.where("event_type IN ('click', 'purchase')"), backup, ["event_id"])
 
 
 # --- aggregations ------------------------------------------------------------------------
