@@ -39,32 +39,50 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return row[0] or 0, row[1] or 0
 
 
-def split_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int | None = None,
-               sizes: tuple[int, int] | None = None) -> Runs | None:
-    """Cut the groups over the limit into runs; None if there are none.
+class Large(NamedTuple):
+    rows: DataFrame  # rows of the groups over the limit
+    rest: DataFrame | None  # all other rows
+    count: int
+    limit: int
 
-    ``order`` names ascending columns that, with the keys, identify a row: a total order is
-    what lets the range partitioner cut anywhere. ``sizes`` passes what ``largest_group`` found
-    (or an upper bound of it), to spare the count. The limit grows with the table, so that
-    there are never more than ``MAX_RUNS`` large groups or twice as many runs.
+
+def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None,
+                 sizes: tuple[int, int] | None = None) -> Large | None:
+    """Part the groups over the limit from the others; None if no group is over it.
+
+    ``sizes`` passes what ``largest_group`` found (or an upper bound of it), to spare the count.
+    The limit grows with the table, so that there are never more than ``MAX_RUNS`` such groups.
     """
     biggest, total = sizes or largest_group(df, keys)
     limit = max(max_group_rows or MAX_GROUP_ROWS, math.ceil(total / MAX_RUNS))
     if biggest <= limit:
         return None
-    rows, rest, large = df, None, total
-    if keys:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-        hot = stage(counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n"), "hot")
-        large = hot.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-        if not large:
-            return None
-        hot = F.broadcast(hot.drop("_n"))
-        rows, rest = (df.join(hot, _same_keys(keys), how) for how in ("left_semi", "left_anti"))
-    cut = rows.repartitionByRange(2 * math.ceil(large / limit), *keys, *order).withColumn(RUN, F.spark_partition_id())
+    if not keys:
+        return Large(df, None, total, limit)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    hot = stage(counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n"), "hot")
+    count = hot.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if not count:
+        return None
+    hot = F.broadcast(hot.drop("_n"))
+    rows, rest = (df.join(hot, _same_keys(keys), how) for how in ("left_semi", "left_anti"))
+    return Large(rows, rest, count, limit)
+
+
+def split_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int | None = None,
+               sizes: tuple[int, int] | None = None) -> Runs | None:
+    """Cut the large groups into runs of at most about the limit; None if there are none.
+
+    ``order`` names ascending columns that, with the keys, identify a row: a total order is
+    what lets the range partitioner cut anywhere.
+    """
+    large = large_groups(df, keys, max_group_rows, sizes)
+    if large is None:
+        return None
+    cut = large.rows.repartitionByRange(2 * math.ceil(large.count / large.limit), *keys, *order)
     # The range bounds come from sampling, so the run numbers are written once and read by
     # every consumer instead of being computed again.
-    return Runs(stage(cut, "runs"), rest)
+    return Runs(stage(cut.withColumn(RUN, F.spark_partition_id()), "runs"), large.rest)
 
 
 def _same_keys(keys: Sequence[str]) -> Column:

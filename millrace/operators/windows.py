@@ -7,9 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.runs import (
-    MAX_GROUP_ROWS, RUN, by_group_size, largest_group, last_value, sum_value, with_carry,
-)
+from millrace.operators.runs import RUN, by_group_size, large_groups, last_value, sum_value, with_carry
 
 MAX_QUANTILE_ROWS = 1_000_000
 
@@ -37,19 +35,23 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], by: str, name: str = "rank
     For a large group the rank is 1 + the rows with a better value, counted over the distinct
     values only, so a value shared by many rows is one row in the ordered step.
     """
-    biggest, _ = largest_group(df, keys)
     order = F.col(by).desc() if descending else F.col(by).asc()
-    if biggest <= (max_group_rows or MAX_GROUP_ROWS):
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
-    counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
+
+    def plain(rows):
+        return rows.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
+
+    large = large_groups(df, keys, max_group_rows)
+    if large is None:
+        return plain(df)
+    counts = large.rows.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     sums = running_total(counts, keys, [by], F.col("_n"), "_upto", max_group_rows)
     if descending:
-        totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
+        totals = large.rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
         sums = _join_null_safe(sums, totals, keys).withColumn("_r", F.col("_all") - F.col("_upto") + 1)
     else:
         sums = sums.withColumn("_r", F.col("_upto") - F.col("_n") + 1)
-    ranked = sums.select(*keys, by, F.col("_r").cast("bigint").alias(name))
-    return _join_null_safe(df, ranked, [*keys, by])
+    ranked = _join_null_safe(large.rows, sums.select(*keys, by, F.col("_r").cast("bigint").alias(name)), [*keys, by])
+    return ranked if large.rest is None else ranked.unionByName(plain(large.rest))
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -78,21 +80,35 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     return by_group_size(df, keys, order, max_group_rows, None, plain, split)
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
-                  max_group_rows: int | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
-    """Sum of ``value`` from the start of the group to the current row."""
-    total = F.sum(value)
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column],
+                   max_group_rows: int | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
+    """Sums from the start of the group to the current row, one per named value."""
+
+    def upto(value, in_run):
+        return F.sum(value).over(_window(keys, order, in_run).rowsBetween(Window.unboundedPreceding, 0))
 
-    def upto(in_run):
-        return total.over(_window(keys, order, in_run).rowsBetween(Window.unboundedPreceding, 0))
+    def plain(rows):
+        return rows.withColumns({n: upto(v, False) for n, v in values.items()})
 
     def split(rows):
-        before = F.col("_carry")
-        both = F.when(before.isNull(), F.col(name)).when(F.col(name).isNull(), before).otherwise(F.col(name) + before)
-        local = with_carry(rows, keys, total, sum_value).withColumn(name, upto(True))
-        return local.withColumn(name, both.cast(local.schema[name].dataType)).drop("_carry")
+        sums = F.struct(*[F.sum(v).alias(n) for n, v in values.items()])
+        carried = with_carry(rows, keys, sums, lambda s, earlier: F.struct(*[F.sum(s[n]).over(earlier).alias(n) for n in values]))
+        local = carried.withColumns({n: upto(v, True) for n, v in values.items()})
 
-    return by_group_size(df, keys, order, max_group_rows, sizes, lambda rows: rows.withColumn(name, upto(False)), split)
+        def both(n):
+            mine, before = F.col(n), F.col(f"_carry.{n}")
+            total = F.when(before.isNull(), mine).when(mine.isNull(), before).otherwise(mine + before)
+            return total.cast(local.schema[n].dataType)
+
+        return local.withColumns({n: both(n) for n in values}).drop("_carry")
+
+    return by_group_size(df, keys, order, max_group_rows, sizes, plain, split)
+
+
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
+                  max_group_rows: int | None = None) -> DataFrame:
+    """Sum of ``value`` from the start of the group to the current row."""
+    return running_totals(df, keys, order, {name: value}, max_group_rows)
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Mapping[str, Column | str],
@@ -184,59 +200,71 @@ def moving_average(df: DataFrame, keys: Sequence[str], ts: str, value: Column, s
                    max_group_rows: int | None = None) -> DataFrame:
     """Average of ``value`` over rows of the group with time in [t - seconds, t].
 
-    Large groups use prefix sums over the distinct instants: the sum up to ``t`` minus the sum
-    before ``t - seconds``. ``value`` should be a decimal there, so the difference is exact.
+    A range frame adds up its whole frame again for every row. Here the work is linear: the sum
+    up to ``t`` minus the sum before ``t - seconds``, over the distinct instants. Both come from
+    one running total, in which each instant also appears as a row without value just before
+    ``t - seconds``. ``value`` should be a decimal, so that the difference is exact.
     """
-    biggest, _ = largest_group(df, keys)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    span = seconds * 1_000_000
-    if biggest <= (max_group_rows or MAX_GROUP_ROWS):
-        w = Window.partitionBy(*keys).orderBy(micros).rangeBetween(-span, 0)
-        return df.withColumn(name, F.sum(value).over(w).cast("double") / F.count(value).over(w))
-    points = df.groupBy(*keys, micros.alias("_at")).agg(F.sum(value).alias("_v"), F.count(value).alias("_n"))
-    points = points.withColumn("_v", F.coalesce("_v", F.lit(0).cast(points.schema["_v"].dataType)))
-    sums = running_total(points, keys, ["_at"], F.col("_v"), "_sv", max_group_rows)
-    sums = running_total(sums, keys, ["_at"], F.col("_n"), "_sn", max_group_rows)
-    marks = sums.select(*keys, "_at", F.lit(0).alias("_side"), F.struct("_sv", "_sn").alias("_upto"))
-    probes = sums.select(*keys, (F.col("_at") - span - 1).alias("_at"), F.lit(1).alias("_side"),
-                         F.lit(None).cast(marks.schema["_upto"].dataType).alias("_upto"))
-    before = locf(marks.unionByName(probes), keys, ["_at", "_side"], "_upto", "_before", max_group_rows)
-    before = before.where("_side = 1").select(*keys, (F.col("_at") + span + 1).alias("_at"), "_before")
-    avg = _join_null_safe(sums, before, [*keys, "_at"])
-    total = F.col("_sv") - F.coalesce("_before._sv", F.lit(0))
-    rows = F.col("_sn") - F.coalesce("_before._sn", F.lit(0))
-    avg = avg.select(*keys, "_at", F.try_divide(total.cast("double"), rows).alias(name))
-    return _join_null_safe(df.withColumn("_at", micros), avg, [*keys, "_at"]).drop("_at")
+    points = df.groupBy(*keys, micros.alias("_t")).agg(F.sum(value).alias("_v"), F.count(value).alias("_n"))
+    zero = F.lit(0).cast(points.schema["_v"].dataType)
+    # One scan gives both rows of an instant: its mark and the probe before its frame.
+    mark = F.struct(F.col("_t").alias("_at"), F.lit(0).alias("_side"), F.coalesce("_v", zero).alias("_v"), F.col("_n"))
+    probe = F.struct((F.col("_t") - seconds * 1_000_000 - 1).alias("_at"), F.lit(1).alias("_side"), zero.alias("_v"), F.lit(0).cast("bigint").alias("_n"))
+    marks = points.select(*keys, "_t", F.inline(F.array(mark, probe)))
+    sums = running_totals(marks, keys, ["_at", "_side", "_t"], {"_sv": F.col("_v"), "_sn": F.col("_n")}, max_group_rows)
+
+    def difference(c):
+        return F.max(F.when(F.col("_side") == 0, F.col(c))) - F.max(F.when(F.col("_side") == 1, F.col(c)))
+
+    avg = sums.groupBy(*keys, "_t").agg(F.try_divide(difference("_sv").cast("double"), difference("_sn")).alias(name))
+    return _join_null_safe(df.withColumn("_t", micros), avg, [*keys, "_t"]).drop("_t")
 
 
 def sessionize(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_seconds: int, name: str = "session_no",
                max_group_rows: int | None = None) -> DataFrame:
     """Number the sessions of each key: a new one starts after more than ``gap_seconds`` of silence."""
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    sizes = largest_group(df, keys)
-    prev = neighbour(df.withColumn("_at", at), keys, [ts, tie], {"_prev": "_at"}, True, max_group_rows, sizes)
-    starts = F.col("_prev").isNull() | (F.col("_at") - F.col("_prev") > gap_seconds * 1_000_000)
-    flagged = prev.withColumn("_new", starts.cast("int"))
-    return running_total(flagged, keys, [ts, tie], F.col("_new"), name, max_group_rows, sizes).drop("_at", "_prev", "_new")
+    order = [ts, tie]
+    late = F.col("_at") - F.col("_prev") > gap_seconds * 1_000_000
+    starts = F.when(F.col("_prev").isNull() | late, 1).otherwise(0).cast("bigint")
+
+    def plain(rows):
+        w = _window(keys, order)
+        flagged = rows.withColumn("_prev", F.lag("_at").over(w)).withColumn("_new", starts)
+        return flagged.withColumn(name, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def split(rows):
+        w = _window(keys, order, True)
+        before = with_carry(rows, keys, F.max("_at"), last_value)
+        flagged = before.withColumn("_prev", F.coalesce(F.lag("_at").over(w), F.col("_carry"))).withColumn("_new", starts).drop("_carry")
+        local = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        counted = with_carry(flagged, keys, F.sum("_new"), sum_value)
+        return counted.withColumn(name, local + F.coalesce("_carry", F.lit(0).cast("bigint"))).drop("_carry")
+
+    timed = df.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
+    return by_group_size(timed, keys, order, max_group_rows, None, plain, split).drop("_at", "_prev", "_new")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str],
                     max_group_rows: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one task; for a large
-    group the ranks are found from running counts of the distinct values instead.
+    The built-in ``percentile`` keeps every distinct value of a group in one task; for large
+    groups the ranks are found from running counts of the distinct values instead.
     """
     data = df.where(F.col(value).isNotNull())
-    biggest, _ = largest_group(data, keys)
-    if biggest <= (max_group_rows or MAX_QUANTILE_ROWS):
+
+    def plain(rows):
         qs = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs]))
-        return data.groupBy(*keys).agg(qs.alias("_q")).select(
-            *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    counts = data.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+        return rows.groupBy(*keys).agg(qs.alias("_q")).select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+    large = large_groups(data, keys, max_group_rows or MAX_QUANTILE_ROWS)
+    if large is None:
+        return plain(data)
+    counts = large.rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     cum = running_total(counts, keys, [value], F.col("_n"), "_upto", max_group_rows)
-    totals = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
-    cum = _join_null_safe(cum, totals, keys) if keys else cum.withColumn("_all", F.lit(biggest))
+    totals = large.rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
+    cum = _join_null_safe(cum, totals, keys) if keys else cum.withColumn("_all", F.lit(large.count))
 
     def at(index: Column) -> Column:
         inside = (F.col("_upto") - F.col("_n") <= index) & (index < F.col("_upto"))
@@ -247,4 +275,5 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         pos = F.lit(float(p)) * (F.col("_all") - 1)
         picks += [at(F.floor(pos)).alias(f"_lo{i}"), at(F.ceil(pos)).alias(f"_hi{i}")]
         out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (pos - F.floor(pos))).alias(n))
-    return cum.groupBy(*keys).agg(*picks).select(*keys, *out)
+    done = cum.groupBy(*keys).agg(*picks).select(*keys, *out)
+    return done if large.rest is None else done.unionByName(plain(large.rest))
