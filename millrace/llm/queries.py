@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ngram_lm
+from millrace.llm import ngram_lm, packing
 from millrace.session import Tables
 
+#: A vocabulary file that all nodes have; the operators take its path.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,3 +38,9 @@ def op2_lm_scoring(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text").withColumn("held_out", fold(5) == 1)
     model = ngram_lm.train(docs.where(~F.col("held_out")))
     return ngram_lm.score(docs, model, ("doc_id", "held_out"))
+
+
+@query("op10_packing")
+def op10_packing(t: Tables) -> DataFrame:
+    pieces = packing.pack(t.documents, WORD_BPE, ("doc_id",), end=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
