@@ -18,6 +18,10 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: 1: ASCII letters, 2: marks that no pre-tokenizer joins with a letter, 0: all else
+KIND = np.zeros(256, np.uint8)
+KIND[[*range(65, 91), *range(97, 123)]] = 1
+KIND[[ord(c) for c in '!"#$%&()*+,-./:;=?@[]^_`{}~\\']] = 2
 
 _BYTE = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, 256, dtype=U64)
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be inverted modulo 2^64
@@ -56,7 +60,8 @@ def slices(bounds: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def slab(data: np.ndarray, bounds: np.ndarray, lower: bool = False) -> Slab:
+def slab(data: np.ndarray, bounds: np.ndarray, lower: bool = False, parts: bool = False) -> Slab:
+    """``parts``: words also end between an ASCII letter and a mark (``KIND``)."""
     n = len(data)
     if lower:
         data = LOWER[data]
@@ -67,16 +72,21 @@ def slab(data: np.ndarray, bounds: np.ndarray, lower: bool = False) -> Slab:
     cuts = bounds[1:-1]
     before[cuts[cuts < n]] = False
     after[cuts[cuts > 0] - 1] = False
+    if parts and n:
+        kind = KIND[data]
+        cut = (kind[1:] | kind[:-1]) == 3
+        before[1:][cut] = False
+        after[:-1][cut] = False
     start = np.flatnonzero(inside & ~before)
     return Slab(data, bounds, start, np.flatnonzero(inside & ~after) + 1, np.searchsorted(start, bounds))
 
 
-def slabs(column: pa.Array, lower: bool = False, limit: int = 2 << 20) -> Iterator[tuple[int, int, Slab]]:
+def slabs(column: pa.Array, lower: bool = False, limit: int = 2 << 20, parts: bool = False) -> Iterator[tuple[int, int, Slab]]:
     """(first row, end row, slab) over the column."""
     data, bounds = buffers(column)
     for lo, hi in slices(bounds, limit):
         own = bounds[lo:hi + 1]
-        yield lo, hi, slab(data[own[0]:own[-1]], own - own[0], lower)
+        yield lo, hi, slab(data[own[0]:own[-1]], own - own[0], lower, parts)
 
 
 def _powers(n: int, which: str) -> np.ndarray:

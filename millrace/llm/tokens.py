@@ -1,8 +1,9 @@
 """Token ids of whole texts with a public vocabulary, each different word encoded once.
 
 For vocabularies that drop white space, as ``word_bpe_49k.json`` does (its pre-tokenizer never joins
-what white space parts), the ids of a text are those of its words one after the other. A worker
-keeps the ids of the words it has met, up to a fixed number of words, so what a task holds doesn't
+what white space parts), the ids of a text are those of its words one after the other. Words are also
+parted between ASCII letters and marks, and lower-cased where the vocabulary does it, so that fewer are
+different. A worker keeps the ids of the words it has met, up to a fixed number of words, so what a task holds doesn't
 grow with the data.
 """
 
@@ -15,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from millrace.llm.text import Slab, slabs, word_hash
+from millrace.llm.text import LOWER, Slab, slabs, word_hash
 
 KEPT_WORDS = 400_000
 
@@ -26,6 +27,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kept = Tokenizer.from_file(path), kept
+        self.lower = "Lowercase" in str(self.tokenizer.normalizer)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word of letters
+        self.last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -33,33 +38,51 @@ class Encoder:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def _learn(self, keys: list[int], words: list[str]) -> None:
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in found], np.int64)
-        first, total = len(self.place), int(sizes.sum())
-        while self.used + total > len(self.ids):
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only, many in a call: where each ends is seen from its last id."""
+        ids, _ = self._encoded([" ".join(words[i:i + 256]) for i in range(0, len(words), 256)])
+        ends = np.flatnonzero(self.last[ids])
+        if len(ends) != len(words):
+            return self._encoded(words)
+        return ids, np.diff(ends, prepend=-1)
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> np.ndarray:
+        """Keep the ids of new words; the places of the words."""
+        letters = np.array([w.isalpha() for w in words])
+        order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+        n = int(letters.sum())
+        parts = [f([words[i] for i in x.tolist()]) for f, x in ((self._joined, order[:n]), (self._encoded, order[n:]))]
+        ids, sizes = (np.concatenate(x) for x in zip(*parts))
+        first = len(self.place)
+        while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while first + len(keys) > len(self.at):
             self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
-        self.ids[self.used:self.used + total] = [i for x in found for i in x]
+        self.ids[self.used:self.used + len(ids)] = ids
         self.size[first:first + len(keys)] = sizes
         self.at[first:first + len(keys)] = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        self.place.update(zip(keys, range(first, first + len(keys))))
+        self.used += len(ids)
+        self.place.update(zip(keys[order].tolist(), range(first, first + len(keys))))
+        place = np.empty(len(keys), np.int64)
+        place[order] = first + np.arange(len(keys))
+        return place
 
     def encode(self, s: Slab) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, index of each text's first id)."""
         keys, first, back = np.unique(word_hash(s), return_index=True, return_inverse=True)
         if len(self.place) + len(keys) > self.kept:
             self._clear()
-        names = keys.tolist()
-        place = np.array([self.place.get(k, -1) for k in names], np.int64)
+        place = np.array([self.place.get(k, -1) for k in keys.tolist()], np.int64)
         new = np.flatnonzero(place < 0)
         if len(new):
             data, at = s.data.tobytes(), first[new]
             words = [data[a:b].decode("utf-8", "replace") for a, b in zip(s.start[at].tolist(), s.end[at].tolist())]
-            place[new] = np.arange(len(self.place), len(self.place) + len(new))
-            self._learn([names[i] for i in new.tolist()], words)
+            place[new] = self._learn(keys[new], words)
         slot = place[back]
         sizes = self.size[slot]
         ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -75,8 +98,11 @@ def encoder(path: str) -> Encoder:
 
 def encoded(column: pa.Array, path: str, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, bounds of each text's ids), with the id ``end`` after each text."""
-    for lo, hi, s in slabs(column):
-        ids, at = encoder(path).encode(s)
+    coder = encoder(path)
+    for lo, hi, s in slabs(column, parts=True):
+        if coder.lower and b"<|" not in s.data.tobytes():  # special tokens keep their case
+            s = s._replace(data=LOWER[s.data])
+        ids, at = coder.encode(s)
         at = at + np.arange(len(at))
         out = np.full(at[-1], end, np.uint32)
         inside = np.ones(len(out), bool)
