@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import ngram_lm, packing
+from millrace.llm import huffman_ids, ngram_lm, packing
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -40,6 +40,13 @@ def op2_lm_scoring(t: Tables) -> DataFrame:
     return ngram_lm.score(docs, model, ("doc_id", "held_out"))
 
 
+@query("op9_token_output")
+def op9_token_output(t: Tables) -> DataFrame:
+    folder = huffman_ids.write_files(t.documents, WORD_BPE, "doc_id", end=2)
+    texts = huffman_ids.read_files(t.spark, folder)
+    return texts.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query("op10_packing")
 def op10_packing(t: Tables) -> DataFrame:
     pieces = packing.pack(t.documents, WORD_BPE, ("doc_id",), end=1)
