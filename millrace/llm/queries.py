@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import huffman_ids, ngram_lm, packing
+from millrace.llm import huffman_ids, mixing, ngram_lm, packing
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -40,6 +40,58 @@ def op2_lm_scoring(t: Tables) -> DataFrame:
     return ngram_lm.score(docs, model, ("doc_id", "held_out"))
 
 
+@query("op8_mixing", """
+with recursive sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
+         (('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint + 0.5) / 4503599627370496.0 as u
+  from documents
+), weighed as (
+  select *, log2(1 + size) as pref from sized
+), sources as (
+  select source, sum(size)::bigint as words, sum(size * pref) as wp,
+         (array[5.0, 2.0, 1.0])[(row_number() over (order by source nulls last) - 1) % 3 + 1]::double as weight
+  from weighed group by source
+), levels as (
+  select 0 as n, 0::double as level
+  union all
+  select n + 1, ((select sum(words) from sources) - coalesce((select sum(3 * words) from sources where weight * level > 3.0 * words), 0))::double
+                / (select sum(weight) from sources where weight * level <= 3.0 * words)
+  from levels where n < 40
+), shares as (
+  select source, words, wp, least(3.0 * words, weight * (select level from levels order by n desc limit 1))::double as target from sources
+), parts as (
+  select *, case when words > 0 then floor(target / words)::bigint else 0 end as whole from shares
+), ranked as (
+  select doc_id, w.source, size, words, target, whole, target - whole * words as rest,
+         u / (1 - u) * ((1 - c) / c) as rank
+  from (select w.*, p.* exclude (source),
+               greatest(1e-6, least(1 - 1e-6, (target - whole * words) / words * pref * words / wp)) as c
+        from weighed w join parts p on w.source is not distinct from p.source) w
+), running as (
+  select *, sum(size) over (partition by source order by rank, doc_id, size rows unbounded preceding) <= rest as fits,
+         row_number() over (partition by source order by rank, doc_id, size) as rn
+  from ranked where size > 0
+), waiting as (
+  select *, rn - sum(fits::int) over (partition by source) as nth from running
+), fill as (
+  select source, 0::bigint as nth, (any_value(rest) - coalesce(sum(size) filter (fits), 0))::double as remaining, false as taken
+  from waiting group by source
+  union all
+  select w.source, w.nth, case when w.size <= f.remaining then f.remaining - w.size else f.remaining end, w.size <= f.remaining
+  from fill f join waiting w on w.source is not distinct from f.source and w.nth = f.nth + 1 where w.nth <= 200
+), copies as (
+  select w.doc_id, w.source, size, words, target, whole + (fits or coalesce(f.taken, false))::int as copies
+  from waiting w left join fill f on f.source is not distinct from w.source and f.nth = w.nth and w.nth > 0
+  union all
+  select doc_id, source, size, words, target, whole from ranked where size = 0
+)
+select doc_id, size::bigint as size, words as source_size, target, copies::bigint as copies, (size * copies)::bigint as taken from copies
+""")
+def op8_mixing(t: Tables) -> DataFrame:
+    # long documents are preferred a little
+    return mixing.mix(t.documents, ("doc_id",), preference=F.log2(1 + mixing.n_words()))
+
+
 @query("op9_token_output")
 def op9_token_output(t: Tables) -> DataFrame:
     folder = huffman_ids.write_files(t.documents, WORD_BPE, "doc_id", end=2)
