@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import huffman_ids, mixing, ngram_lm, packing
+from millrace.llm import huffman_ids, mixing, ngram_lm, packing, simhash
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -40,6 +40,11 @@ def op2_lm_scoring(t: Tables) -> DataFrame:
     return ngram_lm.score(docs, model, ("doc_id", "held_out"))
 
 
+@query("op6_simhash_near_dedup")
+def op6_simhash_near_dedup(t: Tables) -> DataFrame:
+    return simhash.near_duplicates(t.documents, ("doc_id",), width=4, distance=4)
+
+
 @query("op8_mixing", """
 with recursive sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
