@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import huffman_ids, mixing, ngram_lm, packing, simhash
+from millrace.llm import huffman_ids, mixing, ngram_lm, packing, simhash, suffix_dedup
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -40,6 +40,12 @@ def op2_lm_scoring(t: Tables) -> DataFrame:
     return ngram_lm.score(docs, model, ("doc_id", "held_out"))
 
 
+@query("op4_suffix_array_dedup")
+def op4_suffix_array_dedup(t: Tables) -> DataFrame:
+    found = suffix_dedup.dedup(t.documents, ("doc_id",), length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_simhash_near_dedup")
 def op6_simhash_near_dedup(t: Tables) -> DataFrame:
     return simhash.near_duplicates(t.documents, ("doc_id",), width=4, distance=4)

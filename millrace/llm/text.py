@@ -25,6 +25,7 @@ KIND[[ord(c) for c in '!"#$%&()*+,-./:;=?@[]^_`{}~\\']] = 2
 
 _BYTE = np.random.Generator(np.random.PCG64(20)).integers(1, 2**63, 256, dtype=U64)
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be inverted modulo 2^64
+_SIZE = 0xD6E8FEB86659FD93
 _POWERS = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
@@ -105,10 +106,15 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     return sums
 
 
-def substring_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of data[start:end]; equal bytes have equal hashes wherever they are."""
+def substring_hash(sums: np.ndarray, start, end, length: int | None = None) -> np.ndarray:
+    """64-bit hash of data[start:end]; equal bytes have equal hashes wherever they are.
+
+    ``start`` and ``end`` are index arrays, or slices if all have the same ``length``.
+    """
     poly = (sums[end] - sums[start]) * _powers(len(sums), "down")[start]
-    return mix(poly + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+    if length is not None:
+        return mix(poly + U64(length * _SIZE % 2**64))
+    return mix(poly + (end - start).astype(U64) * U64(_SIZE))
 
 
 def word_hash(s: Slab) -> np.ndarray:
