@@ -44,8 +44,8 @@ KMER = 32
 HOT = 4096
 NULL = -(1 << 63)
 BLOCKS = "bucket long, block binary"
-PIECE = 4 << 20
-_PLACE = 23  # bits that hold a place in a piece
+PIECE = 1 << 20
+_PLACE = 21  # bits that hold a place in a piece
 
 
 class Anchors(NamedTuple):
@@ -212,7 +212,7 @@ def _blob(rows: pa.RecordBatch) -> bytes:
 class Segments:
     """Segments of a task: equal ones are joined, the earliest goes on, the others' windows are repeats."""
 
-    def __init__(self, bits: int, key_bits: int, limit: int = 24 << 20):
+    def __init__(self, bits: int, key_bits: int, limit: int = 16 << 20):
         self.edges, self.key_edges, self.limit = tables.edges(bits), tables.edges(key_bits), limit
         self.parts: list[list[np.ndarray]] = []
         self.bytes: list[bytes] = []
@@ -275,7 +275,7 @@ def _tables(blocks) -> list[np.ndarray]:
 
 
 def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH, kmer: int = KMER, hot: int = HOT,
-                 block_bytes: int = 1 << 20, folder: str | None = None) -> tuple[str, int]:
+                 block_bytes: int = 1 << 18, folder: str | None = None) -> tuple[str, int]:
     """(folder, bits) of the table of repeated windows of the column ``text``, by ``document_key``."""
     frame = docs.select("text", F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL)).alias("doc"))
     folder = tables.new_folder(docs.sparkSession, "suffix", folder)
@@ -297,7 +297,7 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
     frame.select("text").mapInArrow(count_anchors, BLOCKS).groupBy("bucket").applyInPandas(store_anchors, "n long").agg(F.sum("n")).collect()
 
     def cut_segments(batches):
-        held = Segments(bits, bits)
+        held = Segments(bits + 2, bits)  # segments are the larger part: smaller buckets
         edges = tables.edges(bits)
         for batch in batches:
             data, bounds = buffers(batch.column(0))
