@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import huffman_ids, mixing, ngram_lm, packing, simhash, suffix_dedup
+from millrace.llm import huffman_ids, language_id, mixing, ngram_lm, packing, simhash, suffix_dedup
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -46,6 +46,13 @@ def op4_suffix_array_dedup(t: Tables) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op5_language_id")
+def op5_language_id(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text", "lang").withColumn("held_out", fold(3) == 1)
+    model = language_id.train(docs.where(~F.col("held_out")))
+    return language_id.predict(docs, model, ("doc_id", "held_out"))
+
+
 @query("op6_simhash_near_dedup")
 def op6_simhash_near_dedup(t: Tables) -> DataFrame:
     return simhash.near_duplicates(t.documents, ("doc_id",), width=4, distance=4)

@@ -140,11 +140,12 @@ def load(folder: str, name: str, bucket: int, column: str) -> np.ndarray | None:
 
 
 def lookup(folder: str, name: str, bits: int, keys: np.ndarray, columns: dict[str, tuple]) -> dict[str, np.ndarray]:
-    """Values of ascending ``keys``; ``columns`` gives (type, value where there is no such key) of each.
+    """Values of ascending ``keys``; ``columns`` gives (type, value where there is no such key, and the width
+    of a row where it isn't one value) of each.
 
     The column ``at`` is the key's place in its bucket.
     """
-    out = {c: np.full(len(keys), missing, kind) for c, (kind, missing) in columns.items()}
+    out = {c: np.full((len(keys), *width), missing, kind) for c, (kind, missing, *width) in columns.items()}
     cuts = [0, *np.searchsorted(keys, edges(bits)), len(keys)]
     for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if a == b or (stored := load(folder, name, bucket, "key")) is None or not len(stored):
