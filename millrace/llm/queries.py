@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import huffman_ids, language_id, mixing, ngram_lm, packing, simhash, suffix_dedup
+from millrace.llm import huffman_ids, language_id, mixing, ngram_lm, packing, quality_classifier, simhash, suffix_dedup
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -33,6 +33,12 @@ def fold(n: int, doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
+@query("op1_quality_classifier")
+def op1_quality_classifier(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text").withColumn("held_out", fold(5) == 0)
+    return quality_classifier.classify(docs, t.labels, ~F.col("held_out"), ("doc_id", "held_out"))
+
+
 @query("op2_lm_scoring")
 def op2_lm_scoring(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text").withColumn("held_out", fold(5) == 1)
