@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import huffman_ids, language_id, mixing, ngram_lm, packing, quality_classifier, simhash, suffix_dedup
+from millrace.llm import divergence, huffman_ids, language_id, mixing, ngram_lm, packing, quality_classifier, simhash, suffix_dedup
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -64,6 +64,73 @@ def op6_simhash_near_dedup(t: Tables) -> DataFrame:
     return simhash.near_duplicates(t.documents, ("doc_id",), width=4, distance=4)
 
 
+def _divergence_sql() -> str:
+    """The rules in SQL; sums over the classes and common words are spelled out as list expressions."""
+    words = "[" + ", ".join(f"'{w}'" for w in divergence.COMMON_WORDS) + "]"
+    n = len(divergence.COMMON_WORDS) + 1
+
+    def means(column: str, size: int) -> str:
+        return "[" + ", ".join(f"avg({column}[{i + 1}])" for i in range(size)) + "]"
+
+    def far(p: str, q: str) -> str:
+        part = "case when {0} > 0 then {0} * log2(2 * {0} / ({0} + {1})) else 0 end"
+        one, two = part.format("z[1]", "z[2]"), part.format("z[2]", "z[1]")
+        return f"sqrt(greatest(list_sum(list_transform(list_zip({p}, {q}), lambda z: ({one} + {two}) / 2)), 0))"
+
+    def reference(rows: str) -> str:
+        return f"select lang, {means('classes', divergence.CLASSES)} as mc, {means('common', n)} as mw from {rows} where kept group by lang"
+
+    def judged(means: str) -> str:
+        return f"""
+          select s.*, not base_failed and coalesce({far("classes", "mc")}, 0) <= {divergence.CLASS_LIMIT}
+                      and coalesce({far("common", "mw")}, 0) <= {divergence.WORD_LIMIT} as kept
+          from scaled s left join {means} r on s.lang is not distinct from r.lang"""
+
+    return f"""
+with docs as (
+  select row_number() over () as id, doc_id, lang, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+  from documents
+), places as (
+  select id, words, unnest(range(1, len(words) - 1)) as i from docs where len(words) > 2
+), windows as (
+  select id, i, count(*) over (partition by id, words[i], words[i + 1], words[i + 2]) as n from places
+), covered as (
+  select id, count(distinct place) as n from (select id, unnest([i, i + 1, i + 2]) as place from windows where n > 1) group by id
+), counts as (
+  select doc_id, lang, len(words) as n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+         coalesce(c.n, 0) as n_repeat_words, length(text) as chars, strlen(text) - length(text) as high,
+         len(regexp_extract_all(text, '[A-Z]')) as upper_, len(regexp_extract_all(text, '[0-9]')) as digit,
+         len(regexp_extract_all(text, '[.,;:?]')) as stop, len(regexp_extract_all(text, '[!"''()+\\-/=@\\[\\\\\\]^_`{{}}~]')) as mark,
+         list_transform({words}, lambda c: len(list_filter(words, lambda w: lower(w) = c))) as common
+  from docs left join covered c using (id)
+), histograms as (
+  select * exclude (common), n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+         [greatest(word_chars - upper_ - digit - stop - mark - n_symbols - high, 0), chars - word_chars, upper_, digit, stop, mark, n_symbols, high] as classes,
+         list_append(common, n_words - list_sum(common)::bigint) as common
+  from counts
+), scaled as (
+  select * exclude (classes, common),
+         case when chars >= {divergence.MIN_CHARS} then list_transform(classes, lambda x: x / list_sum(classes)) end as classes,
+         case when n_words >= {divergence.LEAST_COMMON} then list_transform(common, lambda x: x / list_sum(common)) end as common
+  from histograms
+), means1 as ({reference("(select *, not base_failed as kept from scaled)")}),
+round1 as ({judged("means1")}),
+means2 as ({reference("round1")}),
+round2 as ({judged("means2")})
+select doc_id, n_words::bigint as n_words, word_chars, n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines,
+       n_repeat_words::bigint as n_repeat_words, base_failed, kept
+from round2
+"""
+
+
+@query("op7_quality_rules", _divergence_sql())
+def op7_quality_rules(t: Tables) -> DataFrame:
+    return divergence.judge(t.documents, ("doc_id",)).drop("class_distance", "word_distance")
+
+
 @query("op8_mixing", """
 with recursive sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as size,
