@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import divergence, huffman_ids, language_id, mixing, ngram_lm, packing, quality_classifier, simhash, suffix_dedup
+from millrace.llm import divergence, huffman_ids, iblt, language_id, mixing, ngram_lm, packing, quality_classifier, simhash, suffix_dedup
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -46,6 +46,11 @@ def op2_lm_scoring(t: Tables) -> DataFrame:
     return ngram_lm.score(docs, model, ("doc_id", "held_out"))
 
 
+@query("op3_document_fingerprints")
+def op3_document_fingerprints(t: Tables) -> DataFrame:
+    return iblt.compare(t.documents, ("doc_id",))
+
+
 @query("op4_suffix_array_dedup")
 def op4_suffix_array_dedup(t: Tables) -> DataFrame:
     found = suffix_dedup.dedup(t.documents, ("doc_id",), length=100)
