@@ -226,6 +226,18 @@ def score(stats: DataFrame, trees: Trees, keep: Sequence[str], threshold: float
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def score_texts(docs: DataFrame, trees: Trees, keep: Sequence[str], threshold: float = THRESHOLD) -> DataFrame:
+    """The same for rows with the column ``text``: statistics and score in one step, so that nothing is stored."""
+    return score(statistics(docs, keep), trees, keep, threshold)
+
+
+def fit_texts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality", max_rows: int = MAX_ROWS) -> Trees:
+    """Trees from the labelled rows of ``docs``; only statistics are stored."""
+    known = labels.select(F.col(doc_id).alias("_doc"), F.col(label).alias("_label"))
+    stats = stage(statistics(docs.select("text", F.col(doc_id).alias("_doc")), ("_doc",)), "stats")
+    return fit(stats, known, "_doc", "_label", max_rows)
+
+
 def classify(docs: DataFrame, labels: DataFrame, learn: Column | None = None, keep: Sequence[str] = ("doc_id",), doc_id: str = "doc_id",
              label: str = "quality", threshold: float = THRESHOLD, max_rows: int = MAX_ROWS) -> DataFrame:
     """Fit on the labelled rows for which ``learn`` holds and score all rows of ``docs``."""

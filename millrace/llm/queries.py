@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +67,7 @@ def op5_language_id(t: Tables) -> DataFrame:
 
 @query("op6_simhash_near_dedup")
 def op6_simhash_near_dedup(t: Tables) -> DataFrame:
-    return simhash.near_duplicates(t.documents, ("doc_id",), width=4, distance=4)
+    return simhash.near_duplicates(t.documents, ("doc_id",), width=4, distance=4).drop("root")
 
 
 def _divergence_sql() -> str:
@@ -199,3 +200,8 @@ def op9_token_output(t: Tables) -> DataFrame:
 def op10_packing(t: Tables) -> DataFrame:
     pieces = packing.pack(t.documents, WORD_BPE, ("doc_id",), end=1)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -183,7 +183,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS) ->
 
 def near_duplicates(docs: DataFrame, keep: Sequence[str] = (), doc_id: str = "doc_id", width: int = WIDTH,
                     distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
-    """One row per row of ``docs``: columns ``keep``, fingerprint (16 hex digits) and component_id."""
+    """One row per row of ``docs``: columns ``keep``, fingerprint (16 hex digits), component_id, and root (the least
+    fingerprint, as a signed number, of the component: it names it even if no row in it has an id)."""
     found = fingerprints(docs.select("text", F.col(doc_id).alias("_id"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)]),
                          ("_id", *[f"_c{i}" for i in range(len(keep))]), width)
     rows = stage(found, "fingerprints")
@@ -191,6 +192,6 @@ def near_duplicates(docs: DataFrame, keep: Sequence[str] = (), doc_id: str = "do
     roots = components(links(nodes, distance, segments))
     nodes = stage(nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
     names = stage(nodes.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id")), "names")
-    classes = stage(nodes.join(names, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id"), "classes")
+    classes = stage(nodes.join(names, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id", "root"), "classes")
     return rows.join(classes, F.col("fp") == F.col("f")).select(
-        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)], F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)], F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")

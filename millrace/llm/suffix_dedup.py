@@ -375,13 +375,13 @@ def _repeats(block: list[int], text: list[bytes], doc, digest, start, length: in
     return document_key(doc, digest)[row[later]], at[later], at[later] + 1
 
 
-OUT = "n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary"
+OUT = "n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept "
 
 
 def dedup(docs: DataFrame, keep: Sequence[str] = ("doc_id",), doc_id: str = "doc_id", length: int = LENGTH, kmer: int = KMER,
-          hot: int = HOT, folder: str | None = None) -> DataFrame:
+          hot: int = HOT, as_text: bool = False, folder: str | None = None) -> DataFrame:
     """One row per row of ``docs``: columns ``keep``, n_bytes and n_removed, spans (maximal removed runs, in bytes) and
-    kept (the remaining bytes)."""
+    kept (the remaining bytes; ``as_text``: as a string, without characters of which only a part remains)."""
     folder, bits = find_repeats(docs, doc_id, length, kmer, hot, folder=folder)
     frame = docs.select("text", F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL)).alias("_doc"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
     kept = frame.schema.fields[2:]
@@ -414,9 +414,10 @@ def dedup(docs: DataFrame, keep: Sequence[str] = ("doc_id",), doc_id: str = "doc
                     spans.append(found)
                     left.append(b"".join(rest))
                 sizes = np.diff(bounds[lo:hi + 1])
-                columns = [pa.array(sizes), pa.array(sizes - np.array([len(x) for x in left])), pa.array(spans, span), pa.array(left, pa.binary())]
+                columns = [pa.array(sizes), pa.array(sizes - np.array([len(x) for x in left])), pa.array(spans, span), 
+                           pa.array([x.decode("utf-8", "ignore") for x in left], pa.string()) if as_text else pa.array(left, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i + 2).slice(lo, hi - lo) for i in range(len(kept))), *columns],
                                                  names=[*(f.name for f in kept), "n_bytes", "n_removed", "spans", "kept"])
 
-    out = frame.mapInArrow(remove, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), OUT]))
+    out = frame.mapInArrow(remove, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), OUT + ("string" if as_text else "binary")]))
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "n_bytes", "n_removed", "spans", "kept")
