@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
@@ -12,13 +13,16 @@ from millrace.operators.columns import attach_scalars
 from millrace.operators.windows import exact_quantiles
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Sum as a decimal, returned as double: the same total whatever the task order."""
+def exact_sum(value: Column | str, scale: int = 12) -> Column:
+    """Sum as a wide decimal, returned as double: the same total whatever the task order.
+
+    Values keep ``scale`` decimals; the total may have 38 - ``scale`` digits before the point.
+    """
     col = F.col(value) if isinstance(value, str) else value
-    return F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(col.cast(f"decimal(38,{scale})")).cast("double")
 
 
-def exact_avg(value: Column | str, scale: int = 2) -> Column:
+def exact_avg(value: Column | str, scale: int = 12) -> Column:
     col = F.col(value) if isinstance(value, str) else value
     return F.try_divide(exact_sum(col, scale), F.count(col))
 
@@ -63,7 +67,8 @@ def sales_by_product(df: DataFrame, product: str, amount: str, quantity: str, va
 
     Rows that are not ``valid`` do not count, and a product with no other rows is left out.
     """
-    total = F.coalesce(F.col(amount), F.lit(0)).cast("decimal(18,2)") * F.coalesce(F.col(quantity), F.lit(1)).cast("decimal(10,0)")
+    # six decimals of an amount below 1e18, four of a quantity below 1e9: the product is exact
+    total = F.coalesce(F.col(amount), F.lit(0)).cast("decimal(24,6)") * F.coalesce(F.col(quantity), F.lit(1)).cast("decimal(13,4)")
     sold = df.where(F.col(product).isNotNull() & (F.col(product) != "")).groupBy(product)
     if valid is None:
         return sold.agg(F.sum(total).cast("double").alias("total_sales"))
@@ -145,15 +150,16 @@ def recent_mean(df: DataFrame, key: str, ts: str, value: str, as_of: datetime, d
 
 
 def mention_counts(docs: DataFrame, text: str, keywords: Sequence[str]) -> DataFrame:
-    """Documents that mention each keyword as a whole word; keywords without a mention stay with 0.
+    """Documents that mention each keyword as a whole word, in any case; keywords without a mention stay with 0.
 
     One scan and one aggregated row, turned into one row per keyword.
     """
     edge = r"[^\p{L}\p{N}_]"
     low = docs.select(F.lower(text).alias("_low"))
     # The plain substring test spares most texts the pattern.
-    hits = low.agg(*[F.count_if(F.col("_low").contains(k) & F.col("_low").rlike(f"(^|{edge}){k}($|{edge})")).alias(f"_k{i}")
-                     for i, k in enumerate(keywords)])
+    words = [k.lower() for k in keywords]
+    hits = low.agg(*[F.count_if(F.col("_low").contains(k) & F.col("_low").rlike(f"(^|{edge}){re.escape(k)}($|{edge})")).alias(f"_k{i}")
+                     for i, k in enumerate(words)])
     pairs = [F.struct(F.lit(k).alias("keyword"), F.coalesce(f"_k{i}", F.lit(0)).alias("documents")) for i, k in enumerate(keywords)]
     return hits.select(F.inline(F.array(*pairs)))
 
@@ -197,6 +203,6 @@ def partition_sizes(df: DataFrame) -> DataFrame:
 def key_share(df: DataFrame, key: str) -> DataFrame:
     """Rows per key and share of all rows."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.agg(F.count(F.lit(1)).alias("_all"))
+    total = counts.agg(F.sum("rows").alias("_all"))
     shared = attach_scalars(counts, total)
     return shared.withColumn("share", F.col("rows") / F.col("_all")).drop("_all")

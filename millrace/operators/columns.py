@@ -79,7 +79,7 @@ def impute_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.fillna(dict(values))
 
 
-def impute_mean(df: DataFrame, col: str, decimals: str = "decimal(18,4)") -> DataFrame:
+def impute_mean(df: DataFrame, col: str, decimals: str = "decimal(38,12)") -> DataFrame:
     """Replace NULL by the column mean, computed once as a scalar subquery.
 
     The mean is an exact decimal sum over a count, so it does not depend on task order.

@@ -40,9 +40,12 @@ def scd2(dim: DataFrame, snapshot: DataFrame, keys: Sequence[str], tracked: Sequ
     """
     cols = ["version_key", *keys, *tracked, "valid_from", "valid_to", "is_current"]
     start = F.lit(as_of).cast("timestamp_ntz")
-    now = dim.where("is_current").select(*keys, F.struct("version_key", *tracked, "valid_from").alias("_d"))
-    new = snapshot.select(*keys, F.struct(*tracked).alias("_s"))
-    both = now.join(new, list(keys), "full")
+    now = dim.where("is_current").select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)], F.struct("version_key", *tracked, "valid_from").alias("_d"))
+    new = snapshot.select(*[F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)], F.struct(*tracked).alias("_s"))
+    meets = F.lit(True)
+    for i in range(len(keys)):
+        meets = meets & F.col(f"_dk{i}").eqNullSafe(F.col(f"_sk{i}"))
+    both = now.join(new, meets, "full").select("_d", "_s", *[F.coalesce(f"_dk{i}", f"_sk{i}").alias(k) for i, k in enumerate(keys)])
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(f"_d.{c}").eqNullSafe(F.col(f"_s.{c}"))

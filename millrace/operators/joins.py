@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.runs import MAX_GROUP_ROWS, largest_group
+from millrace.operators.runs import MAX_GROUP_ROWS, MAX_RUNS, largest_group
 from millrace.operators.windows import _join_null_safe, locf
 from millrace.session import stage
 
@@ -63,6 +63,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by
     sign = 1 if direction == "backward" else -1
     picked = F.struct(*[F.col(src).alias(dst) for src, dst in values.items()])
     marks = right.select(*by, (sign * _at(right, right_on)).alias("_at"), F.lit(0).alias("_side"), picked.alias("_val"))
+    for k in by:  # a NULL series has no values, so NULL never matches NULL
+        marks = marks.where(F.col(k).isNotNull())
     at = sign * _at(left, left_on)
     probes = left.select(*by, at.alias("_at")).distinct()
     probes = probes.select(*by, "_at", F.lit(1).alias("_side"), F.lit(None).cast(marks.schema["_val"].dataType).alias("_val"))
@@ -84,10 +86,11 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 def hot_keys(df: DataFrame, key: str, max_key_rows: int | None = None) -> DataFrame:
     """Keys with more rows than the limit and how many pieces each needs.
 
-    There are fewer such keys than rows / limit, which bounds this table.
+    The limit grows with the table, so that there are never more than ``MAX_RUNS`` such keys.
     """
-    limit = max_key_rows or MAX_GROUP_ROWS
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    limit = max(max_key_rows or MAX_GROUP_ROWS, -(-total // MAX_RUNS))
     return counts.where(F.col("_n") > limit).select(F.col(key).alias("_hot"), F.ceil(F.col("_n") / limit).cast("int").alias("_pieces"))
 
 

@@ -177,7 +177,7 @@ def run_live_sales(sales: DataFrame, out: str, checkpoint: str, processed_at: da
 def enrich_monthly(monthly: DataFrame, max_group_rows: int | None = None) -> DataFrame:
     """Rank of the region within category and month, and cumulative revenue of the region."""
     ranked = windows.rank_in_group(monthly, ["category", "year", "month"], "total_revenue", "region_rank", max_group_rows=max_group_rows)
-    total = windows.running_total(ranked, ["region"], ["year", "month", "category"], F.col("total_revenue").cast("decimal(18,2)"),
+    total = windows.running_total(ranked, ["region"], ["year", "month", "category"], F.col("total_revenue").cast("decimal(38,12)"),
                                   "cumulative_revenue", max_group_rows)
     return total.withColumn("cumulative_revenue", F.col("cumulative_revenue").cast("double"))
 

@@ -564,7 +564,7 @@ def _(t):
         raise OSError("database is down")
 
     st.start_query(event_stream(t), scratch_path(t.spark, "offsets"), "append",
-                   write=st.retrying(broken, path, attempts=3, sleep=pauses.append)).awaitTermination()
+                   write=st.retrying(broken, path, attempts=3, reraise=False, sleep=pauses.append)).awaitTermination()
     return t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("parked"), F.lit(len(pauses)).alias("pauses"))
 
 

@@ -22,7 +22,7 @@ def generate_sales(spark: SparkSession, rows: int, seed: int = 42, late_share: f
     late = F.rand(seed + 5) < late_share
     delay = F.when(late, F.floor(120 + F.rand(seed + 6) * 361)).otherwise(0).cast("int")
     return spark.range(1, rows + 1).select(
-        F.concat(F.lit("TXN"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("transaction_id"),
+        F.concat(F.lit("TXN"), F.when(F.col("id") < 1_000_000, F.lpad(F.col("id").cast("string"), 6, "0")).otherwise(F.col("id").cast("string"))).alias("transaction_id"),
         pick(CATEGORIES, 0).alias("category"), pick(REGIONS, 1).alias("region"),
         F.round(10 + F.rand(seed + 2) * 990, 2).alias("amount"), (F.floor(F.rand(seed + 3) * 9) + 1).cast("int").alias("quantity"),
         F.date_format(day, "yyyy-MM-dd").alias("date"), delay.alias("late_seconds"))

@@ -39,6 +39,9 @@ def read_kafka_avro(spark: SparkSession, avsc: str, servers: str, topic: str, st
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batchsize: int = 1000,
                connections: int = 16, properties: dict[str, str] | None = None) -> None:
-    """Append to or overwrite a SQL table with at most ``connections`` parallel writers."""
-    (df.coalesce(connections).write.format("jdbc").mode(mode)
+    """Append to or overwrite a SQL table with at most ``connections`` parallel writers.
+
+    The rows are dealt to them by a shuffle, so that the stage before keeps all its tasks.
+    """
+    (df.repartition(connections).write.format("jdbc").mode(mode)
      .options(url=url, dbtable=table, batchsize=str(batchsize), **(properties or {})).save())

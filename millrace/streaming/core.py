@@ -178,9 +178,9 @@ def append_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def retrying(write: Callable[[DataFrame, int], None], dead_letters: str, attempts: int = 3, base_seconds: float = 1.0,
-             reraise: bool = False, sleep: Callable[[float], None] = time.sleep) -> Callable[[DataFrame, int], None]:
+             reraise: bool = True, sleep: Callable[[float], None] = time.sleep) -> Callable[[DataFrame, int], None]:
     """Try a batch writer several times with 1, 2, 4… second pauses, then park the batch under
-    ``dead_letters/batch_id=…`` and go on, or fail the query if asked to."""
+    ``dead_letters/batch_id=…`` and fail the query; to go on without it is a decision (``reraise=False``)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         for attempt in range(attempts):
