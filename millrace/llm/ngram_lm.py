@@ -31,7 +31,7 @@ from millrace.llm import tables
 from millrace.llm.text import U64, count_unique, mix, slabs, total, unmix, word_hash
 
 END = U64(0x2545F4914F6CDD1D)  # hash of the end mark
-SLAB = 4 << 20
+SLAB = 2 << 20
 BLOCKS = "bucket long, block binary"
 
 

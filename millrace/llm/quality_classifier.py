@@ -228,7 +228,20 @@ def score(stats: DataFrame, trees: Trees, keep: Sequence[str], threshold: float
 
 def score_texts(docs: DataFrame, trees: Trees, keep: Sequence[str], threshold: float = THRESHOLD) -> DataFrame:
     """The same for rows with the column ``text``: statistics and score in one step, so that nothing is stored."""
-    return score(statistics(docs, keep), trees, keep, threshold)
+    others = [c for c in keep if c != "text"]
+    frame = docs.select("text", *[F.col(c).alias(f"_k{i}") for i, c in enumerate(others)])
+
+    columns = [*frame.columns, "score"]
+
+    def read(batches):
+        for batch in batches:
+            for lo, hi, s in slabs(batch.column(0)):
+                own = [batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(trees.score(stats_of(s)))], names=columns)
+
+    out = frame.mapInArrow(read, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields), "score double"]))
+    names = {c: f"_k{i}" for i, c in enumerate(others)} | {"text": "text"}
+    return out.select(*[F.col(names[c]).alias(c) for c in keep], "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def fit_texts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality", max_rows: int = MAX_ROWS) -> Trees:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import divergence, huffman_ids, iblt, language_id, mixing, ngram_lm, packing, quality_classifier, simhash, suffix_dedup
+from millrace.llm.text import small_batches
 from millrace.session import Tables
 
 #: A vocabulary file that all nodes have; the operators take its path.
@@ -21,7 +22,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            small_batches(spark)
+            return fn(Tables(spark, folder))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn

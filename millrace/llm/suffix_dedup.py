@@ -44,8 +44,8 @@ KMER = 32
 HOT = 4096
 NULL = -(1 << 63)
 BLOCKS = "bucket long, block binary"
-PIECE = 1 << 20
-_PLACE = 21  # bits that hold a place in a piece
+PIECE = 1 << 19
+_PLACE = 20  # bits that hold a place in a piece
 
 
 class Anchors(NamedTuple):
@@ -212,7 +212,7 @@ def _blob(rows: pa.RecordBatch) -> bytes:
 class Segments:
     """Segments of a task: equal ones are joined, the earliest goes on, the others' windows are repeats."""
 
-    def __init__(self, bits: int, key_bits: int, limit: int = 16 << 20):
+    def __init__(self, bits: int, key_bits: int, limit: int = 8 << 20):
         self.edges, self.key_edges, self.limit = tables.edges(bits), tables.edges(key_bits), limit
         self.parts: list[list[np.ndarray]] = []
         self.bytes: list[bytes] = []
@@ -268,14 +268,14 @@ def _batch(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("bucket", pa.int64()), ("block", pa.binary())]))
 
 
-def _tables(blocks) -> list[np.ndarray]:
-    """Columns of all blocks, one after the other; bytes as a list."""
+def _tables(blocks) -> list:
+    """Columns of all blocks, one after the other; bytes as (data, bounds)."""
     whole = pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in blocks])
-    return [c.to_pylist() if c.type == pa.binary() else c.to_numpy() for c in whole.columns]
+    return [buffers(c) if c.type == pa.binary() else c.to_numpy() for c in whole.columns]
 
 
 def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH, kmer: int = KMER, hot: int = HOT,
-                 block_bytes: int = 1 << 18, folder: str | None = None) -> tuple[str, int]:
+                 block_bytes: int = 1 << 17, folder: str | None = None) -> tuple[str, int]:
     """(folder, bits) of the table of repeated windows of the column ``text``, by ``document_key``."""
     frame = docs.select("text", F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL)).alias("doc"))
     folder = tables.new_folder(docs.sparkSession, "suffix", folder)
@@ -297,7 +297,7 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
     frame.select("text").mapInArrow(count_anchors, BLOCKS).groupBy("bucket").applyInPandas(store_anchors, "n long").agg(F.sum("n")).collect()
 
     def cut_segments(batches):
-        held = Segments(bits + 2, bits)  # segments are the larger part: smaller buckets
+        held = Segments(bits + 4, bits)  # segments are the larger part: smaller buckets
         edges = tables.edges(bits)
         for batch in batches:
             data, bounds = buffers(batch.column(0))
@@ -337,7 +337,9 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
         anchor, content = anchor.view(U64), content.view(U64)
         keep = first_of(mix(anchor ^ mix(content)), doc, digest.view(U64), start)
         again = [(document_key(doc, digest)[~keep], start[~keep], end[~keep])]
-        order = np.flatnonzero(keep & np.array([len(x) > 0 for x in text]))
+        data, bounds = text
+        length_of = np.diff(bounds)
+        order = np.flatnonzero(keep & (length_of > 0))  # hot windows come without bytes: their hash has said it all
         order = order[np.argsort(anchor[order], kind="stable")]
         first = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0])) if len(order) else np.zeros(0, np.int64)
         size = np.diff(np.append(first, len(order)))
@@ -346,10 +348,10 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
         for f, n in [*((f, n) for f, n in zip(first.tolist(), size.tolist()) if n > 1), (0, 0)]:
             own = order[f:f + n].tolist()
             if block and (not n or held >= block_bytes):
-                again.append(_repeats(block, text, doc, digest, start, length))
+                again.append(_repeats(block, [data[bounds[i]:bounds[i + 1]].tobytes() for i in block], doc, digest, start, length))
                 block, held = [], 0
             block += own
-            held += sum(len(text[i]) for i in own)
+            held += int(length_of[own].sum())
         return pd.DataFrame(_range_rows(*(np.concatenate(x) for x in zip(*again)), tables.edges(bits)), columns=["bucket", "block"])
 
     def store_ranges(pdf):
@@ -366,9 +368,9 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
     return folder, bits
 
 
-def _repeats(block: list[int], text: list[bytes], doc, digest, start, length: int):
+def _repeats(block: list[int], segments: list[bytes], doc, digest, start, length: int):
     rows = np.array(block)
-    string, segment, offset = repeated([text[i] for i in block], length)
+    string, segment, offset = repeated(segments, length)
     row = rows[segment]
     at = start[row] + offset
     later = ~first_of(string, doc[row], digest.view(U64)[row], at)

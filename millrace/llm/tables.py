@@ -88,7 +88,7 @@ class Counter:
     It holds at most about ``limit`` keys; what is beyond goes out early, to be added up later.
     """
 
-    def __init__(self, bits: int, limit: int = 1_500_000):
+    def __init__(self, bits: int, limit: int = 1_000_000):
         self.edges, self.limit = edges(bits), limit
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0

@@ -1,7 +1,7 @@
 """Words of Arrow text columns as numpy arrays.
 
 A word is a maximal run of bytes other than the ASCII white space 0x20 and 0x09-0x0D. All work is
-on UTF-8 bytes of whole texts, in slabs of a few MB, so that a task's memory does not depend on
+on UTF-8 bytes of whole texts, in slabs of half a MB, so that a task's memory does not depend on
 the size of its partition (one text is never cut; a slab holds at least one).
 """
 
@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
+SLAB = 1 << 19
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -29,6 +30,16 @@ _SIZE = 0xD6E8FEB86659FD93
 _POWERS = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
+def small_batches(spark) -> None:
+    """Fewer rows in an Arrow batch than Spark's default, which fits short rows: texts may be long.
+
+    The setting stays with the session, since it must hold when a DataFrame runs. An own setting is kept.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, "1000")
+
+
 class Slab(NamedTuple):
     data: np.ndarray  # bytes of the texts, one after the other
     bounds: np.ndarray  # where each text starts in data, and the end
@@ -82,7 +93,7 @@ def slab(data: np.ndarray, bounds: np.ndarray, lower: bool = False, parts: bool
     return Slab(data, bounds, start, np.flatnonzero(inside & ~after) + 1, np.searchsorted(start, bounds))
 
 
-def slabs(column: pa.Array, lower: bool = False, limit: int = 2 << 20, parts: bool = False) -> Iterator[tuple[int, int, Slab]]:
+def slabs(column: pa.Array, lower: bool = False, limit: int = SLAB, parts: bool = False) -> Iterator[tuple[int, int, Slab]]:
     """(first row, end row, slab) over the column."""
     data, bounds = buffers(column)
     for lo, hi in slices(bounds, limit):
@@ -93,7 +104,7 @@ def slabs(column: pa.Array, lower: bool = False, limit: int = 2 << 20, parts: bo
 def _powers(n: int, which: str) -> np.ndarray:
     if len(_POWERS[which]) < n:
         base = _BASE if which == "up" else pow(_BASE, -1, 2**64)
-        factors = np.full(max(n, 2 << 20), base, U64)
+        factors = np.full(max(n, 2 * SLAB), base, U64)
         factors[0] = 1
         _POWERS[which] = np.cumprod(factors, dtype=U64)
     return _POWERS[which][:n]

@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from millrace.llm.text import LOWER, Slab, slabs, word_hash
 
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 
 
 class Encoder:
@@ -99,7 +99,7 @@ def encoder(path: str) -> Encoder:
 def encoded(column: pa.Array, path: str, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, bounds of each text's ids), with the id ``end`` after each text."""
     coder = encoder(path)
-    for lo, hi, s in slabs(column, parts=True):
+    for lo, hi, s in slabs(column, limit=2 << 20, parts=True):
         if coder.lower and b"<|" not in s.data.tobytes():  # special tokens keep their case
             s = s._replace(data=LOWER[s.data])
         ids, at = coder.encode(s)
