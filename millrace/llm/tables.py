@@ -154,5 +154,8 @@ def lookup(folder: str, name: str, bits: int, keys: np.ndarray, columns: dict[st
         at[at == len(stored)] = 0
         hit = np.flatnonzero(stored[at] == keys[a:b])
         for c, values in out.items():
-            values[a + hit] = at[hit] if c == "at" else load(folder, name, bucket, c)[at[hit]]
+            if c == "at":
+                values[a + hit] = at[hit]
+            elif (column := load(folder, name, bucket, c)) is not None:  # a bucket without any such count has no file
+                values[a + hit] = column[at[hit]]
     return out
