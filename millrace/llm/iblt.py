@@ -29,7 +29,7 @@ from millrace.llm.tables import input_bytes
 from millrace.session import stage
 
 BASE = 4
-GROUP = 64
+GROUP = 20
 SHARE = 5
 CELLS = 8  # cells in a row of a small table
 ROUNDS = 8
