@@ -22,12 +22,14 @@ from functools import lru_cache
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.text import U64, count_unique
 from millrace.session import scratch_path
 
 BUCKET_BYTES = 8 << 20
 MIN_BUCKETS = 64
+TRUSTED = 1 << 36
 
 
 def mounted(path: str) -> str:
@@ -45,8 +47,17 @@ def new_folder(spark: SparkSession, label: str, folder: str | None = None) -> st
 
 
 def input_bytes(df: DataFrame) -> int:
-    """What the optimizer estimates; it only sets how many buckets there are."""
-    return min(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), 1 << 50)
+    """About how large the rows are; it only sets how many buckets there are.
+
+    The optimizer's estimate serves where it is below ``TRUSTED``. Above, it may be a placeholder: rows that don't come
+    from files count as 8 EB, joins as the product of their sides. There one scan adds up the bytes.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate < TRUSTED:
+        return estimate
+    texts = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    row = sum((F.coalesce(n.cast("long"), F.lit(0)) for n in texts), F.lit(8 * len(df.columns)).cast("long"))
+    return df.agg(F.sum(row)).first()[0] or 0
 
 
 def bucket_bits(df: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int = MIN_BUCKETS) -> int:
