@@ -153,13 +153,19 @@ class Trees(NamedTuple):
 
 
 def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 64, l2: float = 1.0,
-              least: int = 20) -> Trees:
-    """Boosted trees for the labels ``y`` (0 or 1) by histograms of gradients."""
+              least: int = 20, features_share: float = 0.3) -> Trees:
+    """Boosted trees for the labels ``y`` (0 or 1) by histograms of gradients.
+
+    Each tree sees a share of the statistics, drawn by a fixed seed, so that the score rests on many of them. A side of a
+    split has ``least`` rows at least, or a quarter of the rarer label's rows where those are fewer.
+    """
     share = float(y.mean()) if len(y) else 0.5
     if not len(y) or share in (0.0, 1.0):
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Trees((), (), np.zeros((0, 1)), float(np.log(share / (1 - share))))
     n, features = x.shape
+    least = max(1, min(least, int(min(y.sum(), n - y.sum())) // 4))
+    draw = np.random.default_rng(1)
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for f in range(features)]
     binned = np.stack([np.searchsorted(cuts[f], x[:, f], "left") for f in range(features)], axis=1)  # bin b: at most cuts[b]
     upper = np.full((features, bins), np.inf, np.float32)
@@ -174,6 +180,8 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rat
         p = 1 / (1 + np.exp(-score))
         g, h = p - y, p * (1 - p)
         node = np.zeros(n, np.int64)
+        seen = draw.permutation(features)[:max(1, round(features_share * features))]
+        hidden = np.delete(np.arange(features), seen)
         for level in range(depth):
             nodes = 1 << level
             at = (node[:, None] * (features * bins) + flat).ravel()
@@ -182,7 +190,9 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rat
             gl, hl, nl = sums
             gt, ht, nt = (v[:, :, -1:] for v in sums)
             gain = gl**2 / (hl + l2) + (gt - gl)**2 / (ht - hl + l2) - gt**2 / (ht + l2)
-            gain = np.where((nl >= least) & (nt - nl >= least), gain, 0).reshape(nodes, -1)
+            gain = np.where((nl >= least) & (nt - nl >= least), gain, 0)
+            gain[:, hidden] = 0
+            gain = gain.reshape(nodes, -1)
             best = gain.argmax(1)
             feature, b = np.divmod(best, bins)
             b = np.where(gain[np.arange(nodes), best] > 1e-9, b, bins - 1)  # no split: all go left
