@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from millrace.llm import (divergence, huffman_ids, iblt, language_id, mixing, ngram_lm, packing, quality_classifier, queries,
-                          simhash, suffix_dedup)
+                          shingles, simhash, suffix_dedup)
 from millrace.session import stage
 from tests.conftest import SF
 
@@ -318,3 +318,55 @@ def test_pipeline_rejects_what_the_classifier_rejects(spark):
     kept = {r["doc_id"] for r in corpus_pipeline.keep_quality(spark, docs, SF).collect()}
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     assert sum((d in kept) == bool(q) for d, q in labels.items()) > 0.95 * len(labels)
+
+
+def jaccard_roots(texts):
+    """Index of the first text that each is connected with by five-word shingle sets of similarity 0.8 or more."""
+    sets = []
+    for t in texts:
+        w = WORD.findall(lower(t or ""))
+        sets.append({" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    name = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b) > 0:
+                old, new = max(name[i], name[j]), min(name[i], name[j])
+                name = [new if n == old else n for n in name]
+    return name
+
+
+@pytest.mark.parametrize("block", [256, 8])
+def test_near_duplicates_by_five_word_shingles(spark, block):
+    rng = random.Random(8)
+    common = " ".join(f"c{i}" for i in range(30))
+    out = [None, "", " ", "one two", "One  two", "one two three"]
+    for _ in range(25):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(20, 150))]
+        out.append(" ".join(base) + " " + common)
+        for _ in range(4):  # similarities on both sides of 0.8
+            w = list(base)
+            for _ in range(rng.randint(0, 4)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+            out.append(" ".join(w) + " " + common)
+    base = [f"h{i}" for i in range(120)]
+    for _ in range(60):  # one large group, of which only some are similar to each other
+        w = list(base)
+        for i in rng.sample(range(120), rng.randint(1, 5)):
+            w[i] = f"y{rng.randrange(10 ** 6)}"
+        out.append(" ".join(w))
+    rows = spark.createDataFrame(list(enumerate(out)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["root"] for r in shingles.near_duplicates(rows, ("doc_id",), block=block).collect()}
+    want = jaccard_roots(out)
+    parts = [{frozenset(i for i in range(len(out)) if name[i] == n) for n in set(name)} for name in ([got[i] for i in range(len(out))], want)]
+    assert parts[0] == parts[1] and len(parts[1]) < len(out)
+
+
+def test_pipeline_drops_near_copies_of_five_word_similarity(spark):
+    rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS).collect()]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA.split(", score")[0]).repartition(4), SF)
+    own = {}
+    texts_of = {r["doc_id"]: r["text"] for r in rows}
+    ids = sorted(texts_of)
+    for i, name in zip(ids, jaccard_roots([texts_of[i] for i in ids])):
+        own.setdefault(name, i)
+    assert {r["doc_id"] for r in kept.collect()} == set(own.values())
