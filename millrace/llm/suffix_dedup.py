@@ -20,7 +20,7 @@ texts, each time in other company). Its windows are compared one by one instead,
 bytes - the intervals at which the expansion of step 3 would end - which combines before the shuffle.
 
 Null and empty texts, and texts shorter than ``length``, lose nothing. Rows of equal id and equal text are one document
-and get the same result; rows of equal id and different text are ordered by a hash of the text. A null id counts as
+and get the same result (none is a repeat of the other); rows of equal id and different text are ordered by a hash of the text. A null id counts as
 the smallest. Texts of any size are read in overlapping pieces of ``PIECE`` bytes.
 """
 
@@ -103,14 +103,17 @@ def pieces(data: np.ndarray, bounds: np.ndarray, length: int, size: int = PIECE)
             yield Piece(data[at:end], np.array([0, end - at]), np.array([lo]), np.array([at - a]))
 
 
-def first_of(key: np.ndarray, doc: np.ndarray, digest: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Whether a row is the earliest of its key."""
+def first_of(key: np.ndarray, doc: np.ndarray, digest: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a row is the earliest of its key (one of equal ones), and whether it is later than that: rows of the
+    same document and place are neither, they are the same string read twice."""
     order = np.lexsort((start, digest, doc, key))
-    out = np.zeros(len(key), bool)
+    first, later = np.zeros(len(key), bool), np.zeros(len(key), bool)
     if len(key):
-        sorted_key = key[order]
-        out[order[np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])]] = True
-    return out
+        new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+        first[order[new]] = True
+        least = order[new][np.cumsum(new) - 1]
+        later[order] = (doc[order] != doc[least]) | (digest[order] != digest[least]) | (start[order] != start[least])
+    return first, later
 
 
 def document_key(doc: np.ndarray, digest: np.ndarray) -> np.ndarray:
@@ -228,8 +231,8 @@ class Segments:
         if not self.parts:
             return []
         anchor, content, doc, digest, start, end = (np.concatenate(x) for x in zip(*self.parts))
-        keep = first_of(mix(anchor ^ mix(content)), doc, digest, start)
-        rows = _range_rows(document_key(doc, digest)[~keep], start[~keep], end[~keep], self.key_edges)
+        keep, later = first_of(mix(anchor ^ mix(content)), doc, digest, start)
+        rows = _range_rows(document_key(doc, digest)[later], start[later], end[later], self.key_edges)
         order = np.flatnonzero(keep)
         order = order[np.argsort(anchor[order], kind="stable")]
         cuts = [0, *np.searchsorted(anchor[order], self.edges), len(order)]
@@ -314,8 +317,8 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
                 content = substring_hash(sums, a.first, end)
                 at = p.base - p.bounds[:-1]
                 columns = [a.hash, content, doc[p.row][a.text], digests[p.row][a.text], a.first + at[a.text], a.last + 1 + at[a.text]]
-                once = first_of(mix(a.hash ^ mix(content)), columns[2], columns[3], columns[4])
-                rows = _range_rows(document_key(columns[2], columns[3])[~once], columns[4][~once], columns[5][~once], edges)
+                once, later = first_of(mix(a.hash ^ mix(content)), columns[2], columns[3], columns[4])
+                rows = _range_rows(document_key(columns[2], columns[3])[later], columns[4][later], columns[5][later], edges)
                 own, raw = once & (count <= hot), p.data.tobytes()
                 rows += held.add([x[own] for x in columns], [raw[x:y] for x, y in zip(a.first[own].tolist(), end[own].tolist())])
                 own = once & (count > hot)
@@ -335,8 +338,8 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
             return pdf[["bucket", "block"]]
         anchor, content, doc, digest, start, end, text = _tables(pdf["block"])
         anchor, content = anchor.view(U64), content.view(U64)
-        keep = first_of(mix(anchor ^ mix(content)), doc, digest.view(U64), start)
-        again = [(document_key(doc, digest)[~keep], start[~keep], end[~keep])]
+        keep, later = first_of(mix(anchor ^ mix(content)), doc, digest.view(U64), start)
+        again = [(document_key(doc, digest)[later], start[later], end[later])]
         data, bounds = text
         length_of = np.diff(bounds)
         order = np.flatnonzero(keep & (length_of > 0))  # hot windows come without bytes: their hash has said it all
@@ -373,7 +376,7 @@ def _repeats(block: list[int], segments: list[bytes], doc, digest, start, length
     string, segment, offset = repeated(segments, length)
     row = rows[segment]
     at = start[row] + offset
-    later = ~first_of(string, doc[row], digest.view(U64)[row], at)
+    later = first_of(string, doc[row], digest.view(U64)[row], at)[1]
     return document_key(doc, digest)[row[later]], at[later], at[later] + 1
 
 

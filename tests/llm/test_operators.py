@@ -370,3 +370,18 @@ def test_pipeline_drops_near_copies_of_five_word_similarity(spark):
     for i, name in zip(ids, jaccard_roots([texts_of[i] for i in ids])):
         own.setdefault(name, i)
     assert {r["doc_id"] for r in kept.collect()} == set(own.values())
+
+
+@pytest.mark.parametrize("length,kmer,hot,piece", [(100, 32, 4096, 1 << 19), (30, 8, 3, 1 << 19), (30, 8, 4096, 500)])
+def test_suffix_dedup_keeps_rows_of_equal_id_and_text(spark, docs, monkeypatch, length, kmer, hot, piece):
+    monkeypatch.setattr(suffix_dedup.pieces, "__defaults__", (piece,))
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    alone = " ".join(f"u{i}" for i in range(200))
+    rows += [(None, alone)] * 3 + [(7_000, alone + " end")] * 2 + [(-5, "v" + alone[::-1])] * 2
+    frame = spark.createDataFrame([*rows, *rows[20:40]], "doc_id long, text string").repartition(5)
+    order = sorted({(d, t or "") for d, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, xxhash.xxh64_intdigest(r[1].encode())))
+    want = {(d, t): (removed, kept) for (d, t), (_, _, removed, kept) in zip(order, brute_dedup(order, length))}
+    got = suffix_dedup.dedup(frame, ("doc_id", "text"), length=length, kmer=kmer, hot=hot).collect()
+    assert len(got) == frame.count() and want[None, alone][0] == want[-5, "v" + alone[::-1]][0] == 0
+    for r in got:
+        assert (r["n_removed"], bytes(r["kept"])) == want[r["doc_id"], r["text"] or ""], r["doc_id"]
