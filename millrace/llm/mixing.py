@@ -7,11 +7,13 @@
 * **Fixed-size sample.** The rest of the target is filled with one more copy of some documents. A document's
   inclusion probability is the missing share times its preference over the source's mean preference.
   Documents are ranked by random odds u / (1 - u) divided by their inclusion odds, and taken in that order
-  as long as they fit; then the next ``FILL`` documents in the order are taken where they still fit.
+  wherever they still fit in what is left of the target, to the last of them.
 
 The random number of a document is a hash of its id and the seed, so reruns agree, as do rows of equal id.
-A source may hold any share of the rows: ranks are cut into slices of about equal size, sums by (source, slice)
-tell in which slice a source's cut lies, and only the rows of that slice and the next ``FILL`` are ordered.
+A source may hold any share of the rows. The order is gone through in rounds: documents larger than what is left are set
+aside (it only shrinks), ranks are cut into slices of about equal size, sums by (source, slice) tell in which slice
+the first document lies that doesn't fit, and only the rows of that slice and the next ``FILL`` are ordered and tried one
+by one. The next round goes on behind them, until no document is left that fits. The result doesn't depend on ``FILL``.
 
 Null texts and texts without words have size 0 and take nothing; a source of such texts has target 0. A null
 source is a source of its own. A null id is hashed as the empty text. Empty tables give no rows.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +34,7 @@ from millrace.session import stage
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
-FILL = 200
+FILL = 200  # tried one by one in a round
 SLICE_ROWS = 100_000
 CAP = 1e-6  # inclusion probabilities stay this far from 0 and 1
 
@@ -73,6 +76,7 @@ def mix(docs: DataFrame, keep: Sequence[str], source: str = "source", doc_id: st
         docs.select(
             *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col(source).alias("_source"), F.col(doc_id).alias("_id"),
             size.cast("long").alias("_size"), u.alias("_u"), (F.lit(1.0) if preference is None else preference.cast("double")).alias("_pref"),
+            F.monotonically_increasing_id().alias("_row"),
         ),
         "mix",
     )
@@ -93,52 +97,85 @@ def mix(docs: DataFrame, keep: Sequence[str], source: str = "source", doc_id: st
     ranked = rows.join(sources, same).drop(sources["_source"]).withColumn("_rank", F.when(F.col("_size") > 0, rank))
     ranked = ranked.withColumn("_slice", F.floor(F.col("_rank") / (1 + F.col("_rank")) * slices).cast("long"))
 
-    per_slice = ranked.where("_size > 0").groupBy("_source", "_slice").agg(
-        F.sum("_size").alias("_w"), F.count(F.lit(1)).alias("_n"), F.first("_rest").alias("_rest"))
+    key = F.struct("_rank", "_id", "_size", "_row")
+    waiting = stage(ranked.where("_size > 0").select("_source", "_rank", "_id", "_size", "_row", "_slice"), "waiting")
+    state = sources.select(F.col("_source").alias("_ss"), F.col("_rest").cast("double").alias("_left"))
+    state = state.withColumn("_after", F.lit(None).cast(waiting.select(key.alias("k")).schema["k"].dataType))
+    rules, picks = [], []
+    while True:
+        state = stage(state, "left")
+        here = F.col("_source").eqNullSafe(F.col("_ss"))
+        waiting = stage(
+            waiting.join(state, here).where(F.col("_size") <= F.col("_left")).where(F.col("_after").isNull() | (key > F.col("_after")))
+            .select(*waiting.columns), "waiting")
+        if waiting.isEmpty():
+            break
+        state, rule, pick = _round(waiting, state, key, fill)
+        rules.append(rule)
+        picks.append(pick)
+
+    placed = ranked
+    if rules:
+        every = reduce(DataFrame.unionByName, rules).groupBy(F.col("_ss").alias("_rs")).agg(F.collect_list("_rule").alias("_rules"))
+        picked = reduce(DataFrame.unionByName, picks).select(F.col("_row").alias("_pn"))
+        placed = placed.join(stage(every, "rules"), F.col("_source").eqNullSafe(F.col("_rs")), "left").drop("_rs")
+        placed = placed.join(stage(picked, "picked"), F.col("_row") == F.col("_pn"), "left")
+        taken = F.exists("_rules", lambda r: (F.col("_size") <= r["left"]) & (r["after"].isNull() | (key > r["after"]))
+                         & (r["cut"].isNull() | (F.col("_slice") < r["cut"]) | F.coalesce(key <= r["upto"], F.lit(False))))
+        extra = F.when((F.col("_size") > 0) & (F.col("_pn").isNotNull() | F.coalesce(taken, F.lit(False))), 1).otherwise(0)
+    else:
+        extra = F.lit(0)
+    copies = F.col("_whole") + extra
+    return placed.select(
+        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_size").alias("size"), F.col("_words").alias("source_size"),
+        F.col("_target").alias("target"), copies.alias("copies"), (F.col("_size") * copies).alias("taken"))
+
+
+def _round(waiting: DataFrame, state: DataFrame, key: Column, fill: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(state after the round, rule by source, rows) of what a round takes of documents that each fit alone.
+
+    A rule takes what fits before the cut; the rows are those taken one by one behind it, at most ``fill`` of a source.
+    """
+    per_slice = waiting.groupBy("_source", "_slice").agg(F.sum("_size").alias("_w"), F.count(F.lit(1)).alias("_n"))
     by, whole = Window.partitionBy("_source").orderBy("_slice"), Window.partitionBy("_source")
     cuts = (
-        per_slice.withColumns({"_cum": F.sum("_w").over(by), "_seen": F.sum("_n").over(by)})
-        .withColumn("_cut", F.min(F.when(F.col("_cum") > F.col("_rest"), F.col("_slice"))).over(whole))  # null: all fit
+        per_slice.join(state, F.col("_source").eqNullSafe(F.col("_ss")))
+        .withColumns({"_cum": F.sum("_w").over(by), "_seen": F.sum("_n").over(by)})
+        .withColumn("_cut", F.min(F.when(F.col("_cum") > F.col("_left"), F.col("_slice"))).over(whole))  # null: all fit
         .withColumn("_upto", F.max(F.when(F.col("_slice") == F.col("_cut"), F.col("_seen"))).over(whole) + fill)
         .groupBy(F.col("_source").alias("_cs"))
         .agg(F.first("_cut").alias("_cut"), F.max(F.when(F.col("_slice") < F.col("_cut"), F.col("_cum"))).alias("_before"),
-             F.min(F.when(F.col("_seen") >= F.col("_upto"), F.col("_slice"))).alias("_last"))
+             F.min(F.when(F.col("_seen") >= F.col("_upto"), F.col("_slice"))).alias("_last"),
+             F.first("_left").alias("_left"), F.first("_after").alias("_after"))
     )
     cuts = stage(cuts, "cuts")
-    placed = ranked.join(cuts, F.col("_source").eqNullSafe(F.col("_cs")), "left").drop("_cs")
-    zone = F.when(F.col("_slice").isNull(), 2).when(F.col("_cut").isNull() | (F.col("_slice") < F.col("_cut")), 0) \
-        .when(F.col("_last").isNull() | (F.col("_slice") <= F.col("_last")), 1).otherwise(2)
-    placed = placed.withColumn("_zone", zone)
 
-    near = placed.where("_zone = 1")
-    by = Window.partitionBy("_source").orderBy("_rank", "_id", "_size")
+    near = waiting.join(cuts, F.col("_source").eqNullSafe(F.col("_cs"))) \
+        .where((F.col("_slice") >= F.col("_cut")) & (F.col("_last").isNull() | (F.col("_slice") <= F.col("_last"))))
+    by = Window.partitionBy("_source").orderBy("_rank", "_id", "_size", "_row")
     near = near.withColumns({
-        "_fits": F.coalesce(F.col("_before"), F.lit(0)) + F.sum("_size").over(by.rowsBetween(Window.unboundedPreceding, 0)) <= F.col("_rest"),
+        "_fits": F.coalesce(F.col("_before"), F.lit(0)) + F.sum("_size").over(by.rowsBetween(Window.unboundedPreceding, 0)) <= F.col("_left"),
         "_n": F.row_number().over(by),
     }).withColumn("_nth", F.col("_n") - F.sum(F.col("_fits").cast("int")).over(Window.partitionBy("_source")))
-    near = near.drop("_n")
-    left = F.first("_rest") - F.coalesce(F.first("_before"), F.lit(0)) - F.coalesce(F.sum(F.when(F.col("_fits"), F.col("_size"))), F.lit(0))
-    waiting = F.sort_array(F.collect_list(F.when((F.col("_nth") >= 1) & (F.col("_nth") <= fill), F.struct("_nth", "_size"))))
-    picked = (
-        near.groupBy(F.col("_source").alias("_ps")).agg(left.cast("double").alias("_left"), waiting.alias("_waiting"))  # at most ``fill`` entries
-        .select("_ps", F.aggregate("_waiting", F.struct(F.col("_left").alias("left"), F.array().cast("array<bigint>").alias("nth")), _take).alias("_a"))
-        .select("_ps", F.explode("_a.nth").alias("_pn"))
-    )
-    near = near.join(picked, F.col("_source").eqNullSafe(F.col("_ps")) & (F.col("_nth") == F.col("_pn")), "left")
-    more = F.when(F.col("_fits") | F.col("_pn").isNotNull(), 1).otherwise(0)
-
-    def out(part: DataFrame, extra: Column) -> DataFrame:
-        copies = F.col("_whole") + extra
-        return part.select(
-            *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_size").alias("size"), F.col("_words").alias("source_size"),
-            F.col("_target").alias("target"), copies.alias("copies"), (F.col("_size") * copies).alias("taken"))
-
-    return out(placed.where("_zone <> 1"), F.when(F.col("_zone") == 0, 1).otherwise(0)).unionByName(out(near, more))
+    left = F.first("_left") - F.coalesce(F.first("_before"), F.lit(0)) - F.coalesce(F.sum(F.when(F.col("_fits"), F.col("_size"))), F.lit(0))
+    tried = F.sort_array(F.collect_list(F.when((F.col("_nth") >= 1) & (F.col("_nth") <= fill), F.struct("_nth", "_size", "_row"))))
+    behind = stage(
+        near.groupBy(F.col("_source").alias("_ns")).agg(
+            left.cast("double").alias("_l"), tried.alias("_tried"),  # at most ``fill`` entries
+            F.max(F.when(F.col("_fits"), key)).alias("_upto"), F.max(F.when(F.col("_nth") <= fill, key)).alias("_at"))
+        .select("_ns", "_upto", "_at",
+                F.aggregate("_tried", F.struct(F.col("_l").alias("left"), F.array().cast("array<bigint>").alias("rows")), _take).alias("_a")),
+        "behind")
+    rule = cuts.join(behind, F.col("_cs").eqNullSafe(F.col("_ns")), "left").select(
+        F.col("_cs").alias("_ss"),
+        F.struct(F.col("_left").alias("left"), F.col("_after").alias("after"), F.col("_cut").alias("cut"), F.col("_upto").alias("upto")).alias("_rule"))
+    after = behind.select(F.col("_ns").alias("_ss"), F.col("_a.left").alias("_left"), F.col("_at").alias("_after"))
+    return after, rule, behind.select(F.explode("_a.rows").alias("_row"))
 
 
 def _take(state: Column, row: Column) -> Column:
     fits = row["_size"] <= state["left"]
     return F.struct(
         F.when(fits, state["left"] - row["_size"]).otherwise(state["left"]).alias("left"),
-        F.when(fits, F.concat(state["nth"], F.array(row["_nth"].cast("bigint")))).otherwise(state["nth"]).alias("nth"),
+        F.when(fits, F.concat(state["rows"], F.array(row["_row"]))).otherwise(state["rows"]).alias("rows"),
     )

@@ -385,3 +385,28 @@ def test_suffix_dedup_keeps_rows_of_equal_id_and_text(spark, docs, monkeypatch,
     assert len(got) == frame.count() and want[None, alone][0] == want[-5, "v" + alone[::-1]][0] == 0
     for r in got:
         assert (r["n_removed"], bytes(r["kept"])) == want[r["doc_id"], r["text"] or ""], r["doc_id"]
+
+
+def test_mix_tries_all_later_documents(spark):
+    rows = [(i, "w " * 20, "long") for i in range(1500)] + [(-1, "w " * 24_000, "long")]
+    rows += [(10_000 + i, "w " * rng_size, "mixed") for i, rng_size in enumerate(random.Random(4).choices([1, 3, 50, 700, 9000], k=600))]
+    rows += [(20_000 + i, "w " * 30, "plain") for i in range(2500)] + [(30_000, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for fill, slice_rows, seed in ((200, 100_000, "mix"), (1, 4, "a"), (7, 100_000, "b"), (200, 100_000, "c")):
+        got = mixing.mix(frame, ("doc_id", "source"), fill=fill, slice_rows=slice_rows, seed=seed).collect()
+        assert len(got) == len(rows)
+        for source in ("long", "mixed", "plain"):
+            own = [r for r in got if r["source"] == source]
+            words, target = own[0]["source_size"], own[0]["target"]
+            whole, left = int(target // words), target - target // words * words
+            chance = min(max(left / words * words / (words * 1.0), 1e-6), 1 - 1e-6)
+
+            def rank(r):
+                u = (int(hashlib.md5(f"{seed}:{r['doc_id']}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+                return u / (1 - u) * ((1 - chance) / chance), r["doc_id"], r["size"]
+
+            for r in sorted(own, key=rank):
+                fits = r["size"] <= left
+                left -= r["size"] * fits
+                assert r["copies"] == whole + fits, (source, r)
+            assert target - sum(r["taken"] for r in own) == pytest.approx(left)
