@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import divergence, huffman_ids, iblt, language_id, mixing, ngram_lm, packing, quality_classifier, simhash, suffix_dedup
+from millrace.llm import divergence, filter_audit, hard_negatives, huffman_ids, iblt, language_id, mixing, ngram_lm, packing, quality_classifier, secrets, simhash, suffix_dedup
 from millrace.llm.text import small_batches
 from millrace.session import Tables
 
@@ -207,6 +207,81 @@ def op10_packing(t: Tables) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query("op11_filter_audit", r"""
+with flags as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), firsts as (
+  select text, min(doc_id) as first from flags group by text
+), known as (
+  select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels where doc_id is not null group by doc_id
+), docs as (
+  select part, coalesce(good, false) as good, coalesce(k.toxic, false) as toxic,
+         {'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+          'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text),
+          'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(doc_id > first, false)} as f
+  from flags d join firsts using (text) left join known k using (doc_id)
+), letters as (
+  select unnest(['A', 'B', 'C', 'D', 'E']) as x
+), orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), failed as (
+  select part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'],
+         lambda x: case x when 'A' then f.A when 'B' then f.B when 'C' then f.C when 'D' then f.D else f.E end) as fails from docs
+), kinds as (
+  select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from failed group by all
+), steps as (
+  select part, filter_order, step, filter_order[step] as x, fails, n, good, toxic,
+         list_has_any(fails, string_split(filter_order[1:step - 1], '')) as gone, list_contains(fails, filter_order[step]) as hit
+  from kinds, orders, range(1, 6) s(step)
+), tallied as (
+  select part, filter_order, step, x, coalesce(sum(n) filter (not gone and not hit), 0) as kept,
+         coalesce(sum(n) filter (not gone and hit), 0) as removed, coalesce(sum(n) filter (gone and hit), 0) as redundant,
+         coalesce(sum(n) filter (hit and len(fails) = 1), 0) as unique_fails,
+         coalesce(sum(good) filter (not gone and hit), 0) as good_lost, coalesce(sum(toxic) filter (not gone and hit), 0) as toxic_lost
+  from steps group by all
+)
+select part, filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+       unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+       (sum(removed) over (partition by part, x))::bigint as shapley
+from tallied
+""")
+def op11_filter_audit(t: Tables) -> DataFrame:
+    return filter_audit.audit(t.documents, t.labels)
+
+
+@query("op12_secret_scan")
+def op12_secret_scan(t: Tables) -> DataFrame:
+    return secrets.digest(t.documents, ("doc_id",))
+
+
+@query("op13_hard_negatives", """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, list_inner_product(a.q, r.q)::bigint as score
+  from rows a join rows r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+""")
+def op13_hard_negatives(t: Tables) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.prepare(t.embeddings, label=label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
