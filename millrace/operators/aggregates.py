@@ -9,24 +9,11 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.sums import exact_avg, exact_sum
 from millrace.operators.columns import attach_scalars
 from millrace.operators.windows import exact_quantiles
 
 
-def exact_sum(value: Column | str, scale: int = 12) -> Column:
-    """Sum as a wide decimal, returned as double: the same total whatever the task order.
-
-    Values keep ``scale`` decimals; the total may have 38 - ``scale`` digits before the point.
-    """
-    col = F.col(value) if isinstance(value, str) else value
-    return F.sum(col.cast(f"decimal(38,{scale})")).cast("double")
-
-
-def exact_avg(value: Column | str, scale: int = 12) -> Column:
-    col = F.col(value) if isinstance(value, str) else value
-    return F.try_divide(exact_sum(col, scale), F.count(col))
-
-
 def monthly_sales(sales: DataFrame) -> DataFrame:
     """Revenue, quantity, count and average per category, region, year and month."""
     return sales.groupBy("category", "region", "year", "month").agg(
@@ -67,12 +54,11 @@ def sales_by_product(df: DataFrame, product: str, amount: str, quantity: str, va
 
     Rows that are not ``valid`` do not count, and a product with no other rows is left out.
     """
-    # six decimals of an amount below 1e18, four of a quantity below 1e9: the product is exact
-    total = F.coalesce(F.col(amount), F.lit(0)).cast("decimal(24,6)") * F.coalesce(F.col(quantity), F.lit(1)).cast("decimal(13,4)")
+    total = F.coalesce(F.col(amount).cast("double"), F.lit(0.0)) * F.coalesce(F.col(quantity).cast("double"), F.lit(1.0))
     sold = df.where(F.col(product).isNotNull() & (F.col(product) != "")).groupBy(product)
     if valid is None:
-        return sold.agg(F.sum(total).cast("double").alias("total_sales"))
-    sums = sold.agg(F.sum(F.when(valid, total)).cast("double").alias("total_sales"))
+        return sold.agg(exact_sum(total).alias("total_sales"))
+    sums = sold.agg(exact_sum(F.when(valid, total)).alias("total_sales"))
     return sums.where("total_sales IS NOT NULL")
 
 

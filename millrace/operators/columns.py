@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.sums import exact_avg
+
 # Weather code ranges (inclusive) and their labels.
 WEATHER_LABELS = (
     (0, 0, "Cerah"),
@@ -79,12 +81,9 @@ def impute_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.fillna(dict(values))
 
 
-def impute_mean(df: DataFrame, col: str, decimals: str = "decimal(38,12)") -> DataFrame:
-    """Replace NULL by the column mean, computed once as a scalar subquery.
-
-    The mean is an exact decimal sum over a count, so it does not depend on task order.
-    """
-    mean = df.agg((F.sum(F.col(col).cast(decimals)).cast("double") / F.count(col)).alias("_mean")).scalar()
+def impute_mean(df: DataFrame, col: str) -> DataFrame:
+    """Replace NULL by the column mean, computed once as a scalar subquery; it does not depend on task order."""
+    mean = df.agg(exact_avg(col).alias("_mean")).scalar()
     return df.withColumn(col, F.coalesce(F.col(col).cast("double"), mean))
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.aggregates import exact_avg, iqr_bounds
+from millrace.functions.sums import exact_avg
+from millrace.operators.aggregates import iqr_bounds
 from millrace.operators.columns import attach_scalars
 from millrace.operators.joins import orphans
 
@@ -103,7 +104,7 @@ def _metric(check: str, column: str, needs, value: Column, verdict: Callable[[Co
 
 
 def mean_between(column: str, low: float, high: float, strict: bool = False) -> Rule:
-    return _metric("mean_between", column, [column], exact_avg(column, 4),
+    return _metric("mean_between", column, [column], exact_avg(column),
                    lambda m: (m > low) & (m < high) if strict else m.between(low, high))
 
 

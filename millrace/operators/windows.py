@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.sums import fold, parts
 from millrace.operators.runs import RUN, by_group_size, large_groups, last_value, sum_value, with_carry
 
 MAX_QUANTILE_ROWS = 1_000_000
@@ -82,8 +85,20 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column],
                    max_group_rows: int | None = None, sizes: tuple[int, int] | None = None) -> DataFrame:
-    """Sums from the start of the group to the current row, one per named value."""
+    """Sums from the start of the group to the current row, one per named value.
 
+    Doubles are summed in limbs, so plain and split totals are the same to the last bit.
+    """
+    doubles = [n for n, v in values.items() if df.select(v.alias("v")).schema["v"].dataType.typeName() in ("double", "float")]
+    limbs = {n: {f"_{n}_{i}": p for i, p in enumerate(parts(values[n]))} for n in doubles}
+    plain = {n: v for n, v in values.items() if n not in doubles}
+    out = _running_sums(df, keys, order, reduce(or_, limbs.values(), plain), max_group_rows, sizes)
+    totals = {n: fold([F.col(f"`{c}`") for c in own]) for n, own in limbs.items()}
+    return out.withColumns(totals).drop(*[c for own in limbs.values() for c in own])
+
+
+def _running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, Column],
+                  max_group_rows: int | None, sizes: tuple[int, int] | None) -> DataFrame:
     def upto(value, in_run):
         return F.sum(value).over(_window(keys, order, in_run).rowsBetween(Window.unboundedPreceding, 0))
 

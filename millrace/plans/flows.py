@@ -177,7 +177,7 @@ def run_live_sales(sales: DataFrame, out: str, checkpoint: str, processed_at: da
 def enrich_monthly(monthly: DataFrame, max_group_rows: int | None = None) -> DataFrame:
     """Rank of the region within category and month, and cumulative revenue of the region."""
     ranked = windows.rank_in_group(monthly, ["category", "year", "month"], "total_revenue", "region_rank", max_group_rows=max_group_rows)
-    total = windows.running_total(ranked, ["region"], ["year", "month", "category"], F.col("total_revenue").cast("decimal(38,12)"),
+    total = windows.running_total(ranked, ["region"], ["year", "month", "category"], F.col("total_revenue"),
                                   "cumulative_revenue", max_group_rows)
     return total.withColumn("cumulative_revenue", F.col("cumulative_revenue").cast("double"))
 
@@ -253,7 +253,7 @@ def weather_report(raw: DataFrame, report_date: date) -> DataFrame:
     staged = cols.rename_columns(typed, {"city": "city", "temperature_2m": "temp", "relative_humidity_2m": "humidity", "time": "updated_at", "weather": "weather"})
     staged = staged.where("temp IS NOT NULL")
     return staged.groupBy("city").agg(
-        agg.exact_avg("temp", 4).alias("avg_temp"), agg.exact_avg("humidity", 4).alias("avg_humidity"),
+        agg.exact_avg("temp").alias("avg_temp"), agg.exact_avg("humidity").alias("avg_humidity"),
         F.max_by("weather", F.struct("updated_at", "weather")).alias("last_weather")).withColumn("report_date", F.lit(report_date))
 
 

@@ -93,7 +93,7 @@ def _(t):
 
 @query("e04_monthly_sales", f"""
 WITH {MONTHLY} SELECT *, rank() OVER (PARTITION BY category, year, month ORDER BY total_revenue DESC) AS region_rank,
-  CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) OVER (PARTITION BY region ORDER BY year, month, category ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cumulative_revenue FROM monthly
+  EXACT_SUM(total_revenue) OVER (PARTITION BY region ORDER BY year, month, category ROWS UNBOUNDED PRECEDING) AS cumulative_revenue FROM monthly
 """)
 def _(t):
     landed = scratch_path(t.spark, "sales-csv")
@@ -156,7 +156,7 @@ def _(t):
 @query("e08_weather_report", """
 WITH w AS (SELECT 'city' || user_id % 20 AS city, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS time, CASE WHEN event_id % 50 <> 0 THEN value END AS temp, CAST(json_extract(props, '$.k') AS DOUBLE) AS hum,
   CASE WHEN event_id % 3 = 0 THEN 'Cerah' WHEN event_id % 3 = 1 THEN 'Kabut' ELSE 'Badai Petir' END AS label FROM events)
-SELECT city, CAST(sum(CAST(temp AS DECIMAL(18,4))) AS DOUBLE) / count(temp) AS avg_temp, CAST(sum(CAST(hum AS DECIMAL(18,4))) AS DOUBLE) / count(hum) AS avg_humidity,
+SELECT city, EXACT_SUM(temp) / count(temp) AS avg_temp, EXACT_SUM(hum) / count(hum) AS avg_humidity,
   arg_max(label, ROW(time, label)) AS last_weather, DATE '2024-01-31' AS report_date FROM w WHERE temp IS NOT NULL GROUP BY 1
 """)
 def _(t):
@@ -196,7 +196,7 @@ def _(t):
 
 
 @query("e10_shop_sales_cleaning", """
-SELECT p_name AS product, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(CASE WHEN l_linenumber <> 2 THEN l_quantity ELSE 1 END AS DECIMAL(10,0))) AS DOUBLE) AS total_sales
+SELECT p_name AS product, EXACT_SUM(l_extendedprice * CASE WHEN l_linenumber <> 2 THEN l_quantity ELSE 1 END) AS total_sales
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey % 9 <> 0 AND l_linenumber <> 4 AND l_linenumber <> 5 GROUP BY 1
 """)
 def _(t):
@@ -212,7 +212,7 @@ def _(t):
 
 @query("e11_graded_scores", """
 WITH s AS (SELECT event_id AS id, event_type AS name, CASE WHEN event_id % 10 <> 0 THEN least(value / 5, 100.0) END AS score, ts AS created_at FROM events),
-m AS (SELECT CAST(sum(CAST(score AS DECIMAL(18,4))) AS DOUBLE) / count(score) AS mean FROM s), f AS (SELECT id, name, coalesce(score, (SELECT mean FROM m)) AS score, created_at FROM s)
+m AS (SELECT EXACT_SUM(score) / count(score) AS mean FROM s), f AS (SELECT id, name, coalesce(score, (SELECT mean FROM m)) AS score, created_at FROM s)
 SELECT *, CASE WHEN score >= 90 THEN 'A' WHEN score >= 80 THEN 'B' WHEN score >= 70 THEN 'C' WHEN score >= 60 THEN 'D' ELSE 'F' END AS grade, 'b7' AS batch_id, '1.0.0' AS pipeline_version,
   'scores' AS source_name, TIMESTAMP '2024-02-01 00:00:00' AS processed_at FROM f
 """)
@@ -223,7 +223,7 @@ def _(t):
 
 
 @query("e12_contract_batch", """
-SELECT event_type AS symbol, CAST(ts AS DATE) AS batch_date, CAST(sum(CAST(value + 1 AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price, min(value + 1) AS min_price, max(value + 1) AS max_price,
+SELECT event_type AS symbol, CAST(ts AS DATE) AS batch_date, EXACT_SUM(value + 1) / count(*) AS avg_price, min(value + 1) AS min_price, max(value + 1) AS max_price,
   CAST(sum(CAST(json_extract(props, '$.k') AS DOUBLE)) AS DOUBLE) AS total_quantity, count(*) AS trade_count FROM events WHERE event_id % 20 <> 0 GROUP BY 1, 2
 """)
 def _(t):

@@ -186,7 +186,7 @@ def _(t):
     return q.run_checks(t.nation, [q.rows_between(10), q.rows_between(3, 10)])
 
 
-@query("q18_gate_decorators", "SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_spent FROM events GROUP BY 1")
+@query("q18_gate_decorators", "SELECT user_id, EXACT_SUM(value) AS total_spent FROM events GROUP BY 1")
 def _(t):
     from millrace.operators.aggregates import exact_sum
 

@@ -81,7 +81,7 @@ def _(t):
     return files.read_parquet(t.spark, path).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("f08_export_formats", "SELECT fmt, count(*) AS rows, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total FROM supplier, (VALUES ('parquet'), ('csv'), ('json')) f(fmt) GROUP BY 1")
+@query("f08_export_formats", "SELECT fmt, count(*) AS rows, EXACT_SUM(s_acctbal) AS total FROM supplier, (VALUES ('parquet'), ('csv'), ('json')) f(fmt) GROUP BY 1")
 def _(t):
     out = None
     for fmt in ("parquet", "csv", "json"):
@@ -356,7 +356,7 @@ def _(t):
 
 @query("u13_medallion_flow", """
 WITH d AS (SELECT DISTINCT o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice FROM orders WHERE o_orderkey % 10 <> 0)
-SELECT order_date, count(*) AS total_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_order_value FROM d GROUP BY 1
+SELECT order_date, count(*) AS total_orders, EXACT_SUM(o_totalprice) AS total_revenue, EXACT_SUM(o_totalprice) / count(*) AS avg_order_value FROM d GROUP BY 1
 """)
 def _(t):
     from millrace.plans.flows import medallion
@@ -425,8 +425,8 @@ def drain(t, df, keys, mode="update", rules=None):
 
 SALES_SQL = """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, event_type AS category,
-  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_sales, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS total_quantity, count(*) AS transaction_count,
-  CAST(round(CAST(CAST(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_transaction_value, max(event_id % 300) AS max_delay_seen FROM events WHERE value > 0 GROUP BY ALL
+  EXACT_SUM(value) AS total_sales, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS total_quantity, count(*) AS transaction_count,
+  CAST(round(CAST(CAST(EXACT_SUM(value) / count(*) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS avg_transaction_value, max(event_id % 300) AS max_delay_seen FROM events WHERE value > 0 GROUP BY ALL
 """
 
 
@@ -440,14 +440,14 @@ def _(t):
     return st.sales_metrics(as_sales(t.events.withColumn("event_time", F.col("ts"))))
 
 
-@query("s02_hourly_totals", "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL")
+@query("s02_hourly_totals", "SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, EXACT_SUM(value) AS total FROM events GROUP BY ALL")
 def _(t):
     return st.hourly_totals(t.events, "ts", "value")
 
 
 SLIDING_SQL = """
 WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - s * INTERVAL 5 MINUTE AS window_start, value, event_type FROM events, (VALUES (0), (1)) v(s))
-SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_value, count(*) AS rows FROM w GROUP BY ALL
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type, EXACT_SUM(value) / count(*) AS avg_value, count(*) AS rows FROM w GROUP BY ALL
 """
 
 
@@ -464,7 +464,7 @@ def _(t):
 @query("s05_session_window", """
 WITH f AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session_no FROM f)
-SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 6 HOUR AS window_end, count(*) AS actions, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM s GROUP BY user_id, session_no
+SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 6 HOUR AS window_end, count(*) AS actions, EXACT_SUM(value) AS total_value FROM s GROUP BY user_id, session_no
 """)
 def _(t):
     e = t.events.select("event_id", "user_id", "ts", "value")
@@ -474,7 +474,7 @@ def _(t):
     return s.drop("session_no")
 
 
-@query("s06_running_totals", "SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS rows FROM events GROUP BY 1")
+@query("s06_running_totals", "SELECT user_id, EXACT_SUM(value) AS total, count(*) AS rows FROM events GROUP BY 1")
 def _(t):
     return drain(t, st.running_totals(event_stream(t), "user_id", "value"), ["user_id"])
 
@@ -484,7 +484,7 @@ def _(t):
     return drain(t, st.active_users(event_stream(t), "event_time", "event_type", "user_id", "1 day"), ["window_start", "event_type"])
 
 
-@query("s08_leaderboard", "SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_score FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+@query("s08_leaderboard", "SELECT user_id, EXACT_SUM(value) AS total_score FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 def _(t):
     st.check_output_mode("complete", aggregated=True, watermarked=False, bounded_result=True)
     path = scratch_path(t.spark, "board")
@@ -568,7 +568,7 @@ def _(t):
     return t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("parked"), F.lit(len(pauses)).alias("pauses"))
 
 
-@query("s16_restart_from_checkpoint", "SELECT event_type AS symbol, count(*) AS rows, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1")
+@query("s16_restart_from_checkpoint", "SELECT event_type AS symbol, count(*) AS rows, EXACT_SUM(value) AS total FROM events GROUP BY 1")
 def _(t):
     landed, offsets, path = (scratch_path(t.spark, n) for n in ("landed", "offsets", "table"))
     schema = "event_type string, value double"

@@ -5,6 +5,7 @@ from datetime import date, datetime
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from millrace.functions.sums import partial_sums, whole_sum
 from millrace.operators import aggregates as agg
 from millrace.operators import columns as cols
 from millrace.operators import joins, reshape, windows
@@ -110,7 +111,7 @@ def _(t):
 
 @query("p11_impute", """
 WITH d AS (SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN p_retailprice END AS price, CASE WHEN p_size % 3 <> 0 THEN p_brand END AS brand FROM part),
-m AS (SELECT CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / count(price) AS mean FROM d)
+m AS (SELECT EXACT_SUM(price) / count(price) AS mean FROM d)
 SELECT p_partkey, coalesce(price, (SELECT mean FROM m)) AS price, coalesce(brand, 'Unknown') AS brand FROM d
 """)
 def _(t):
@@ -298,7 +299,7 @@ def _(t):
 
 @query("j11_salted_join", """
 SELECT event_id, events.event_type, value, avg_value FROM events JOIN (
-  SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_value FROM events GROUP BY 1) a USING (event_type)
+  SELECT event_type, EXACT_SUM(value) / count(*) AS avg_value FROM events GROUP BY 1) a USING (event_type)
 """)
 def _(t):
     kinds = t.events.groupBy("event_type").agg(agg.exact_avg("value").alias("avg_value"))
@@ -374,8 +375,8 @@ def sales_table(t):
 
 MONTHLY = """
 monthly AS (SELECT p_type AS category, r_name AS region, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total_quantity,
-  count(*) AS transactions_count, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_transaction_value
+  EXACT_SUM(l_extendedprice) AS total_revenue, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total_quantity,
+  count(*) AS transactions_count, EXACT_SUM(l_extendedprice) / count(*) AS avg_transaction_value
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)
 """
@@ -387,7 +388,7 @@ def _(t):
 
 
 @query("a02_group_count_top", """
-SELECT c_mktsegment, count(*) AS count, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_bal
+SELECT c_mktsegment, count(*) AS count, EXACT_SUM(c_acctbal) / count(*) AS avg_bal
 FROM customer GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3
 """)
 def _(t):
@@ -407,8 +408,8 @@ def _(t):
 
 
 @query("a04_having", """
-SELECT o_custkey, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders
-GROUP BY 1 HAVING count(*) >= 12 AND sum(CAST(o_totalprice AS DECIMAL(18,2))) >= 1000000
+SELECT o_custkey, count(*) AS orders, EXACT_SUM(o_totalprice) AS total FROM orders
+GROUP BY 1 HAVING count(*) >= 12 AND EXACT_SUM(o_totalprice) >= 1000000
 """)
 def _(t):
     spent = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), agg.exact_sum("o_totalprice").alias("total"))
@@ -438,8 +439,7 @@ def _(t):
 
 
 @query("a07_sales_by_product", """
-SELECT p_name, CAST(sum(CAST(coalesce(CASE WHEN l_linenumber <> 3 THEN l_extendedprice END, 0) AS DECIMAL(18,2)) *
-  CAST(coalesce(CASE WHEN l_linenumber <> 2 THEN l_quantity END, 1) AS DECIMAL(10,0))) AS DOUBLE) AS total_sales
+SELECT p_name, EXACT_SUM(coalesce(CASE WHEN l_linenumber <> 3 THEN l_extendedprice END, 0) * coalesce(CASE WHEN l_linenumber <> 2 THEN l_quantity END, 1)) AS total_sales
 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_name IS NOT NULL AND p_name <> '' GROUP BY 1
 """)
 def _(t):
@@ -449,21 +449,20 @@ def _(t):
     return agg.sales_by_product(lines, "p_name", "amount", "quantity")
 
 
-@query("a08_user_spending", "SELECT user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_spent FROM events GROUP BY 1")
+@query("a08_user_spending", "SELECT user_id, EXACT_SUM(value) AS total_spent FROM events GROUP BY 1")
 def _(t):
     return t.events.groupBy("user_id").agg(agg.exact_sum("value").alias("total_spent"))
 
 
 @query("a08_total_value", """
-SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS DECIMAL(10,0))) AS DOUBLE) AS total_value FROM lineitem
+SELECT EXACT_SUM(l_extendedprice * l_quantity) AS total_value FROM lineitem
 """)
 def _(t):
-    line = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_quantity").cast("decimal(10,0)")
-    return t.lineitem.agg(F.sum(line).cast("double").alias("total_value"))
+    return t.lineitem.agg(agg.exact_sum(F.col("l_extendedprice") * F.col("l_quantity")).alias("total_value"))
 
 
 @query("a09_daily_trade_summary", """
-SELECT event_type AS symbol, CAST(ts AS DATE) AS batch_date, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price,
+SELECT event_type AS symbol, CAST(ts AS DATE) AS batch_date, EXACT_SUM(value) / count(*) AS avg_price,
   min(value) AS min_price, max(value) AS max_price, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS total_quantity,
   count(*) AS trade_count FROM events GROUP BY 1, 2
 """)
@@ -510,7 +509,7 @@ def _(t):
 
 
 @query("a13_city_averages", """
-SELECT n_name AS city, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_temp,
+SELECT n_name AS city, EXACT_SUM(s_acctbal) / count(*) AS avg_temp,
   count(DISTINCT s_suppkey) AS stations, DATE '2024-01-31' AS report_date FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1
 """)
 def _(t):
@@ -530,22 +529,22 @@ def _(t):
 
 
 @query("a15_daily_revenue", """
-SELECT CAST(o_orderdate AS DATE) AS order_date, count(*) AS total_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
-  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_order_value FROM orders GROUP BY 1
+SELECT CAST(o_orderdate AS DATE) AS order_date, count(*) AS total_orders, EXACT_SUM(o_totalprice) AS total_revenue,
+  EXACT_SUM(o_totalprice) / count(*) AS avg_order_value FROM orders GROUP BY 1
 """)
 def _(t):
     return agg.daily_revenue(t.orders, "o_orderdate", "o_totalprice")
 
 
 @query("a16_customer_lifetime_value", """
-SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS lifetime_value, count(*) AS orders FROM orders GROUP BY 1
+SELECT o_custkey, EXACT_SUM(o_totalprice) AS lifetime_value, count(*) AS orders FROM orders GROUP BY 1
 """)
 def _(t):
     return agg.lifetime_value(t.orders, "o_custkey", "o_totalprice")
 
 
 @query("a16_top_products", """
-SELECT l_partkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20
+SELECT l_partkey, EXACT_SUM(l_extendedprice) AS revenue FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20
 """)
 def _(t):
     return t.lineitem.groupBy("l_partkey").agg(agg.exact_sum("l_extendedprice").alias("revenue")).orderBy(F.col("revenue").desc(), "l_partkey").limit(20)
@@ -569,7 +568,7 @@ def _(t):
 
 
 @query("a18_mean_last_7d", """
-SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_value, TIMESTAMP '2024-01-29 00:00:00' AS as_of FROM events
+SELECT event_type, EXACT_SUM(value) / count(*) AS mean_value, TIMESTAMP '2024-01-29 00:00:00' AS as_of FROM events
 WHERE ts >= TIMESTAMP '2024-01-22 00:00:00' AND ts < TIMESTAMP '2024-01-29 00:00:00' GROUP BY 1
 """)
 def _(t):
@@ -660,11 +659,11 @@ def _(t):
 
 
 @query("w03_running_total", """
-SELECT event_id, user_id, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM events
+SELECT event_id, user_id, EXACT_SUM(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS running FROM events
 """)
 def _(t):
     e = t.events.select("event_id", "user_id", "ts", "value")
-    out = windows.running_total(e, ["user_id"], ["ts", "event_id"], F.col("value").cast("decimal(18,2)"), "running")
+    out = windows.running_total(e, ["user_id"], ["ts", "event_id"], F.col("value"), "running")
     return out.select("event_id", "user_id", F.col("running").cast("double").alias("running"))
 
 
@@ -739,14 +738,14 @@ def _(t):
 
 
 @query("o02_top_nations", """
-SELECT n_name, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders JOIN customer ON o_custkey = c_custkey
+SELECT n_name, EXACT_SUM(o_totalprice) AS total FROM orders JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
 """)
 def _(t):
     # Totals per customer first: the join then carries one row per customer, not per order.
-    spent = t.orders.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("spent"))
+    spent = t.orders.groupBy("o_custkey").agg(*partial_sums("o_totalprice", "spent"))
     placed = spent.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return placed.groupBy("n_name").agg(F.sum("spent").cast("double").alias("total")).orderBy(F.col("total").desc(), "n_name").limit(10)
+    return placed.groupBy("n_name").agg(whole_sum("spent").alias("total")).orderBy(F.col("total").desc(), "n_name").limit(10)
 
 
 @query("o03_time_range_series", """

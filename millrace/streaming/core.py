@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from millrace.operators.aggregates import exact_avg, exact_sum
+from millrace.functions.sums import exact_avg, exact_sum
 from millrace.operators.upsert import upsert_table
 
 

@@ -166,7 +166,7 @@ def test_asof_join_split_equals_brute_force(df):
     for direction in ("backward", "forward"):
         want = []
         for i, k, ts, _v in ticks():
-            times = [u for u in marks.get(k, {}) if (u <= ts if direction == "backward" else u >= ts)]
+            times = [u for u in marks.get(k, {}) if k is not None and (u <= ts if direction == "backward" else u >= ts)]  # NULL matches nothing
             best = (max(times) if direction == "backward" else min(times)) if times else None
             want.append((i, marks[k][best] if times else None))
         for limit in LIMITS:
