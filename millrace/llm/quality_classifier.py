@@ -1,8 +1,8 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
 * **Statistics** (``STATS``) are computed for every whole text, from its bytes and words only.
-* **Fit.** Labelled rows are joined to the statistics. At most ``max_rows`` of them (those of the least hash of id,
-  a bounded sample) reach the driver, as rows of about 30 numbers. Each statistic is cut at quantiles into up to
+* **Fit.** Labelled rows are joined to the statistics. ``max_rows`` of them (those of the least hash of id,
+  a bounded sample; all, if there are fewer) reach the driver, as rows of about 30 numbers. Each statistic is cut at quantiles into up to
   ``bins`` bins; each tree grows by depth from histograms of gradients of the logistic loss.
 * **Score.** Trees are complete and flattened into arrays by level, so a batch of rows walks down all of them with
   a few numpy steps per level.
@@ -10,6 +10,8 @@
 Empty and null texts have statistics like any other (all 0). A label that is null counts as none; several labels of one
 id count as their mean, rounded up from a half. Without labels, or with one class only, the score is the share of
 label 1 (0.5 without labels). Rows of equal or null id are scored like all others; null ids have no label.
+Texts of any length are read whole, in slabs. Empty tables give no rows. Other columns are not looked at: only ``keep``, the id and
+the text are read, and inside the names begin with an underscore.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.text import U64, mix, slabs, total, word_hash
+from millrace.llm.text import U64, giving_back, mix, slabs, total, word_hash
 from millrace.session import stage
 
 MAX_ROWS = 50_000
@@ -127,7 +129,7 @@ def statistics(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)), pa.array(values.ravel()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i + 1).slice(lo, hi - lo) for i in range(len(kept))), lists], names=[*(f.name for f in kept), "stats"])
 
-    out = frame.mapInArrow(read, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), "stats array<float>"]))
+    out = frame.mapInArrow(giving_back(read), ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), "stats array<float>"]))
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "stats")
 
 
@@ -213,10 +215,12 @@ def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str
     )
     # the rows of the least hashes: first by a threshold that leaves a few more, so that little is ordered
     place = F.abs(F.xxhash64("_id") / 2.0**63)
-    share = 1.2 * max_rows / max(1, known.count())
+    own = stats.select(F.col(doc_id).alias("_id"), "stats")
+    met = own.select("_id").join(known.select("_id"), "_id").count()  # labels of other documents don't take a share
+    share = (max_rows + 6 * max_rows**0.5 + 10) / max(1, met)
     rows = (
-        stats.select(F.col(doc_id).alias("_id"), "stats").join(known.where(place <= share), "_id")
-        .orderBy(place, "_id").limit(max_rows).select("stats", "y").toPandas()
+        own.join(known.where(place <= share), "_id")
+        .orderBy(place, "_id", "stats").limit(max_rows).select("stats", "y").toPandas()
     )
     x = np.stack(rows["stats"]) if len(rows) else np.zeros((0, len(STATS)), np.float32)
     return fit_trees(np.asarray(x, np.float32), rows["y"].to_numpy(np.float64), **options)
@@ -232,7 +236,7 @@ def score(stats: DataFrame, trees: Trees, keep: Sequence[str], threshold: float
             x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
             yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(kept))), pa.array(trees.score(x))], names=[*(f.name for f in kept), "score"])
 
-    out = frame.mapInArrow(read, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), "score double"]))
+    out = frame.mapInArrow(giving_back(read), ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), "score double"]))
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -249,7 +253,7 @@ def score_texts(docs: DataFrame, trees: Trees, keep: Sequence[str], threshold: f
                 own = [batch.column(i).slice(lo, hi - lo) for i in range(batch.num_columns)]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(trees.score(stats_of(s)))], names=columns)
 
-    out = frame.mapInArrow(read, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields), "score double"]))
+    out = frame.mapInArrow(giving_back(read), ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields), "score double"]))
     names = {c: f"_k{i}" for i, c in enumerate(others)} | {"text": "text"}
     return out.select(*[F.col(names[c]).alias(c) for c in keep], "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 

@@ -7,7 +7,10 @@ the size of its partition (one text is never cut; a slab holds at least one).
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
+from functools import wraps
 from typing import NamedTuple
 
 import numpy as np
@@ -40,6 +43,31 @@ def small_batches(spark) -> None:
         spark.conf.set(name, "1000")
 
 
+def giving_back(run):
+    """A function over Arrow batches that, when it has ended, returns to the system what its worker no longer uses.
+
+    Workers live on between tasks, and neither Arrow's pool nor the C allocator gives memory back by itself, so a job of many
+    steps would hold the peak of each.
+    """
+
+    @wraps(run)
+    def lean(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return lean
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
 class Slab(NamedTuple):
     data: np.ndarray  # bytes of the texts, one after the other
     bounds: np.ndarray  # where each text starts in data, and the end
