@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.text import giving_back
 from millrace.llm.tokens import encoded
 
 SIZES = (2048, 1024, 512, 256)
@@ -114,7 +115,7 @@ def pack(docs: DataFrame, tokenizer: str, keep: Sequence[str] = (), end: int = 1
             yield _packed(held, kept, counts, sizes, step)
 
     types = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), *(f"{c} {t}" for c, t in OUT.items())])
-    out = frame.mapInArrow(pack_texts, types)
+    out = frame.mapInArrow(giving_back(pack_texts), types)
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("row_start").alias("start"), *list(OUT)[1:])
 
 

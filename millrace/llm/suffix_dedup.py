@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import tables
-from millrace.llm.text import U64, buffers, mix, prefix_hash, slices, substring_hash
+from millrace.llm.text import U64, buffers, giving_back, mix, prefix_hash, slices, substring_hash
 
 LENGTH = 100
 KMER = 32
@@ -285,7 +285,7 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
     bits = tables.bucket_bits(frame)
 
     def count_anchors(batches):
-        held = tables.Counter(bits)
+        held = tables.Counter(bits, 400_000)
         for batch in batches:
             for p in pieces(*buffers(batch.column(0)), length):
                 yield from _batch(held.add(anchors(prefix_hash(p.data), p.bounds, length, kmer).hash))
@@ -297,7 +297,7 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
         tables.save(folder, "anchor", int(pdf["bucket"].iloc[0]), key=keys[many], count=counts[many])
         return pd.DataFrame({"n": [int(many.sum())]})
 
-    frame.select("text").mapInArrow(count_anchors, BLOCKS).groupBy("bucket").applyInPandas(store_anchors, "n long").agg(F.sum("n")).collect()
+    frame.select("text").mapInArrow(giving_back(count_anchors), BLOCKS).groupBy("bucket").applyInPandas(store_anchors, "n long").agg(F.sum("n")).collect()
 
     def cut_segments(batches):
         held = Segments(bits + 4, bits)  # segments are the larger part: smaller buckets
@@ -365,7 +365,7 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", length: int = LENGTH,
         return pd.DataFrame({"n": [len(key)]})
 
     (
-        frame.mapInArrow(cut_segments, BLOCKS).groupBy("bucket").applyInPandas(expand, BLOCKS)
+        frame.mapInArrow(giving_back(cut_segments), BLOCKS).groupBy("bucket").applyInPandas(expand, BLOCKS)
         .groupBy("bucket").applyInPandas(store_ranges, "n long").agg(F.sum("n")).collect()
     )
     return folder, bits
@@ -424,5 +424,5 @@ def dedup(docs: DataFrame, keep: Sequence[str] = ("doc_id",), doc_id: str = "doc
                 yield pa.RecordBatch.from_arrays([*(batch.column(i + 2).slice(lo, hi - lo) for i in range(len(kept))), *columns],
                                                  names=[*(f.name for f in kept), "n_bytes", "n_removed", "spans", "kept"])
 
-    out = frame.mapInArrow(remove, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), OUT + ("string" if as_text else "binary")]))
+    out = frame.mapInArrow(giving_back(remove), ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), OUT + ("string" if as_text else "binary")]))
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "n_bytes", "n_removed", "spans", "kept")
