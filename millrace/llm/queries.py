@@ -180,7 +180,7 @@ with recursive sized as (
   from waiting group by source
   union all
   select w.source, w.nth, case when w.size <= f.remaining then f.remaining - w.size else f.remaining end, w.size <= f.remaining
-  from fill f join waiting w on w.source is not distinct from f.source and w.nth = f.nth + 1 where w.nth <= 200
+  from fill f join waiting w on w.source is not distinct from f.source and w.nth = f.nth + 1
 ), copies as (
   select w.doc_id, w.source, size, words, target, whole + (fits or coalesce(f.taken, false))::int as copies
   from waiting w left join fill f on f.source is not distinct from w.source and f.nth = w.nth and w.nth > 0

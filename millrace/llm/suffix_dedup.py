@@ -81,7 +81,8 @@ def anchors(sums: np.ndarray, bounds: np.ndarray, length: int, kmer: int) -> Anc
     place = place[start]
     first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)]))
     last = np.append(first[1:], len(start)) - 1
-    return Anchors(h[place[first]], np.searchsorted(bounds, start[first], "right") - 1, start[first], start[last])
+    # least hashes are small numbers: mixed again, they are spread over all buckets
+    return Anchors(mix(h[place[first]]), np.searchsorted(bounds, start[first], "right") - 1, start[first], start[last])
 
 
 class Piece(NamedTuple):
