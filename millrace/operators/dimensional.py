@@ -141,7 +141,7 @@ def write_star(fact: DataFrame, dims: Mapping[str, DataFrame], path: str, day: S
     write_partitioned(fact, f"{path}/fact", day)
 
 
-_WIDER = {("int", "bigint"), ("float", "double"), ("int", "double"), ("smallint", "int"), ("tinyint", "int"),
+WIDER = {("int", "bigint"), ("float", "double"), ("int", "double"), ("smallint", "int"), ("tinyint", "int"),
           ("smallint", "bigint"), ("date", "timestamp"), ("int", "float")}
 
 
@@ -157,7 +157,7 @@ def schema_drift(spark: SparkSession, old: T.StructType, new: T.StructType) -> D
         elif b is None:
             rows.append((name, "dropped", a, b, "risky"))
         elif a != b:
-            wide = (a, b) in _WIDER
+            wide = (a, b) in WIDER
             rows.append((name, "widened" if wide else "changed", a, b, "safe" if wide else "risky"))
     shared_old = [n for n in before if n in after]
     if shared_old != [n for n in after if n in before]:

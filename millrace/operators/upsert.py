@@ -96,14 +96,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 
 
 def newer_rows(source: DataFrame, target: DataFrame, ts: str, lookback: timedelta | None = None) -> DataFrame:
-    """Source rows newer than the target's latest; ``lookback`` takes late rows in again.
+    """Source rows from the target's latest time on; ``lookback`` takes late rows in again.
+
+    Rows at the latest time itself are taken: more of that instant may have come. Whoever adds them does so by key.
 
     The latest time is one value, read first so that the filter reaches the source scan.
     """
     latest = target.agg(F.max(ts)).first()[0]
     if latest is None:
         return source
-    return source.where(F.col(ts) > F.lit(latest - lookback if lookback else latest).cast(source.schema[ts].dataType))
+    return source.where(F.col(ts) >= F.lit(latest - lookback if lookback else latest).cast(source.schema[ts].dataType))
 
 
 def incremental_append(target: DataFrame, source: DataFrame, ts: str, keys: Sequence[str], order: Sequence[Column | str],

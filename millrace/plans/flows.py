@@ -19,6 +19,7 @@ from millrace.operators.dimensional import dim_from_source
 from millrace.session import stage
 from millrace.sources import contracts, files, sinks
 from millrace.streaming import core as st
+from millrace.streaming.lifecycle import run_together
 
 # Commodities, currencies and macro series of the commodity mart.
 COMMODITIES = ("gold", "silver", "platinum", "nickel", "copper")
@@ -133,23 +134,22 @@ def run_commodity_mart(spark: SparkSession, raw_path: str, out: str) -> DataFram
 
 
 def run_candles(trades: DataFrame, out: str, checkpoint: str, widths: Sequence[int] = (5, 15, 45, 60)) -> DataFrame:
-    """A stream of raw trade JSON (``raw``, ``tick_id``) to a tick table, 1-minute candles and wider candles.
+    """A stream of raw trade JSON (``raw``, ``tick_id``) to a tick table and 1-minute candles at the same time, and wider candles.
 
     Candles keep the edge ticks, so a later batch with earlier ticks still gives the right open.
     """
     spark = trades.sparkSession
     ticks = clean.parse_trades(trades, "raw").where("price > 0 AND symbol IS NOT NULL")
     ticks = ticks.withWatermark("event_ts", "10 seconds")
-    raw = st.start_query(ticks, f"{checkpoint}/ticks", "append", write=st.append_sink(f"{out}/ticks"))
-    raw.awaitTermination()
     edge = F.struct("event_ts", "tick_id", "price")
     minute = ticks.groupBy(F.window("event_ts", "1 minute").alias("_w"), "symbol").agg(
         F.min(edge).alias("first"), F.max(edge).alias("last"), F.max("price").alias("high"), F.min("price").alias("low"))
     minute = minute.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "symbol", "first", "last", "high", "low")
     rules = {"first": "least", "last": "greatest", "high": "greatest", "low": "least"}
     by = {"day": F.to_date("window_start")}
-    st.start_query(minute, f"{checkpoint}/candles", "update",
-                   write=st.upsert_sink(spark, f"{out}/window_1m", ["window_start", "symbol", "day"], by, rules)).awaitTermination()
+    upsert = st.upsert_sink(spark, f"{out}/window_1m", ["window_start", "symbol", "day"], by, rules)
+    run_together(spark, {"ticks": lambda: st.start_query(ticks, f"{checkpoint}/ticks", "append", write=st.append_sink(f"{out}/ticks")),
+                         "candles": lambda: st.start_query(minute, f"{checkpoint}/candles", "update", write=upsert)})
     candles = spark.read.parquet(f"{out}/window_1m").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "symbol", F.col("first.price").alias("open"), "high", "low", F.col("last.price").alias("close"))
     wide = None

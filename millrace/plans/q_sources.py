@@ -1,5 +1,6 @@
 """Queries for sources, sinks, upserts, dimensions, streams, functions, ML and graph."""
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -7,12 +8,15 @@ from pyspark.sql import functions as F
 from millrace.functions import udfs
 from millrace.operators import aggregates as agg
 from millrace.operators import dimensional as dims
+from millrace.operators.columns import attach_scalars
 from millrace.operators import graph, ml, quality, upsert, windows
 from millrace.plans.q_tables import CANDLES, minute_candles, sales_table
 from millrace.plans.registry import query
 from millrace.session import scratch_path, stage
-from millrace.sources import contracts, files, html, kafka, sinks
+from millrace.sources import contracts, evolution, files, html, kafka, sinks
+from millrace.sources.versions import VersionedTable, incremental_model
 from millrace.streaming import core as st
+from millrace.streaming import lifecycle
 
 # --- sources and sinks -------------------------------------------------------------------
 
@@ -281,7 +285,7 @@ def _(t):
     return t.spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("rows"), F.max("o_totalprice").alias("top"))
 
 
-@query("u05_incremental_append", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE (o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority <> '5-LOW') OR o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01') - INTERVAL 3 DAY")
+@query("u05_incremental_append", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE (o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority <> '5-LOW') OR o_orderdate >= (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority <> '5-LOW') - INTERVAL 3 DAY")
 def _(t):
     o = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
     # Low-priority rows never reached the table: those of its last three days come in late.
@@ -345,6 +349,79 @@ def _(t):
     return counted
 
 
+def _incremental(t, steps: str):
+    """A table of orders kept by an incremental model: orders before 1997, then all; late rows of its last three days come in too."""
+    o = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    table = VersionedTable(t.spark, scratch_path(t.spark, "model"))
+    before = t.orders.where("o_orderdate < '1997-01-01' AND o_orderpriority <> '5-LOW'").select(*o.columns)
+    args = ("o_orderdate", ["o_orderkey"], ["o_orderdate"], timedelta(days=3))
+    incremental_model(table, before, *args)
+    versions = [incremental_model(table, o, *args) for _ in range(2 if "again" in steps else 1)]
+    if "refresh" in steps:
+        versions.append(incremental_model(table, o, *args, full_refresh=True))
+    return table.read(), versions
+
+
+@query("u11_incremental_model", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE (o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority <> '5-LOW') OR o_orderdate >= (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority <> '5-LOW') - INTERVAL 3 DAY")
+def _(t):
+    return _incremental(t, "once")[0]
+
+
+@query("u11_incremental_again", "SELECT count(*) AS orders, sum(o_orderkey)::bigint AS keys, true AS unchanged FROM orders WHERE (o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority <> '5-LOW') OR o_orderdate >= (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority <> '5-LOW') - INTERVAL 3 DAY")
+def _(t):
+    rows, versions = _incremental(t, "again")
+    return rows.agg(F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("keys"), F.lit(versions == [2, None]).alias("unchanged"))
+
+
+@query("u11_full_refresh", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
+def _(t):
+    return _incremental(t, "refresh")[0]
+
+
+def _supplier_files(t):
+    """A registered table of two files, the second with another order of columns, a wider key, one more and one column fewer."""
+    path, name = scratch_path(t.spark, "supplier"), f"supplier_{uuid.uuid4().hex}"
+    half = F.col("s_suppkey") % 2 == 0
+    old = t.supplier.where(half).select(F.col("s_suppkey").cast("int").alias("s_suppkey"), "s_name", "s_nationkey")
+    new = t.supplier.where(~half).select("s_name", F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_acctbal")
+    old.write.parquet(path)
+    files.register_table(t.spark, name, path, old.schema)
+    new.write.mode("append").parquet(path)
+    return name, path, new.schema
+
+
+SCHEMA_CHANGES = """SELECT c AS column, change, old_type, new_type, verdict, {applied} AS applied, (SELECT count(*) FROM supplier) AS rows FROM (VALUES
+  ('s_suppkey', 'widened', 'int', 'bigint', 'safe'), ('s_nationkey', 'dropped', 'int', NULL, 'risky'), ('s_acctbal', 'added', NULL, 'double', 'safe'),
+  ('*', 'reordered', 's_suppkey,s_name,s_nationkey', 's_name,s_suppkey,s_acctbal', 'safe')) v(c, change, old_type, new_type, verdict)"""
+
+
+def _watched(t, policy: str):
+    name, path, schema = _supplier_files(t)
+    history = scratch_path(t.spark, "history")
+    evolution.watch_schema(t.spark, name, path, history, policy, datetime(2024, 1, 31), schema)
+    return t.spark.table(name), evolution.schema_history(t.spark, history, name)
+
+
+@query("f19_schema_update", "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS s_nationkey, CASE WHEN s_suppkey % 2 <> 0 THEN s_acctbal END AS s_acctbal FROM supplier")
+def _(t):
+    return _watched(t, "UPDATE")[0]
+
+
+@query("f19_schema_log", "SELECT s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS s_nationkey FROM supplier")
+def _(t):
+    return _watched(t, "LOG")[0].drop("s_suppkey")  # its new files are wider than the entry says
+
+
+@query("u16_drift_applied", SCHEMA_CHANGES.format(applied="change IN ('added', 'widened')"))
+def _(t):
+    return attach_scalars(_watched(t, "UPDATE")[1].drop("table_name", "seen_at"), t.supplier.agg(F.count(F.lit(1)).alias("rows")))
+
+
+@query("u16_drift_logged", SCHEMA_CHANGES.format(applied="false"))
+def _(t):
+    return attach_scalars(_watched(t, "LOG")[1].drop("table_name", "seen_at"), t.supplier.agg(F.count(F.lit(1)).alias("rows")))
+
+
 @query("u12_partial_sources", """
 SELECT n_nationkey, c.customers, NULL AS news FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS customers FROM customer WHERE c_nationkey < 10 GROUP BY 1) c ON c_nationkey = n_nationkey
 """)
@@ -514,19 +591,22 @@ def _(t):
 
 
 @query("s11_order_payment_stream", """
-SELECT event_id AS order_id, ts AS order_time, ts + to_minutes(event_id % 30) AS payment_time FROM events WHERE event_type <> 'error' AND event_id % 30 <= 15
+SELECT event_id AS order_id, ts AS order_time, CASE WHEN event_type <> 'error' AND event_id % 30 <= 15 THEN ts + to_minutes(event_id % 30) END AS payment_time,
+  CASE WHEN event_type <> 'error' AND event_id % 30 <= 15 THEN 'completed' ELSE 'failed' END AS status FROM events
 """)
 def _(t):
-    """Paid orders; those that fail come out as the watermark passes them and are left out here."""
+    """Paid orders, and those that fail: they come out as the watermark passes them, which one more event after the last one makes sure of."""
     e = t.stream("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    end = t.events.agg(F.lit(-1).cast("bigint").alias("event_id"), F.lit("end").alias("event_type"), (F.max("ts").cast("timestamp") + F.make_dt_interval(days=F.lit(2))).alias("ts"))
+    e = e.unionByName(t.spark.readStream.schema(end.schema).parquet(files.export(end, scratch_path(t.spark, "end"), "parquet")))
     orders = e.select(F.col("event_id").alias("order_id"), F.col("ts").alias("order_time"))
     paid = e.where("event_type <> 'error'").select(F.col("event_id").alias("payment_order_id"), (
         F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 30).cast("int"))).alias("payment_time"))
     path = scratch_path(t.spark, "matched")
     matched = st.match_payments(orders, paid)
     st.start_query(matched, scratch_path(t.spark, "offsets"), "append", write=st.append_sink(path)).awaitTermination()
-    return t.spark.read.parquet(path).where("status = 'completed'").select(
-        "order_id", F.col("order_time").cast("timestamp_ntz").alias("order_time"), F.col("payment_time").cast("timestamp_ntz").alias("payment_time"))
+    return t.spark.read.parquet(path).select("order_id", F.col("order_time").cast("timestamp_ntz").alias("order_time"),
+                                             F.col("payment_time").cast("timestamp_ntz").alias("payment_time"), "status")
 
 
 @query("j14_stream_static_join", "SELECT event_id, user_id, c_name, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey")
@@ -584,11 +664,36 @@ def _(t):
 
 @query("s18_query_health", "SELECT count(*) AS input_rows, false AS any_negative FROM events")
 def _(t):
-    q = st.start_query(st.running_totals(event_stream(t), "event_type", "value"), scratch_path(t.spark, "offsets"), "update",
-                       write=lambda df, _id: df.write.mode("overwrite").parquet(scratch_path(t.spark, "sink")))
-    q.awaitTermination()
-    report = st.progress_report(t.spark, q)
-    return report.agg(F.sum("input_rows").alias("input_rows"), F.max((F.col("state_rows") < 0) | (F.col("duration_ms") < 0)).alias("any_negative"))
+    with lifecycle.ProgressLog(t.spark, scratch_path(t.spark, "progress")) as log:
+        q = st.start_query(st.running_totals(event_stream(t), "event_type", "value"), scratch_path(t.spark, "offsets"), "update",
+                           write=lambda df, _id: df.write.mode("overwrite").parquet(scratch_path(t.spark, "sink")))
+        q.awaitTermination()
+        report = lifecycle.health_report(log.wait(q))
+    return report.select("input_rows", ((F.col("state_rows") < 0) | (F.col("longest_ms") < 0)).alias("any_negative"))
+
+
+@query("s18_all_batches", "SELECT 110::bigint AS batches, count(*) AS input_rows, 0::bigint AS missing FROM events")
+def _(t):
+    """More batches than a query itself remembers: the table in 110 files, one a batch."""
+    path = scratch_path(t.spark, "files")
+    t.events.select("event_id").repartition(110).write.parquet(path)
+    with lifecycle.ProgressLog(t.spark, scratch_path(t.spark, "progress"), every=40) as log:
+        source = t.spark.readStream.schema("event_id bigint").option("maxFilesPerTrigger", 1).parquet(path)
+        q = st.start_query(source, scratch_path(t.spark, "offsets"), "append", fmt="noop")
+        q.awaitTermination()
+        rows = log.wait(q).where("input_rows > 0")
+    return rows.agg(F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"), (F.max("batch_id") + 1 - F.countDistinct("batch_id")).alias("missing"))
+
+
+@query("s21_queries_together", "SELECT 'actions' AS name, count(*) AS rows FROM events UNION ALL SELECT 'sales', count(*) FILTER (WHERE event_type = 'purchase') FROM events")
+def _(t):
+    """Two queries over one source at the same time, until both have ended."""
+    paths = {name: scratch_path(t.spark, name) for name in ("actions", "sales")}
+    sources = {"actions": event_stream(t), "sales": event_stream(t).where("event_type = 'purchase'")}
+    lifecycle.run_together(t.spark, {name: lambda name=name: st.start_query(sources[name], scratch_path(t.spark, "offsets"), "append", write=st.append_sink(paths[name]))
+                                     for name in paths})
+    parts = [t.spark.read.parquet(p).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows")) for name, p in paths.items()]
+    return parts[0].unionByName(parts[1])
 
 
 @query("s19_content_routing", "SELECT CASE WHEN event_type = 'purchase' THEN 'orders' ELSE 'errors' END AS route, count(*) AS rows FROM events WHERE event_type IN ('purchase', 'error') GROUP BY 1")

@@ -191,7 +191,7 @@ def test_incremental_into_empty_target_loads_all(spark):
     src = spark.createDataFrame([(1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2))], "id int, ts timestamp_ntz")
     assert upsert.incremental_append(src.where("false"), src, "ts", ["id"], ["ts"]).count() == 2
     newer = upsert.newer_rows(src, src.where("id = 1"), "ts")
-    assert rows(newer, "id") == [(2,)]
+    assert rows(newer, "id") == [(1,), (2,)]  # more rows of the latest instant may have come
 
 
 def test_scd2_keeps_history_and_null_safe_compare(spark):
