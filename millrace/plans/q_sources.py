@@ -16,7 +16,7 @@ from millrace.session import scratch_path, stage
 from millrace.sources import contracts, evolution, files, html, kafka, sinks
 from millrace.sources.versions import VersionedTable, incremental_model
 from millrace.streaming import core as st
-from millrace.streaming import lifecycle
+from millrace.streaming import lifecycle, sessions
 
 # --- sources and sinks -------------------------------------------------------------------
 
@@ -551,6 +551,36 @@ def _(t):
     return s.drop("session_no")
 
 
+SESSIONS_30 = """
+WITH e AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session_no FROM e)
+SELECT CAST(user_id AS VARCHAR) AS key, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, count(*) AS actions, EXACT_SUM(value) AS total_value
+FROM s GROUP BY user_id, session_no"""
+
+
+def _streamed_sessions(t):
+    """Events in four files without any order of time, so that later batches lengthen and join sessions of earlier ones."""
+    path = scratch_path(t.spark, "files")
+    t.events.select("event_id", "user_id", "ts", "value").repartition(4, "event_id").write.parquet(path)
+    source = t.spark.readStream.schema("event_id bigint, user_id bigint, ts timestamp_ntz, value double").option("maxFilesPerTrigger", 1).parquet(path)
+    kept = sessions.Sessions(t.spark, scratch_path(t.spark, "sessions"), "user_id", "ts", "value", delay=timedelta(days=3650))
+    st.start_query(source, scratch_path(t.spark, "offsets"), "append", write=kept.write).awaitTermination()
+    return kept
+
+
+@query("s05_stream_sessions", SESSIONS_30)
+def _(t):
+    return _streamed_sessions(t).current()
+
+
+@query("s05_session_changes", SESSIONS_30)
+def _(t):
+    """What all changes leave: each session that was added and not retracted."""
+    by = ["key", "window_start", "window_end", "actions", "total_value"]
+    left = _streamed_sessions(t).changes().groupBy(*by).agg(F.sum(F.when(F.col("op") == "+", 1).otherwise(-1)).alias("n"))
+    return left.where("n = 1").drop("n")
+
+
 @query("s06_running_totals", "SELECT user_id, EXACT_SUM(value) AS total, count(*) AS rows FROM events GROUP BY 1")
 def _(t):
     return drain(t, st.running_totals(event_stream(t), "user_id", "value"), ["user_id"])
