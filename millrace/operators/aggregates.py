@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions.sums import exact_avg, exact_sum
 from millrace.operators.columns import attach_scalars
 from millrace.operators.windows import exact_quantiles
+from millrace.session import stage
 
 
 def monthly_sales(sales: DataFrame) -> DataFrame:
@@ -44,6 +45,17 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     return one.select(F.inline(F.array(*[F.col(f"_p{i}") for i in range(len(cols))])))
 
 
+def column_describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per numeric column: count, mean, sample standard deviation, smallest and largest value; one pass over the table.
+
+    The mean is rounded once; the deviation is a plain one, whose last digits depend on the order of rows.
+    """
+    one = df.agg(*[
+        F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), exact_avg(c).alias("mean"), F.stddev_samp(c).alias("stddev"),
+                 F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(f"_p{i}") for i, c in enumerate(cols)])
+    return one.select(F.inline(F.array(*[F.col(f"_p{i}") for i in range(len(cols))])))
+
+
 def conditional_pivot(df: DataFrame, keys: Sequence[str], label: str, value: Column, names: Mapping[str, str]) -> DataFrame:
     """One ``max(value)`` column per wanted label, in a single aggregation."""
     return df.groupBy(*keys).agg(*[F.max(F.when(F.col(label) == want, value)).alias(name) for want, name in names.items()])
@@ -188,7 +200,7 @@ def partition_sizes(df: DataFrame) -> DataFrame:
 
 def key_share(df: DataFrame, key: str) -> DataFrame:
     """Rows per key and share of all rows."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    counts = stage(df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")), "counts")
     total = counts.agg(F.sum("rows").alias("_all"))
     shared = attach_scalars(counts, total)
     return shared.withColumn("share", F.col("rows") / F.col("_all")).drop("_all")

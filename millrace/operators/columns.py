@@ -166,8 +166,17 @@ def _pattern_entry(value: Column, entry) -> Column:
     return ok
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
+    """About that share of the rows.
+
+    With ``keys`` the digest of seed and keys decides, so that a row is in or out whatever the files and partitions; without,
+    the choice follows the partitions. A row with a NULL key is decided by its other keys.
+    """
+    if keys is None:
+        return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    digest = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), 1, 8)
+    bound = round(fraction * 16 ** 8)
+    return df if bound >= 16 ** 8 else df.where(digest < f"{bound:08x}")
 
 
 def hash_id(value: Column, salt: str) -> Column:

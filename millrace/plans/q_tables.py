@@ -175,9 +175,11 @@ def _(t):
     return t.orders.select("o_orderkey", (F.col("o_totalprice") > 400000).alias("is_mega"))
 
 
-@query("p18_sample_rows")
+@query("p18_sample_rows", """
+SELECT * FROM lineitem WHERE substr(md5('42|' || l_orderkey || '|' || l_linenumber), 1, 8) < '1999999a'
+""")
 def _(t):
-    return cols.sample_rows(t.lineitem, 0.1, seed=42)
+    return cols.sample_rows(t.lineitem, 0.1, seed=42, keys=["l_orderkey", "l_linenumber"])
 
 
 @query("p19_mask_pii", """
@@ -212,22 +214,20 @@ def _(t):
 
 
 @query("j03_right_join", """
-SELECT n_name, s_name, s_acctbal FROM (SELECT * FROM supplier WHERE s_acctbal > 5000) s RIGHT JOIN nation ON s_nationkey = n_nationkey
+SELECT n_name, s_name, s_acctbal FROM supplier RIGHT JOIN nation ON s_nationkey = n_nationkey
 """)
 def _(t):
-    rich = t.supplier.where("s_acctbal > 5000")
-    return rich.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "right").select("n_name", "s_name", "s_acctbal")
+    return t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "right").select("n_name", "s_name", "s_acctbal")
 
 
 @query("j03_full_join", """
-SELECT c.c_nationkey, c.customers, s.s_nationkey, s.suppliers
-FROM (SELECT c_nationkey, count(*) AS customers FROM customer WHERE c_nationkey < 20 GROUP BY 1) c
-FULL JOIN (SELECT s_nationkey, count(*) AS suppliers FROM supplier WHERE s_nationkey > 5 GROUP BY 1) s ON c_nationkey = s_nationkey
+SELECT o_custkey, orders, user_id, events FROM (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY 1)
+FULL JOIN (SELECT user_id, count(*) AS events FROM events GROUP BY 1) ON o_custkey = user_id
 """)
 def _(t):
-    c = t.customer.where("c_nationkey < 20").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
-    s = t.supplier.where("s_nationkey > 5").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("suppliers"))
-    return c.join(s, F.col("c_nationkey") == F.col("s_nationkey"), "full")
+    o = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
+    e = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
+    return o.join(e, F.col("o_custkey") == F.col("user_id"), "full")
 
 
 @query("j04_using_left_join", """
@@ -326,14 +326,14 @@ def _(t):
 
 
 @query("j15_order_payment_match", """
-WITH o AS (SELECT event_id AS order_id, user_id, ts FROM events WHERE event_type = 'click'),
+WITH o AS (SELECT event_id AS order_id, user_id, ts FROM events WHERE event_type <> 'purchase'),
 p AS (SELECT event_id AS payment_id, user_id, ts AS paid_at FROM events WHERE event_type = 'purchase')
 SELECT order_id, o.user_id, o.ts, CASE WHEN paid_at <= o.ts + INTERVAL 6 HOUR THEN payment_id END AS payment_id,
   CASE WHEN paid_at <= o.ts + INTERVAL 6 HOUR THEN 'completed' ELSE 'failed' END AS status
 FROM o ASOF LEFT JOIN p ON o.user_id = p.user_id AND o.ts <= p.paid_at
 """)
 def _(t):
-    orders = t.events.where("event_type = 'click'").select(F.col("event_id").alias("order_id"), "user_id", "ts")
+    orders = t.events.where("event_type <> 'purchase'").select(F.col("event_id").alias("order_id"), "user_id", "ts")
     paid = t.events.where("event_type = 'purchase'").select(F.col("event_id").alias("payment_id"), "user_id", F.col("ts").alias("paid_at"))
     return joins.await_match(orders, paid, ["user_id"], "ts", "paid_at", "payment_id", 6 * 3600)
 
@@ -407,6 +407,17 @@ def _(t):
     return agg.column_profile(t.orders)
 
 
+def _described(column):
+    mean = f"EXACT_SUM({column}) / count({column})"
+    return f"""SELECT '{column}' AS "column", count({column}) AS count, {mean} AS mean, round(stddev_samp({column}), 6) AS stddev,
+      CAST(min({column}) AS DOUBLE) AS min, CAST(max({column}) AS DOUBLE) AS max FROM lineitem"""
+
+
+@query("a03_column_describe", " UNION ALL ".join(_described(c) for c in ("l_quantity", "l_extendedprice", "l_discount")))
+def _(t):
+    return agg.column_describe(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount"]).withColumn("stddev", F.round("stddev", 6))
+
+
 @query("a04_having", """
 SELECT o_custkey, count(*) AS orders, EXACT_SUM(o_totalprice) AS total FROM orders
 GROUP BY 1 HAVING count(*) >= 12 AND EXACT_SUM(o_totalprice) >= 1000000
@@ -419,12 +430,13 @@ def _(t):
 @query("a05_conditional_pivot", """
 SELECT CAST(o_orderdate AS DATE) AS date, max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END) AS rate_urgent,
   max(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice END) AS rate_high, max(CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_totalprice END) AS rate_medium,
+  max(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_totalprice END) AS rate_none,
   max(CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice END) AS rate_low FROM orders GROUP BY 1
 """)
 def _(t):
     days = t.orders.withColumn("date", F.to_date("o_orderdate"))
     return agg.conditional_pivot(days, ["date"], "o_orderpriority", F.col("o_totalprice"),
-                                 {"1-URGENT": "rate_urgent", "2-HIGH": "rate_high", "3-MEDIUM": "rate_medium", "5-LOW": "rate_low"})
+                                 {"1-URGENT": "rate_urgent", "2-HIGH": "rate_high", "3-MEDIUM": "rate_medium", "4-NOT SPECIFIED": "rate_none", "5-LOW": "rate_low"})
 
 
 @query("a06_distinct_count", "SELECT CAST(ts AS DATE) AS day, count(DISTINCT user_id) AS users, count(DISTINCT event_type) AS types FROM events GROUP BY 1")
@@ -626,9 +638,9 @@ def _(t):
     return agg.key_share(t.events, "event_type")
 
 
-@query("a23_partition_skew")
+@query("a23_partition_skew", "SELECT CAST(l_linenumber % 8 AS INTEGER) AS partition, count(*) AS rows FROM lineitem GROUP BY 1")
 def _(t):
-    return agg.partition_sizes(t.lineitem.select("l_orderkey"))
+    return agg.partition_sizes(t.lineitem.select("l_linenumber").repartitionById(8, (F.col("l_linenumber") % 8).cast("int")))
 
 
 # --- windows -----------------------------------------------------------------------------
@@ -780,18 +792,23 @@ def _(t):
 
 @query("x03_drop_duplicates", "SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1")
 def _(t):
-    return windows.dedup_rows(t.documents.select("doc_id", "lang", "source", "text"), ["text"], ["doc_id"]).drop("text")
+    # the digest is the shuffle key, so that no text moves
+    rows = t.documents.select("doc_id", "lang", "source", F.sha2("text", 256).alias("digest"))
+    return windows.dedup_rows(rows, ["digest"], ["doc_id"]).drop("digest")
+
+
+# Names of the wide columns for the five order priorities.
+_METALS = {"1-URGENT": "gold", "2-HIGH": "silver", "3-MEDIUM": "platinum", "4-NOT SPECIFIED": "nickel", "5-LOW": "copper"}
 
 
-@query("x04_unpivot", """
-WITH p AS (SELECT CAST(o_orderdate AS DATE) AS date, max(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END) AS gold,
-  max(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice END) AS silver, max(CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice END) AS copper FROM orders GROUP BY 1)
-SELECT date, commodity_id, price FROM (UNPIVOT p ON gold, silver, copper INTO NAME commodity_id VALUE price)
+@query("x04_unpivot", "WITH p AS (SELECT CAST(o_orderdate AS DATE) AS date, " + ", ".join(
+    f"max(CASE WHEN o_orderpriority = '{k}' THEN o_totalprice END) AS {v}" for k, v in _METALS.items()) + """ FROM orders GROUP BY 1)
+SELECT date, commodity_id, price FROM (UNPIVOT p ON gold, silver, platinum, nickel, copper INTO NAME commodity_id VALUE price)
 """)
 def _(t):
     days = t.orders.withColumn("date", F.to_date("o_orderdate"))
-    wide = agg.conditional_pivot(days, ["date"], "o_orderpriority", F.col("o_totalprice"), {"1-URGENT": "gold_price", "2-HIGH": "silver_price", "5-LOW": "copper_price"})
-    return reshape.unpivot_values(wide, ["date"], {"gold_price": "gold", "silver_price": "silver", "copper_price": "copper"}, "commodity_id", "price")
+    wide = agg.conditional_pivot(days, ["date"], "o_orderpriority", F.col("o_totalprice"), {k: f"{v}_price" for k, v in _METALS.items()})
+    return reshape.unpivot_values(wide, ["date"], {f"{v}_price": v for v in _METALS.values()}, "commodity_id", "price")
 
 
 @query("x05_explode_map", "SELECT event_id, 'k' AS code, CAST(json_extract(props, '$.k') AS DOUBLE) AS rate FROM events")

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.functions.sums import exact_avg, exact_sum
+from millrace.operators.sketches import LG_K
 from millrace.operators.upsert import upsert_table
 
 
@@ -62,6 +63,11 @@ def active_users(df: DataFrame, ts: str, key: str, user: str, width: str = "1 ho
     return _spread(df, F.window(ts, width), [key], [F.approx_count_distinct(user, rsd).alias("users")])
 
 
+def user_sketches(df: DataFrame, ts: str, key: str, user: str, width: str = "1 hour") -> DataFrame:
+    """A mergeable sketch of the users per window and key: distinct users of longer spans follow from the stored ones."""
+    return _spread(df, F.window(ts, width), [key], [F.hll_sketch_agg(user, LG_K).alias("users_sketch")])
+
+
 def leaderboard(df: DataFrame, key: str, score: str, n: int = 10) -> DataFrame:
     """Top keys by total score, for output mode complete."""
     return df.groupBy(key).agg(exact_sum(score).alias("total_score")).orderBy(F.col("total_score").desc(), key).limit(n)
