@@ -88,3 +88,13 @@ def batch_zscores(column: str):
             yield pdf.assign(off_mean=pdf[column] - total / max(n, 1))
 
     return run
+
+
+def batch_extremes(key: str, value: str):
+    """Partition function: rows, least and greatest value per key and Arrow batch, to be combined by an aggregation."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.groupby(key, as_index=False, dropna=False).agg(rows=(key, "size"), least=(value, "min"), most=(value, "max"))
+
+    return run

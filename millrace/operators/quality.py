@@ -166,8 +166,14 @@ def no_outliers(column: str, multiplier: float = 3.0) -> Rule:
     return Rule("no_outliers", column, (column,), table=run)
 
 
+def orphan_values(df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """(value, rows): every value of ``column`` that the parent lacks, with its number of rows; NULL is one of them."""
+    lost = orphans(df.select(F.col(column).alias("value")), parent, "value", parent_key)
+    return lost.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def references(column: str, parent: DataFrame, parent_key: str) -> Rule:
-    """Rows whose key is missing in the parent; up to ten of the missing values are named."""
+    """Rows whose key is missing in the parent; up to ten of the missing values are named, all are in ``orphan_values``."""
 
     def run(df: DataFrame) -> DataFrame:
         lost = orphans(df.select(column), parent, column, parent_key).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))

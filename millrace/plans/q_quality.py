@@ -62,6 +62,11 @@ def _(t):
     return forward.unionByName(q.run_checks(t.documents, [q.references("doc_id", t.labels, "doc_id")]))
 
 
+@query("q06_orphan_values", "SELECT doc_id AS value, count(*) AS rows FROM documents ANTI JOIN labels USING (doc_id) GROUP BY 1")
+def _(t):
+    return q.orphan_values(t.documents.select("doc_id"), "doc_id", t.labels, "doc_id")
+
+
 @query("q07_freshness", """
 WITH a AS (SELECT count(*) AS n, (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(ts))) / 3600000000 AS newest,
   (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(min(ts))) / 3600000000 AS oldest FROM events)

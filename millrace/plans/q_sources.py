@@ -12,8 +12,8 @@ from millrace.operators.columns import attach_scalars
 from millrace.operators import graph, ml, quality, upsert, windows
 from millrace.plans.q_tables import CANDLES, minute_candles, sales_table
 from millrace.plans.registry import query
-from millrace.session import scratch_path, stage
-from millrace.sources import contracts, evolution, files, html, kafka, sinks
+from millrace.session import TABLES, scratch_path, stage
+from millrace.sources import contracts, evolution, files, generate, html, kafka, sinks
 from millrace.sources.versions import VersionedTable, incremental_model
 from millrace.streaming import core as st
 from millrace.streaming import lifecycle, sessions
@@ -45,11 +45,12 @@ def _(t):
 SELECT 'region' AS name, count(*) AS rows FROM region UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'customer', count(*) FROM customer
 UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events
 UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'embeddings', count(*) FROM embeddings UNION ALL SELECT 'conversations', count(*) FROM conversations
-UNION ALL SELECT 'benchmark', count(*) FROM benchmark
+UNION ALL SELECT 'benchmark', count(*) FROM benchmark UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'part', count(*) FROM part
+UNION ALL SELECT 'pages', count(*) FROM pages UNION ALL SELECT 'labels', count(*) FROM labels
 """)
 def _(t):
     out = None
-    for name in ("region", "nation", "customer", "orders", "lineitem", "events", "documents", "embeddings", "conversations", "benchmark"):
+    for name in TABLES:
         one = files.read_parquet(t.spark, t.path(name)).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
         out = one if out is None else out.unionByName(one)
     return out
@@ -118,6 +119,39 @@ def _(t):
     return contracts.enforce_contract(v1, TRADE_V2).withColumn("errors", F.array_join("errors", "; "))
 
 
+@query("f13_json_file_stream", "SELECT event_id, event_type, value FROM events")
+def _(t):
+    """The table as eight JSON files, two a batch."""
+    landed, path = scratch_path(t.spark, "landed"), scratch_path(t.spark, "rows")
+    t.events.select("event_id", "event_type", "value").repartition(8).write.json(landed)
+    live = generate.json_file_stream(t.spark, landed, "event_id bigint, event_type string, value double", max_files=2)
+    st.start_query(live, scratch_path(t.spark, "offsets"), "append", write=st.append_sink(path)).awaitTermination()
+    return t.spark.read.parquet(path).drop("batch_id")
+
+
+@query("f14_rate_stream", "SELECT event_id, event_type, CAST(event_id % 10 AS INTEGER) AS value_bucket FROM events")
+def _(t):
+    """A replayable rate source as the clock that plays the events back by their ids."""
+    path, last = scratch_path(t.spark, "rows"), t.events.agg(F.max("event_id")).first()[0] or 0
+    ticks = generate.rate_stream(t.spark, last + 1, start_ms=0)
+    live = ticks.join(t.events.select("event_id", "event_type"), F.col("value") == F.col("event_id")).select("event_id", "event_type", "value_bucket")
+    st.start_query(live, scratch_path(t.spark, "offsets"), "append", write=st.append_sink(path)).awaitTermination()
+    return t.spark.read.parquet(path).drop("batch_id")
+
+
+@query("f15_generate_sales", "SELECT count(*) AS sales, count(*) AS ids, 0::bigint AS broken, count(*) AS again FROM orders")
+def _(t):
+    """As many sales as there are orders: each within the promised ranges, and the same when generated again."""
+    n = t.orders.count()
+    sales = generate.generate_sales(t.spark, n, seed=7)
+    kept = (F.col("amount").between(10, 1000) & F.col("quantity").between(1, 9) & F.col("date").between("2024-01-01", "2024-12-31")
+            & F.col("category").isin(*generate.CATEGORIES) & F.col("region").isin(*generate.REGIONS)
+            & ((F.col("late_seconds") == 0) | F.col("late_seconds").between(120, 480)))
+    one = sales.agg(F.count(F.lit(1)).alias("sales"), F.countDistinct("transaction_id").alias("ids"), F.count_if(~kept).alias("broken"))
+    same = sales.join(generate.generate_sales(t.spark, n, seed=7), sales.columns).agg(F.count(F.lit(1)).alias("again"))
+    return attach_scalars(one, same)
+
+
 @query("f16_write_disposition", """
 SELECT 'TRUNCATE' AS mode, count(*) AS rows FROM nation UNION ALL SELECT 'APPEND', 2 * count(*) FROM nation UNION ALL SELECT 'EMPTY', count(*) FROM nation
 """)
@@ -423,10 +457,10 @@ def _(t):
 
 
 @query("u12_partial_sources", """
-SELECT n_nationkey, c.customers, NULL AS news FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS customers FROM customer WHERE c_nationkey < 10 GROUP BY 1) c ON c_nationkey = n_nationkey
+SELECT n_nationkey, c.customers, NULL AS news FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY 1) c ON c_nationkey = n_nationkey
 """)
 def _(t):
-    c = t.customer.where("c_nationkey < 10").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("customers"))
+    c = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("customers"))
     out = dims.join_sections(t.spark, t.nation.select("n_nationkey"), "n_nationkey", {"people": (c, "customers bigint"), "press": (None, "news bigint")})
     return out.select("n_nationkey", "people.customers", "press.news")
 
@@ -493,13 +527,79 @@ def as_sales(e):
 def drain(t, df, keys, mode="update", rules=None):
     """Run a streaming aggregation to the end of its input into a keyed table and read the table."""
     path = scratch_path(t.spark, "stream-table")
-    by = {"day": F.to_date("window_start")} if "window_start" in keys else {"bucket": F.lit(0)}
+    by = {"day": F.to_date("window_start")} if "window_start" in keys else {"bucket": st.bucket_of(keys)}
     write = st.upsert_sink(t.spark, path, [*keys, *by], by, rules)
     st.start_query(df, scratch_path(t.spark, "offsets"), mode, write=write).awaitTermination()
     back = t.spark.read.parquet(path).drop(*by)
     return back.withColumns({c: F.col(c).cast("timestamp_ntz") for c in back.columns if c.startswith("window_")})
 
 
+@query("s01_event_time", """
+WITH h AS (SELECT date_trunc('hour', ts) AS window_start, EXACT_SUM(value) AS total FROM events GROUP BY 1)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, total FROM h WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+""")
+def _(t):
+    """Hours come out once the watermark, ten minutes behind the newest event, has passed them."""
+    path = scratch_path(t.spark, "hours")
+    st.start_query(st.hourly_totals(event_stream(t), "event_time", "value"), scratch_path(t.spark, "offsets"), "append", write=st.append_sink(path)).awaitTermination()
+    return t.spark.read.parquet(path).select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("window_start", "window_end")], "total")
+
+
+@query("s12_output_modes", """
+SELECT shape, mode, started, CASE WHEN started THEN (SELECT count(*) FROM events) END AS input_rows FROM (VALUES
+  ('rows', 'append', true), ('rows', 'update', true), ('rows', 'complete', false), ('totals', 'append', false), ('totals', 'update', true),
+  ('totals', 'complete', false), ('hours', 'append', true), ('hours', 'update', true), ('board', 'complete', true), ('rows', 'replace', false)) v(shape, mode, started)
+""")
+def _(t):
+    """What a start allows for plain rows, totals without a watermark, windows with one, and a result of bounded size."""
+    shapes = {"rows": event_stream(t).select("event_id"), "totals": st.running_totals(t.stream("events"), "user_id", "value"),
+              "hours": st.hourly_totals(event_stream(t), "event_time", "value"), "board": st.leaderboard(t.stream("events"), "user_id", "value")}
+    tried = [("rows", "append"), ("rows", "update"), ("rows", "complete"), ("totals", "append"), ("totals", "update"), ("totals", "complete"),
+             ("hours", "append"), ("hours", "update"), ("board", "complete"), ("rows", "replace")]
+    out = []
+    for shape, mode in tried:
+        try:
+            q = st.start_query(shapes[shape], scratch_path(t.spark, "offsets"), mode, fmt="noop")
+        except ValueError:
+            out.append((shape, mode, False, None))
+            continue
+        q.awaitTermination()
+        out.append((shape, mode, True, sum(p["numInputRows"] for p in q.recentProgress)))
+    return t.spark.createDataFrame(out, "shape string, mode string, started boolean, input_rows long")
+
+
+@query("s17_rate_limit", "SELECT 6::bigint AS batches, count(*) AS input_rows FROM events")
+def _(t):
+    """Twelve files, two a batch."""
+    path = scratch_path(t.spark, "files")
+    t.events.select("event_id").repartition(12).write.parquet(path)
+    source = t.spark.readStream.schema("event_id bigint").option("maxFilesPerTrigger", 2).parquet(path)
+    with lifecycle.ProgressLog(t.spark, scratch_path(t.spark, "progress")) as log:
+        q = st.start_query(source, scratch_path(t.spark, "offsets"), "append", fmt="noop")
+        q.awaitTermination()
+        rows = log.wait(q).where("input_rows > 0")
+    return rows.agg(F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"))
+
+
+@query("f22_stream_sinks", "SELECT sink, count(*) AS rows FROM events, (VALUES ('parquet'), ('batches'), ('memory'), ('console')) v(sink) GROUP BY 1")
+def _(t):
+    """The same stream into four sinks; memory and console, which pass through the driver, get one row of counts."""
+    path, batches, name = scratch_path(t.spark, "rows"), scratch_path(t.spark, "batches"), f"rows_{uuid.uuid4().hex}"
+    live, counted = event_stream(t).select("event_id"), t.stream("events").groupBy().agg(F.count(F.lit(1)).alias("rows"))
+    st.start_query(live, scratch_path(t.spark, "offsets"), "append", fmt="parquet", path=path).awaitTermination()
+    st.start_query(live, scratch_path(t.spark, "offsets"), "append", write=st.append_sink(batches)).awaitTermination()
+    st.start_query(counted, scratch_path(t.spark, "offsets"), "update", fmt="memory", name=name).awaitTermination()
+    shown = st.start_query(counted, scratch_path(t.spark, "offsets"), "update", fmt="console")
+    shown.awaitTermination()
+    parts = [t.spark.read.schema("event_id bigint").parquet(p).agg(F.lit(n).alias("sink"), F.count(F.lit(1)).alias("rows")) for n, p in (("parquet", path), ("batches", batches))]
+    parts.append(t.spark.table(name).select(F.lit("memory").alias("sink"), "rows"))
+    parts.append(t.spark.createDataFrame([("console", sum(p["numInputRows"] for p in shown.recentProgress))], "sink string, rows long"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 SALES_SQL = """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, event_type AS category,
   EXACT_SUM(value) AS total_sales, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS total_quantity, count(*) AS transaction_count,
@@ -682,7 +782,7 @@ def _(t):
 def _(t):
     landed, offsets, path = (scratch_path(t.spark, n) for n in ("landed", "offsets", "table"))
     schema = "event_type string, value double"
-    write = st.upsert_sink(t.spark, path, ["event_type", "bucket"], {"bucket": F.lit(0)})
+    write = st.upsert_sink(t.spark, path, ["event_type", "bucket"], {"bucket": st.bucket_of(["event_type"])})
     for early in (True, False):
         half = t.events.where(F.col("ts") < "2024-01-15" if early else F.col("ts") >= "2024-01-15")
         half.select("event_type", "value").write.mode("append").json(landed)
@@ -780,23 +880,41 @@ def _(t):
     return quality.run_checks(t.events.select(*schema.fieldNames()), rules).select("check", "column", "failed_rows")
 
 
-@query("d05_partition_function")
+@query("d05_partition_function", "SELECT event_type, count(*) AS rows, min(value) AS least, max(value) AS most FROM events GROUP BY 1")
 def _(t):
-    e = t.events.select("event_id", "value")
-    return udfs.map_partitions(e, udfs.batch_zscores("value"), "event_id bigint, value double, off_mean double")
+    """Custom code per partition gives partial rows, which an aggregation combines: the same however the table is split."""
+    partial = udfs.map_partitions(t.events.select("event_type", "value"), udfs.batch_extremes("event_type", "value"),
+                                  "event_type string, rows long, least double, most double")
+    return partial.groupBy("event_type").agg(F.sum("rows").alias("rows"), F.min("least").alias("least"), F.max("most").alias("most"))
 
 
-@query("m01_fit_and_score")
-def _(t):
+def _document_features(t):
     def share(chars):
         return 1 - F.length(F.translate("text", chars, "")) / F.length("text")
 
-    docs = stage(t.documents.join(t.labels, "doc_id").select(
+    return stage(t.documents.join(t.labels, "doc_id").select(
         "doc_id", "quality", F.log1p("n_chars").alias("size"), share(" ").alias("space_share"), share("0123456789").alias("digit_share")), "features")
+
+
+@query("m01_fit_and_score")
+def _(t):
+    docs = _document_features(t)
     model = ml.fit_classifier(docs, ["size", "space_share", "digit_share"], "quality")
     return ml.score(model, docs).select("doc_id", "quality", "prediction")
 
 
+@query("m01_scores_checked", "SELECT doc_id, quality, true AS same FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL AND text <> ''")
+def _(t):
+    """Each prediction against the fitted weights, written out as an expression."""
+    docs, names = _document_features(t).where("size IS NOT NULL AND space_share IS NOT NULL"), ["size", "space_share", "digit_share"]
+    model = ml.fit_classifier(docs, names, "quality")
+    fitted = model.stages[-1]
+    margin = sum((F.col(n) * float(w) for n, w in zip(names, fitted.coefficients)), F.lit(float(fitted.intercept)))
+    wanted = (margin > 0).cast("int")
+    near = F.abs(margin) < 1e-9  # on the border rounding decides
+    return ml.score(model, docs).select("doc_id", "quality", ((F.col("prediction") == wanted) | near).alias("same"))
+
+
 def _edges(t):
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.select(F.concat(F.lit("c"), "o_custkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst"))
@@ -827,3 +945,15 @@ def _(t):
     path = scratch_path(t.spark, "scored")
     st.start_query(ml.score(model, live), scratch_path(t.spark, "offsets"), "append", write=st.append_sink(path)).awaitTermination()
     return t.spark.read.parquet(path).select("event_id", "prediction")
+
+
+@query("m03_stream_equals_batch", "SELECT event_id, true AS same FROM events")
+def _(t):
+    """Scores of the stream beside those of the whole table by the same model."""
+    train = t.events.select("event_id", "value", F.hour("ts").cast("double").alias("hour"), (F.col("event_type") == "purchase").cast("int").alias("bought"))
+    model = ml.fit_classifier(train, ["value", "hour"], "bought")
+    path = scratch_path(t.spark, "scored")
+    live = event_stream(t).select("event_id", "value", F.hour("event_time").cast("double").alias("hour"))
+    st.start_query(ml.score(model, live), scratch_path(t.spark, "offsets"), "append", write=st.append_sink(path)).awaitTermination()
+    batch = ml.score(model, train).select("event_id", F.col("prediction").alias("wanted"))
+    return t.spark.read.parquet(path).join(batch, "event_id").select("event_id", (F.col("prediction") == F.col("wanted")).alias("same"))

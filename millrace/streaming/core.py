@@ -6,6 +6,7 @@ with the same function on the whole table.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import datetime
@@ -146,11 +147,25 @@ def check_output_mode(mode: str, aggregated: bool, watermarked: bool, bounded_re
         raise ValueError("complete rewrites the whole result each batch: declare the result as bounded")
 
 
+def bucket_of(keys: Sequence[str], buckets: int = 16) -> Column:
+    """Which part of a keyed table a key lies in, for tables without a date: a batch rewrites only the parts it touches."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def result_shape(df: DataFrame) -> tuple[bool, bool, bool]:
+    """Whether the plan aggregates, has a watermark, and limits the number of its rows."""
+    plan = df._jdf.queryExecution().analyzed().toString()  # a tilde marks the operators that run on the stream
+    return tuple(re.search(rf"^[\s:+|-]*~{node} ", plan, re.M) is not None for node in ("Aggregate", "EventTimeWatermark", "GlobalLimit"))
+
+
 def start_query(df: DataFrame, checkpoint: str, mode: str = "append", write: Callable[[DataFrame, int], None] | None = None,
                 fmt: str | None = None, path: str | None = None, name: str | None = None, every: str | None = None,
-                options: Mapping[str, str] | None = None) -> StreamingQuery:
+                options: Mapping[str, str] | None = None, bounded_result: bool = False) -> StreamingQuery:
     """Start a query with its own checkpoint: ``write`` per batch, or a sink format
-    (console, memory, parquet, kafka). Without ``every`` it takes all available input and ends."""
+    (console, memory, parquet, kafka). An output mode that does not fit the plan is refused
+    (``bounded_result`` vouches for a small complete result). Without ``every`` it takes all available input and ends."""
+    aggregated, watermarked, bounded = result_shape(df)
+    check_output_mode(mode, aggregated, watermarked, bounded or bounded_result)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).options(**(options or {}))
     w = w.trigger(processingTime=every) if every else w.trigger(availableNow=True)
     if name:
