@@ -16,7 +16,7 @@ from millrace.session import TABLES, scratch_path, stage
 from millrace.sources import contracts, evolution, files, generate, html, kafka, sinks
 from millrace.sources.versions import VersionedTable, incremental_model
 from millrace.streaming import core as st
-from millrace.streaming import lifecycle, sessions
+from millrace.streaming import lifecycle, sessions, timers
 
 # --- sources and sinks -------------------------------------------------------------------
 
@@ -720,6 +720,34 @@ def _(t):
     return newest.select("key", "events", F.round("total", 2).alias("total"), F.col("last_seen").cast("timestamp_ntz").alias("last_seen"))
 
 
+ACTIVE = """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS events, round(sum(value), 2) AS total, max(ts) AS last_seen,
+count(DISTINCT CAST(ts AS DATE)) AS days FROM events GROUP BY 1"""
+
+
+def _timed_activity(t, source):
+    path = scratch_path(t.spark, "activity")
+    with timers.rocksdb_state(t.spark):
+        st.start_query(timers.activity_on_timers(source, "user_id", "ts", "value", "10 minutes"), scratch_path(t.spark, "offsets"), "update",
+                       write=st.append_sink(path)).awaitTermination()
+    rows = t.spark.read.parquet(path)
+    return rows.select("key", "events", F.round("total", 2).alias("total"), F.col("last_seen").cast("timestamp_ntz").alias("last_seen"), "days", "expired")
+
+
+@query("s10_state_on_timers", ACTIVE)
+def _(t):
+    rows = _timed_activity(t, t.stream("events")).where("NOT expired")
+    return windows.latest_per_key(rows, ["key"], ["last_seen", "events"]).drop("expired")
+
+
+@query("s10_timer_expiry", ACTIVE)
+def _(t):
+    """Every key expires, since one more event, two days after the last, moves the watermark past all timers."""
+    e = t.stream("events").select("user_id", "ts", "value")
+    end = t.events.agg(F.lit(-1).cast("bigint").alias("user_id"), (F.max("ts") + F.make_dt_interval(days=F.lit(2))).alias("ts"), F.lit(0.0).alias("value"))
+    late = t.spark.readStream.schema(end.schema).parquet(files.export(end, scratch_path(t.spark, "end"), "parquet"))
+    return _timed_activity(t, e.unionByName(late)).where("expired AND key <> '-1'").drop("expired")
+
+
 @query("s11_order_payment_stream", """
 SELECT event_id AS order_id, ts AS order_time, CASE WHEN event_type <> 'error' AND event_id % 30 <= 15 THEN ts + to_minutes(event_id % 30) END AS payment_time,
   CASE WHEN event_type <> 'error' AND event_id % 30 <= 15 THEN 'completed' ELSE 'failed' END AS status FROM events

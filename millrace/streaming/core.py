@@ -95,9 +95,16 @@ _PARTIAL = "key string, events long, total double, last_seen timestamp"
 
 
 def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per key and Arrow batch, so a hot key costs few rows in the shuffle."""
+    """One row per key, day and Arrow batch, so a hot key costs few rows in the shuffle."""
     for pdf in batches:
-        yield pdf.groupby("key", as_index=False, dropna=False).agg(events=("value", "size"), total=("value", "sum"), last_seen=("at", "max"))
+        by = ["key", pdf["at"].dt.floor("D").rename("day")]
+        yield pdf.groupby(by, dropna=False).agg(events=("value", "size"), total=("value", "sum"), last_seen=("at", "max")).reset_index("key")
+
+
+def combined_activity(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
+    """Partial counts and totals (key, events, total, last_seen) of a stream, combined per task."""
+    slim = df.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("at"), F.col(value).cast("double").alias("value"))
+    return slim.mapInPandas(_combine, _PARTIAL)
 
 
 def keyed_activity(df: DataFrame, key: str, ts: str, value: str, delay: str, ttl_minutes: int = 30) -> DataFrame:
@@ -126,8 +133,7 @@ def keyed_activity(df: DataFrame, key: str, ts: str, value: str, delay: str, ttl
         state.setTimeoutTimestamp(max(last // 1000 + ttl_minutes * 60_000, state.getCurrentWatermarkMs() + 1))
         yield row(group[0], events, total, last, False)
 
-    slim = df.select(F.col(key).cast("string").alias("key"), F.col(ts).cast("timestamp").alias("at"), F.col(value).cast("double").alias("value"))
-    partial = slim.mapInPandas(_combine, _PARTIAL).withWatermark("last_seen", delay)
+    partial = combined_activity(df, key, ts, value).withWatermark("last_seen", delay)
     return partial.groupBy("key").applyInPandasWithState(
         update, ACTIVITY, "events long, total double, last long", "update", GroupStateTimeout.EventTimeTimeout)
 
