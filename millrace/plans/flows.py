@@ -26,7 +26,11 @@ COMMODITIES = ("gold", "silver", "platinum", "nickel", "copper")
 MART_CURRENCIES = ("IDR", "EUR", "JPY", "CNY")
 MACRO_SERIES = {"CPIAUCSL": "Consumer Price Index", "DTWEXBGS": "US Dollar Index", "DGS10": "10-Year Treasury Yield"}
 MACRO_COLUMNS = {"CPIAUCSL": "cpi", "DTWEXBGS": "usd_index", "DGS10": "treasury_yield"}
-DIM_COMMODITY = tuple((c, c.title(), "precious" if c in ("gold", "silver", "platinum") else "industrial", "USD/g", "USD", "API") for c in COMMODITIES)
+DIM_COMMODITY = (
+    ("gold", "Gold", "precious", "USD/g", "USD", "API"), ("silver", "Silver", "precious", "USD/g", "USD", "API"),
+    ("platinum", "Platinum", "precious", "USD/g", "USD", "API"), ("nickel", "Nickel", "industrial", "USD/g", "USD", "API"),
+    ("copper", "Copper", "industrial", "USD/g", "USD", "API"),
+)
 DIM_CURRENCY = (
     ("USD", "US Dollar", "United States", True, "API"), ("IDR", "Indonesian Rupiah", "Indonesia", False, "API"),
     ("EUR", "Euro", "European Union", False, "API"), ("JPY", "Japanese Yen", "Japan", False, "API"),
@@ -220,6 +224,7 @@ def medallion(spark: SparkSession, bronze: DataFrame, lake: str, inserted_at: da
 
 # --- E06 and E07 metal prices ----------------------------------------------------------------
 
+# Fields of a quote and numbers of the metals.
 QUOTE_FIELDS = ("timestamp", "metal", "currency", "exchange", "symbol", "price_usd", "price_idr", "prev_close_price",
                 "open_price", "high_price", "low_price", "ch", "chp", "ingestion_times")
 METAL_IDS = {"gold": 1, "silver": 2, "platinum": 3, "palladium": 4, "copper": 5, "aluminum": 6, "lead": 7, "nickel": 8, "zinc": 9}
