@@ -1,26 +1,35 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs.
 
 A paragraph is a stretch of text that ends with a line or a full stop before a space; its digest is the XXH64 of its
-characters. A sketch has three rows of cells; each digest is entered in one cell of each row: it changes the cell's
-count, the XOR of its digests and the XOR of their check values. Sketches of one size subtract cell by cell: what two
-versions share cancels. Where a cell of the difference holds one digest (count 1 or -1, check value right), the digest is
-taken out of its three cells, which lays open others (peeling). If all cells end empty, all differing digests have been
-recovered; if not, it is tried again with sketches of twice the size and other hashes.
+characters. A sketch has three rows of cells. A digest enters one cell of each row: the cell keeps how many entered, the
+XOR of their digests and the XOR of their check values. Every version gets sketches of its own, and those of two versions
+subtract cell by cell: what both hold cancels. Where a cell of the difference holds one digest (count 1 or -1, check
+value right), the digest is taken out of its three cells, which lays open others (peeling). If all cells end empty, all
+differing digests have been recovered; if not, larger sketches follow, until they have.
 
-To stay linear for texts of any size, a large sketch is a set of small ones: digests are dealt by hash to groups of
-about ``GROUP``, and within a group to tables of about ``SHARE``. The fingerprint that is returned as text is the smallest sketch,
-``BASE`` cells a row, over all digests. Likeness is the share of common digests among all (1 for two texts without any).
+1. The fingerprint is the sketch of ``BASE`` cells a row. Fingerprints are subtracted and peeled first; near copies end here.
+2. Else the counts of that difference tell about how many digests differ: a differing digest adds one to the expected
+   sum of squares of each row. Sketches of that size follow. A large sketch is a set of tables of ``CELLS`` cells a row, to which
+   digests are dealt by hash, about ``SHARE`` differing ones each; a table that isn't recovered is made again as two.
+3. Pairs beyond ``TABLES`` tables and those that failed twice are dealt by hash into groups, each a row of its own, and
+   tried with twice the tables and other hashes, round by round, until every group is recovered.
 
-Only DataFrame expressions are used. A document's next one (ascending id) comes from a window within ranges of ids;
-the first row of each range closes the gap to the range before.
+``differences`` returns the recovered digests of each pair. Likeness is the share of common digests among all (1 for two
+texts without any).
+
+Only SQL expressions and DataFrame operations are used; the nested expressions are written as SQL text, which is parsed at once. A document's next one (ascending id) comes from a window within ranges of
+(id, hash of the text); the first row of each range is also put at the end of the range before.
 
 Null texts count as empty; empty texts have no paragraph and an all-zero fingerprint. Rows are ordered by id, then a
-hash of the text, so rows of equal id follow on each other; null ids come first. One row alone is its own next one.
+hash of the text, so rows of equal id follow on each other; null ids come first. One row alone is its own next one, an
+empty table gives an empty result. Ids and texts that many rows share are cut into ranges by the hash; only rows equal in
+both lie in one range. Texts may be of any length: they are split whole, and the cells follow the number of
+differing paragraphs. Columns of the input that aren't named in ``keep`` are left aside, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,20 +38,24 @@ from millrace.llm.tables import input_bytes
 from millrace.session import stage
 
 BASE = 4
-GROUP = 20
-SHARE = 5
-CELLS = 8  # cells in a row of a small table
+CELLS = 8  # cells in a row of a table
+SHARE = 8  # digests that differ, a table
+TABLES = 32  # tables of a pair that stays in its row
+GROUP = 4  # tables of a group in a row of its own
+FAN = 32  # groups made of one in a step
 ROUNDS = 8
 RANGE_BYTES = 8 << 20
-MAX_RANGES = 10_000  # the first row of each is broadcast
+MAX_RANGES = 10_000
+HOT_ROWS = 1000
 PARAGRAPH_END = r"\n|(?<=\.) "
 CHECK = -1  # seed of the check value
+NONE = "named_struct('n', 0, 'k', 0L, 'c', 0L)"  # an empty cell
 NULL = -(1 << 63)
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, however often it is used."""
-    return F.transform(F.array(value), use)[0]
+def let(value: str, name: str, use: str) -> str:
+    """``use`` of a value that is computed once, however often its name occurs in it."""
+    return f"transform(array({value}), {name} -> {use})[0]"
 
 
 def digests(text: Column) -> Column:
@@ -51,131 +64,161 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
-def _bits(h: Column, shift: int, mask: int) -> Column:
-    return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(mask).cast("long"))
+def _places(width: int) -> str:
+    """One bit for each cell of the three rows."""
+    return f"array({', '.join(f'{1 << i}L' for i in range(3 * width))})"
 
 
-def _xor(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+def _mask(h: str, width: int) -> str:
+    """The bits of the three cells that a hash names; ``width`` is a power of two."""
+    bits = width.bit_length() - 1
+    return " | ".join(f"shiftleft(1L, CAST(shiftrightunsigned({h}, {r * bits}) & {width - 1}L AS INT) + {r * width})" for r in range(3))
 
 
-def _table(entries: Column, width: int) -> Column:
-    """Cells (n, k, c) of three rows of ``width`` (a power of two) from entries (n, k, c, h)."""
-    bits = width.bit_length() - 1
+def entries(keys: str, width: int, seed: int, tables: str = "1L") -> str:
+    """What enters the cells: n = 1, digest k, check value c, mask m of its cells, and its table t."""
+    hashed = f"transform({keys}, k -> named_struct('k', k, 'h', xxhash64(k, {seed})))"
+    table = f"shiftrightunsigned(e.h, 16) % {tables}"
+    return f"transform({hashed}, e -> named_struct('n', 1, 'k', e.k, 'c', xxhash64(e.k, {CHECK}), 'm', {_mask('e.h', width)}, 't', {table}))"
+
+
+def _add(cell: str, found: str, place: str, sign: str) -> str:
+    """The cell with all entries of ``found`` that lie at ``place`` put in (+) or taken out (-)."""
+    return (f"aggregate({found}, {cell}, (a, e) -> IF((e.m & {place}) = 0L, a, "
+            f"named_struct('n', a.n {sign} e.n, 'k', a.k ^ e.k, 'c', a.c ^ e.c)))")
 
-    def cells(row: int) -> Column:
-        return F.transform(places, lambda place: cell(row, place))
 
-    def cell(row: int, place: Column) -> Column:
-        own = F.filter(entries, lambda e: _bits(e["h"], row * bits, width - 1) == place)
-        return let(own, lambda o: F.struct(
-            F.aggregate(o, F.lit(0), lambda a, e: a + e["n"]).alias("n"), _xor(F.transform(o, lambda e: e["k"])).alias("k"),
-            _xor(F.transform(o, lambda e: e["c"])).alias("c")))
+def sketch(found: str, width: int) -> str:
+    """Cells (n, k, c) of three rows of ``width``."""
+    return f"transform({_places(width)}, place -> {_add(NONE, found, 'place', '+')})"
 
-    places = F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))
-    return F.concat(*[cells(row) for row in range(3)])
 
+def subtract(ours: str, theirs: str) -> str:
+    """The difference of two sketches of one size, cell by cell."""
+    return f"zip_with({ours}, {theirs}, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, 'c', x.c ^ y.c))"
 
-def _entries(keys: Column, sign: int, seed: int) -> Column:
-    return F.transform(keys, lambda k: F.struct(
-        F.lit(sign).alias("n"), k.alias("k"), F.xxhash64(k, F.lit(CHECK)).alias("c"), F.xxhash64(k, F.lit(seed)).alias("h")))
 
+def _open(cells: str) -> str:
+    return f"exists({cells}, x -> x.n != 0 OR x.k != 0L OR x.c != 0L)"
 
-def fingerprint(keys: Column) -> Column:
-    """The smallest sketch as text: count, digests and check values of each cell in hex."""
-    def spell(x: Column) -> Column:
-        return F.concat(F.lpad(F.hex(x["n"]), 4, "0"), F.lpad(F.hex(x["k"]), 16, "0"), F.lpad(F.hex(x["c"]), 16, "0"))
 
-    return F.lower(F.array_join(F.transform(let(_entries(keys, 1, 0), lambda e: _table(e, BASE)), spell), ""))
+def peel(cells: str, width: int, seed: int) -> str:
+    """(added, removed, left): digests recovered with count 1 and -1, and whether cells stay that hold some."""
+    single = f"array_distinct(filter(s.cells, x -> abs(x.n) = 1 AND xxhash64(x.k, {CHECK}) = x.c))"
+    pure = f"transform({single}, p -> named_struct('n', p.n, 'k', p.k, 'c', p.c, 'm', {_mask(f'xxhash64(p.k, {seed})', width)}))"
+    without = f"zip_with(s.cells, {_places(width)}, (x, place) -> {_add('x', 'found', 'place', '-')})"
+    added, removed = (f"concat(s.{c}, transform(filter(found, p -> p.n = {n}), p -> p.k))" for c, n in (("added", 1), ("removed", -1)))
+    more = f"IF(size(found) = 0, s, named_struct('cells', {without}, 'added', {added}, 'removed', {removed}))"
+    none = "CAST(array() AS ARRAY<BIGINT>)"
+    start = f"named_struct('cells', {cells}, 'added', {none}, 'removed', {none})"
+    steps = f"aggregate(sequence(1, {ROUNDS}), {start}, (s, i) -> IF({_open('s.cells')}, {let(pure, 'found', more)}, s))"
+    return let(steps, "s", f"named_struct('added', s.added, 'removed', s.removed, 'left', {_open('s.cells')})")
+
+
+def expected(cells: str, ours: str, theirs: str) -> str:
+    """About how many digests differ, from the difference of two fingerprints and the numbers of digests of both versions.
+
+    Each row's sum of squared counts is expected to be d + (net^2 - d) / BASE for d differing digests, net of them
+    more in one version than in the other.
+    """
+    net = f"CAST({ours} - {theirs} AS DOUBLE)"
+    squares = f"aggregate({cells}, 0D, (a, x) -> a + CAST(x.n AS DOUBLE) * x.n) / 3"
+    return f"least(greatest(({squares} - {net} * {net} / {BASE}) / {1 - 1 / BASE}D, abs({net}), 1D), CAST({ours} + {theirs} AS DOUBLE))"
+
 
+def fingerprint(cells: str) -> str:
+    """A sketch as text: count, digests and check values of each cell in hex."""
+    return f"lower(array_join(transform({cells}, x -> concat(lpad(hex(x.n), 8, '0'), lpad(hex(x.k), 16, '0'), lpad(hex(x.c), 16, '0'))), ''))"
 
-def _peeled(cells: Column, seed: int) -> Column:
-    """(added, removed, left): digests recovered with count 1 and -1, and cells that are not empty in the end."""
-    bits = CELLS.bit_length() - 1
 
-    def take_out(x: Column, i: Column, pure: Column) -> Column:
-        row, place = F.floor(i / CELLS).cast("int"), (i % CELLS).cast("long")
-        own = F.filter(pure, lambda p: F.element_at(p["at"], row + 1) == place)
-        return let(own, lambda o: F.when(F.size(o) == 0, x).otherwise(F.struct(
-            (x["n"] - F.aggregate(o, F.lit(0), lambda a, p: a + p["n"])).alias("n"), x["k"].bitwiseXOR(_xor(F.transform(o, lambda p: p["k"]))).alias("k"),
-            x["c"].bitwiseXOR(_xor(F.transform(o, lambda p: F.xxhash64(p["k"], F.lit(CHECK))))).alias("c"))))
+def _join(parts: str) -> str:
+    """The results of several tables as one."""
+    added, removed = (f"flatten(transform({parts}, p -> p.{c}))" for c in ("added", "removed"))
+    return f"named_struct('added', {added}, 'removed', {removed}, 'left', exists({parts}, p -> p.left))"
 
-    def round_(state: Column, _: Column) -> Column:
-        single = F.filter(state["cells"], lambda x: (F.abs(x["n"]) == 1) & (F.xxhash64(x["k"], F.lit(CHECK)) == x["c"]))
-        pure = F.transform(F.array_distinct(F.transform(single, lambda x: F.struct(x["n"].alias("n"), x["k"].alias("k")))), lambda p: let(
-            F.xxhash64(p["k"], F.lit(seed)), lambda h: F.struct(p["n"].alias("n"), p["k"].alias("k"), F.array(*[_bits(h, r * bits, CELLS - 1) for r in range(3)]).alias("at"))))
-        return let(pure, lambda found: F.when(F.size(found) == 0, state).otherwise(F.struct(
-            F.transform(state["cells"], lambda x, i: take_out(x, i, found)).alias("cells"),
-            (state["added"] + F.size(F.filter(found, lambda p: p["n"] == 1))).alias("added"),
-            (state["removed"] + F.size(F.filter(found, lambda p: p["n"] == -1))).alias("removed"))))
 
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("added"), F.lit(0).alias("removed"))
-    return let(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_), lambda s: F.struct(
-        s["added"].alias("added"), s["removed"].alias("removed"),
-        F.size(F.filter(s["cells"], lambda x: (x["n"] != 0) | (x["k"] != 0) | (x["c"] != 0))).alias("left")))
+def _recover(ours: str, theirs: str, seed: int) -> str:
+    """A table's difference from the entries of both versions: sketched, subtracted, peeled."""
+    return let(subtract(sketch(ours, CELLS), sketch(theirs, CELLS)), "cells", peel("cells", CELLS, seed))
 
 
-def _difference(ours: Column, theirs: Column, tables: Column, seed: int) -> Column:
-    """(added, removed, left) summed over the small tables of a group: ours minus theirs."""
-    bits = 3 * (CELLS.bit_length() - 1)
+def _of_table(both: str, table: str) -> str:
+    return f"named_struct('o', filter({both}.o, e -> e.t = {table}), 't', filter({both}.t, e -> e.t = {table}))"
 
-    def of_table(entries: Column, t: Column) -> Column:
-        own = F.filter(entries, lambda e: F.shiftrightunsigned(e["h"], bits) % tables == t)
-        return let(let(own, lambda o: _table(o, CELLS)), lambda cells: _peeled(cells, seed))
 
-    each = let(F.concat(_entries(ours, 1, seed), _entries(theirs, -1, seed)),
-               lambda entries: F.transform(F.sequence(F.lit(0).cast("long"), tables - 1), lambda t: of_table(entries, t)))
-    zero = F.struct(*[F.lit(0).alias(c) for c in ("added", "removed", "left")])
-    return F.aggregate(each, zero, lambda a, x: F.struct(*[(a[c] + x[c]).alias(c) for c in ("added", "removed", "left")]))
+def _halves(both: str, seed: int) -> str:
+    """The same with twice the cells: the digests are dealt by one more bit, under other hashes."""
+    again = [entries(f"transform({both}.{c}, e -> e.k)", CELLS, seed, "2L") for c in ("o", "t")]
+    parts = f"transform(array(0L, 1L), half -> {let(_of_table('split', 'half'), 'own', _recover('own.o', 'own.t', seed))})"
+    return let(f"named_struct('o', {again[0]}, 't', {again[1]})", "split", let(parts, "parts", _join("parts")))
 
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (pair: any id, ours, theirs: arrays of different digests) to (pair, added, removed), by peeling."""
-    groups = F.greatest(F.lit(1), F.ceil(F.greatest(F.size("ours"), F.size("theirs")) / GROUP)).cast("long")
+def difference(ours: str, theirs: str, tables: str, seed: int) -> str:
+    """(added, removed, left) of two versions' digests by sketches of ``tables`` tables; a table that fails is made again as two."""
+    made = let(_recover("mine.o", "mine.t", seed), "d", f"IF(NOT d.left, d, {_halves('mine', seed + 1)})")
+    each = f"transform(sequence(0L, {tables} - 1L), t -> {let(_of_table('both', 't'), 'mine', made)})"
+    both = f"named_struct('o', {entries(ours, CELLS, seed, tables)}, 't', {entries(theirs, CELLS, seed, tables)})"
+    return let(let(both, "both", each), "each", _join("each"))
 
-    def dealt(keys: str, n: Column, g: Column) -> Column:
-        return F.filter(F.col(keys), lambda k: F.pmod(k, n) == g)
 
-    split = F.when(groups == 1, F.array(F.struct("ours", "theirs"))).otherwise(let(groups, lambda n: F.transform(
-        F.sequence(F.lit(0).cast("long"), n - 1), lambda g: F.struct(dealt("ours", n, g).alias("ours"), dealt("theirs", n, g).alias("theirs")))))
-    waiting = pairs.select("pair", F.explode(split).alias("g")).select("pair", "g.*").withColumn(
-        "tables", F.greatest(F.lit(1), F.ceil(F.greatest(F.size("ours"), F.size("theirs")) / SHARE)).cast("long"))
-    done, seed = None, 1
+def differences(pairs: DataFrame, group: int = GROUP) -> DataFrame:
+    """``pairs`` (pair: any id, ours, theirs: arrays of different digests, tables) to (pair, added, removed): arrays of the digests that
+    only ours and only theirs hold, by sketches of ``tables`` tables at first and of twice as many after each failure."""
+    waiting = pairs.selectExpr("pair", "ours", "theirs", "CAST(tables AS BIGINT) AS tables")
+    for level in range(4):  # FAN ** 4 groups of a pair, more than a text has paragraphs; 1 group is passed through
+        dealt = [f"filter({c}, k -> pmod(xxhash64(k, {100 + level}), _n) = i) AS {c}" for c in ("ours", "theirs")]
+        split = f"IF(_n = 1L, array(struct(ours, theirs)), transform(sequence(0L, _n - 1L), i -> struct({', '.join(dealt)})))"
+        waiting = waiting.withColumn("_n", F.expr(f"least({FAN}L, CAST(ceil(tables / {group}) AS BIGINT))"))
+        waiting = waiting.selectExpr("pair", "CAST(ceil(tables / _n) AS BIGINT) AS tables", f"explode({split}) AS g").selectExpr("pair", "g.ours", "g.theirs", "tables")
+    done, seed = None, 11
     while True:
         # the result is used twice, so it is written once; groups that failed go on with their digests
-        tried = waiting.withColumn("d", _difference(F.col("ours"), F.col("theirs"), F.col("tables"), seed))
-        failed = F.col("d.left") > 0
+        tried = waiting.withColumn("d", F.expr(difference("ours", "theirs", "tables", seed)))
+        failed = F.col("d.left")
         tried = stage(tried.select("pair", "d", "tables", *[F.when(failed, F.col(c)).alias(c) for c in ("ours", "theirs")]), "peeled")
         good = tried.where(~failed).select("pair", "d.added", "d.removed")
         done = good if done is None else done.unionByName(good)
         if not tried.where(failed).limit(1).count():
-            return done.groupBy("pair").agg(F.sum("added").alias("added"), F.sum("removed").alias("removed"))
-        seed += 1
+            return done.groupBy("pair").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("added", "removed")])
+        seed += 2
         waiting = tried.where(failed).select("pair", "ours", "theirs", (F.col("tables") * 2).alias("tables"))
 
 
-def with_next(docs: DataFrame, doc_id: str, carry: Sequence[str]) -> DataFrame:
-    """``docs`` plus _next: a struct of the columns ``carry`` of the next row by id (after the last: the first)."""
-    order_id = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL))
-    ranges = min(max(64, input_bytes(docs) // RANGE_BYTES), MAX_RANGES)
-    cuts = docs.select(order_id.alias("_o")).where(F.col("_o") != NULL).approxQuantile("_o", [i / ranges for i in range(1, ranges)], 0.2 / ranges)
-    cuts = sorted({int(c) for c in cuts})
-    place = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= F.col("_o"))) if cuts else F.lit(0)
-    rows = docs.withColumn("_o", order_id).withColumn("_range", place)
-    heads = sorted((r["_range"], r["_o"]) for r in rows.groupBy("_range").agg(F.min("_o").alias("_o")).collect())  # one row per range
-    first_of = Window.partitionBy("_o").orderBy("_t")
-    first = (
-        rows.where(F.col("_o").isin([o for _, o in heads])).withColumn("_t", F.xxhash64(*carry)).withColumn("_n", F.row_number().over(first_of))
-        .where("_n = 1").select(F.col("_o").alias("_ho"), F.struct(*carry).alias("_head"))
-    )
-    follows = docs.sparkSession.createDataFrame(
-        [(r, heads[(i + 1) % len(heads)][1]) for i, (r, _) in enumerate(heads)], "_after int, _ho long")
-    first = first.join(F.broadcast(follows), "_ho").drop("_ho")
-    by = Window.partitionBy("_range").orderBy("_o", "_t")
-    rows = rows.withColumn("_t", F.xxhash64(*carry)).withColumn("_next", F.lead(F.struct(*carry)).over(by))
-    gap = F.when(F.col("_next").isNull(), F.col("_range"))  # only the last row of a range looks for its next elsewhere
-    return rows.join(F.broadcast(first), gap == F.col("_after"), "left").withColumn(
-        "_next", F.coalesce("_next", "_head")).drop("_head", "_after", "_o", "_t", "_range")
+def _long(n: int) -> Column:
+    return F.lit(n).cast("long")
+
+
+def with_next(docs: DataFrame, doc_id: str, text: str = "text", more: dict[str, Column] | None = None,
+              ranges: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``docs`` with the columns ``more`` and _next: a struct of the text and ``more`` of the next row by id (after the last: the first).
+
+    Ids with more rows than a range should have, and more than ``hot_rows``, are cut further by the hash of the text.
+    """
+    order_id = F.coalesce(F.col(doc_id).cast("long"), _long(NULL))
+    ranges = ranges or min(max(64, input_bytes(docs) // RANGE_BYTES), MAX_RANGES)
+    ids = docs.select(order_id.alias("_o"))
+    cuts = ids.where(F.col("_o") != NULL).approxQuantile("_o", [i / ranges for i in range(1, ranges)] or [0.5], 0.2 / ranges)
+    total = ids.count()
+    counts = ids.groupBy("_o").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(hot_rows, total // ranges))
+    hot = {r["_o"]: -(-r["n"] * ranges // total) for r in counts.collect()}  # at most one a range
+    cuts = sorted({int(c) for c in cuts} | set(hot) | {o + 1 for o in hot})  # a hot id has a place alone
+    place = F.size(F.filter(F.array(*[_long(c) for c in cuts]), lambda c: c <= F.col("_o"))) if cuts else F.lit(0)
+    parts = F.array(*[_long(hot.get(c, 1)) for c in (None, *cuts)])
+    share = F.shiftright("_t", 32) + _long(1 << 31)  # the hash's upper half, in its order
+    rows = docs.withColumn("_o", order_id).withColumn("_t", F.xxhash64(F.col(text))).withColumn("_place", place)
+    rows = rows.withColumn("_part", F.shiftright(share * parts[F.col("_place")], 32)).withColumn("_copy", F.lit(False))
+    least = rows.groupBy("_place", "_part").agg(F.min(F.struct("_o", "_t")).alias("_least")).collect()  # one row a range
+    heads = sorted((r["_place"], r["_part"], r["_least"]["_o"], r["_least"]["_t"]) for r in least)
+    before = [(*heads[i], *heads[i - 1][:2]) for i in range(len(heads))]
+    before = docs.sparkSession.createDataFrame(before, "_place int, _part long, _o long, _t long, _to int, _to_part long")
+    one = Window.partitionBy("_place", "_part").orderBy("_t")
+    # one row of each range, and only the columns that go on
+    first = rows.join(F.broadcast(before), ["_place", "_part", "_o", "_t"]).withColumn("_n", F.row_number().over(one)).where("_n = 1")
+    first = first.select(F.col("_to").alias("_place"), F.col("_to_part").alias("_part"), "_o", "_t", F.lit(True).alias("_copy"), text)
+    rows = rows.unionByName(first, allowMissingColumns=True).withColumns(more or {})
+    by = Window.partitionBy("_place", "_part").orderBy("_copy", "_o", "_t")
+    rows = rows.withColumn("_next", F.lead(F.struct(text, *(more or {}))).over(by))
+    return rows.where(~F.col("_copy")).drop("_o", "_t", "_place", "_part", "_copy")
 
 
 def likeness(ours: Column, theirs: Column, added: Column) -> Column:
@@ -184,28 +227,61 @@ def likeness(ours: Column, theirs: Column, added: Column) -> Column:
     return F.when(ours + theirs == 0, 1.0).otherwise(common / (ours + theirs - common))
 
 
+def _first_tries(ours: str, theirs: str, cells: str) -> str:
+    """(added, removed, left, tables) of two versions: by their fingerprints' difference ``cells``, then by sketches of the size that it tells."""
+    def ended(d: str, tables: str) -> str:
+        return f"named_struct('added', {d}.added, 'removed', {d}.removed, 'left', {d}.left, 'tables', {tables})"
+
+    tables = f"greatest(1L, CAST(ceil({expected('base', f'size({ours})', f'size({theirs})')} * 1.25D / {SHARE}) AS BIGINT))"
+    larger = let(tables, "n", f"IF(n > {TABLES}L, {ended('first', 'n')}, {let(difference(ours, theirs, 'n', 1), 'second', ended('second', 'n * 4L'))})")
+    return let(cells, "base", let(peel("base", BASE, 0), "first", f"IF(NOT first.left, {ended('first', '0L')}, {larger})"))
+
+
 def compare(docs: DataFrame, keep: Sequence[str] = ("doc_id",), doc_id: str = "doc_id") -> DataFrame:
-    """Columns ``keep``, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of all rows.
+    """Columns ``keep``, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of all rows, and the
+    digests (hex, comma-joined, ascending) of the paragraphs that the edit removed and added.
 
     The edited text has its last floor(n_chars / 2) characters replaced by the first as many of the next document.
     """
-    frame = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
-    frame = with_next(frame.withColumn("keys", digests(F.col("text"))), "_id", ("text", "keys"))
+    kept = [f"_k{i}" for i in range(len(keep))]
+    frame = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"),
+                        *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept)])
+    frame = with_next(frame, "_id", "text", {"keys": digests(F.col("text"))})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("_next.text"), half))
-    kept = [f"_k{i}" for i in range(len(keep))]
-    rows = frame.select(
+    frame = frame.select(
         *kept, F.monotonically_increasing_id().alias("_row"), n.cast("long").alias("n_chars"), F.col("keys").alias("a"), F.col("_next.keys").alias("x"),
-        let(edited, lambda e: F.struct(F.sha2(e, 256).alias("sha"), digests(e).alias("keys"))).alias("e"),
-    )
-    rows = stage(rows.select(*kept, "_row", "n_chars", "a", "x", F.col("e.keys").alias("e"), F.col("e.sha").alias("edited_sha256")), "versions")
-    pairs = [rows.select((F.col("_row") * 2 + i).alias("pair"), F.col("a").alias("ours"), F.col(c).alias("theirs")) for i, c in enumerate(("e", "x"))]
+        F.transform(F.array(edited), lambda e: F.struct(F.sha2(e, 256).alias("sha"), digests(e).alias("keys")))[0].alias("_e"),
+    ).select("*", F.col("_e.keys").alias("e"), F.col("_e.sha").alias("edited_sha256")).drop("_e")
+    cells = ", ".join(f"'{c}', {let(entries(c, BASE, 0), 'all', sketch('all', BASE))}" for c in ("a", "e", "x"))
+    tries = [_first_tries("a", c, subtract("c.a", f"c.{c}")) for c in ("e", "x")]
+    tried = F.expr(let(f"named_struct({cells})", "c", (
+        f"named_struct('fingerprint', {fingerprint('c.a')}, 'edited_fingerprint', {fingerprint('c.e')}, 'e', {tries[0]}, 'x', {tries[1]})")))
+    left = F.col("_d.e.left") | F.col("_d.x.left")
+    rows = frame.withColumn("_d", tried).select(
+        *kept, "_row", "n_chars", "edited_sha256", "_d.fingerprint", "_d.edited_fingerprint",
+        *[F.size(c).alias(f"_n{c}") for c in ("a", "e", "x")], *[F.col(f"_d.{c}.{f}").alias(f"_{c}_{f}") for c in ("e", "x") for f in ("left", "tables")],
+        F.col("_d.e.added").alias("_e_added"), F.col("_d.e.removed").alias("_e_removed"), F.size("_d.x.added").alias("_x_added"),
+        *[F.when(left, F.col(c)).alias(c) for c in ("a", "e", "x")])
+    rows = stage(rows, "versions")
+
+    left = F.col("_e_left") | F.col("_x_left")
+    pairs = [rows.where(F.col(f"_{c}_left")).select((F.col("_row") * 2 + i).alias("pair"), F.col("a").alias("ours"), F.col(c).alias("theirs"),
+             F.col(f"_{c}_tables").alias("tables")) for i, c in enumerate(("e", "x"))]
     found = differences(pairs[0].unionByName(pairs[1]))
-    found = found.groupBy(F.shiftright("pair", 1).alias("_pair")).agg(*[
-        F.max(F.when(F.col("pair") % 2 == i, F.col("added"))).alias(c) for i, c in enumerate(("_edited", "_next"))])
-    out = rows.select(*kept, "_row", "n_chars", "edited_sha256", fingerprint(F.col("a")).alias("fingerprint"), fingerprint(F.col("e")).alias("edited_fingerprint"),
-                      *[F.size(c).alias(f"_{c}") for c in ("a", "e", "x")])
-    return out.join(found, F.col("_row") == F.col("_pair")).select(
-        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("_a"), F.col("_e"), F.col("_edited")).alias("near_edited"), likeness(F.col("_a"), F.col("_x"), F.col("_next")).alias("near_next"))
+    later = found.groupBy(F.shiftright("pair", 1).alias("_pair")).agg(*[
+        F.max(F.when(F.col("pair") % 2 == i, F.col(c))).alias(name)
+        for i, c, name in ((0, "added", "_ea"), (0, "removed", "_er"), (1, "added", "_xa"))])
+    mended = rows.where(left).join(later, F.col("_row") == F.col("_pair")).withColumns({
+        "_e_added": F.when(F.col("_e_left"), F.col("_ea")).otherwise(F.col("_e_added")),
+        "_e_removed": F.when(F.col("_e_left"), F.col("_er")).otherwise(F.col("_e_removed")),
+        "_x_added": F.when(F.col("_x_left"), F.size("_xa")).otherwise(F.col("_x_added"))}).select(*rows.columns)
+
+    def spell(keys: Column) -> Column:
+        return F.array_join(F.array_sort(F.transform(keys, lambda k: F.lower(F.lpad(F.hex(k), 16, "0")))), ",")
+
+    return rows.where(~left).unionByName(mended).select(
+        *[F.col(k).alias(c) for c, k in zip(keep, kept)], "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        likeness(F.col("_na"), F.col("_ne"), F.size("_e_added")).alias("near_edited"), likeness(F.col("_na"), F.col("_nx"), F.col("_x_added")).alias("near_next"),
+        spell(F.col("_e_added")).alias("removed_paragraphs"), spell(F.col("_e_removed")).alias("added_paragraphs"))

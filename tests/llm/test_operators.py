@@ -96,29 +96,78 @@ def test_language_model_counts_and_normalises(docs, empty):
     assert ngram_lm.score(empty, model).count() == 0
 
 
-def test_fingerprints(spark, docs, empty):
-    frame = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    rows = plain(frame)
-    got = {r["doc_id"]: r for r in iblt.compare(frame).collect()}
+def in_order(frame):
+    """(id, text) by id (null first), then by a hash of the text."""
+    rows = frame.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text")).collect()
+    return [(r["doc_id"], r["text"]) for r in sorted(rows, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["h"]))]
+
+
+def paragraphs(t):
+    return {p for p in re.split(r"\n|(?<=\.) ", t) if p}
+
+
+def spelled(keys):
+    return ",".join(sorted(f"{xxhash.xxh64(k.encode(), seed=42).intdigest():016x}" for k in keys))
 
-    def parts(t):
-        return {p for p in re.split(r"\n|(?<=\.) ", t) if p}
 
+def test_fingerprints(spark, docs, empty):
     def like(a, b):
-        return len(a & b) / len(a | b) if a | b else 1.0
+        return round(len(a & b) / len(a | b) if a | b else 1.0, 12)
 
+    rows, want = in_order(docs), []
     for i, (d, t) in enumerate(rows):
         after, k = rows[(i + 1) % len(rows)][1], len(t) // 2
         edited = t[:len(t) - k] + after[:k]
-        r = got[d]
-        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        assert math.isclose(r["near_edited"], like(parts(t), parts(edited))) and math.isclose(r["near_next"], like(parts(t), parts(after)))
-        assert (r["fingerprint"] == r["edited_fingerprint"]) >= (t == edited)
-    assert iblt.compare(docs).count() == docs.count() and iblt.compare(empty).count() == 0
-    alone = iblt.compare(frame.where("doc_id = 0")).first()
+        a, e, x = map(paragraphs, (t, edited, after))
+        want.append((str(d), len(t), hashlib.sha256(edited.encode()).hexdigest(), like(a, e), like(a, x), spelled(a - e), spelled(e - a)))
+    got = iblt.compare(docs.withColumn("_place", F.lit(1)).withColumn("_t", F.lit("x"))).collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"], r["edited_sha256"], round(r["near_edited"], 12), round(r["near_next"], 12),
+                   r["removed_paragraphs"], r["added_paragraphs"]) for r in got) == sorted(want)
+    text = {d: t for d, t in rows}
+    prints = {(text[r["doc_id"]], r["fingerprint"]) for r in got if r["doc_id"] is not None}
+    assert len(prints) == len({t for t, _ in prints})  # equal texts have equal fingerprints
+    for r in got:
+        assert (r["fingerprint"] == r["edited_fingerprint"]) == (not r["removed_paragraphs"] and not r["added_paragraphs"])
+    assert iblt.compare(empty).count() == 0
+    alone = iblt.compare(docs.where("doc_id = 0").limit(1)).first()
     assert alone["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("ranges,hot_rows", [(1, 1000), (4, 2), (30, 1)])
+def test_next_rows_of_hot_ids(spark, ranges, hot_rows):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 7, 7, 7, rng.randint(1, 40)]), f"text {rng.randint(0, 60)}") for _ in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    own = in_order(frame)
+    got = iblt.with_next(frame, "doc_id", ranges=ranges, hot_rows=hot_rows).select("doc_id", "text", "_next.text").collect()
+    want = [(*row, own[(i + 1) % len(own)][1]) for i, row in enumerate(own)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_recovered_digests(spark):
+    rng = random.Random(11)
+    pairs = []
+    for i, (common, ours, theirs, tables) in enumerate([(0, 0, 0, 1), (5, 0, 1, 1), (900, 3, 2, 1), (300, 0, 0, 1), (0, 400, 500, 2), (20, 3000, 10, 600), (0, 60, 0, 1)]):
+        keys = [rng.getrandbits(64) - (1 << 63) for _ in range(common + ours + theirs)]
+        pairs.append((i, keys[:common + ours], keys[:common] + keys[common + ours:], tables))
+    frame = spark.createDataFrame(pairs, "pair long, ours array<long>, theirs array<long>, tables long")
+    got = {r["pair"]: (sorted(r["added"]), sorted(r["removed"])) for r in iblt.differences(frame).collect()}
+    assert got == {i: (sorted({*a} - {*b}), sorted({*b} - {*a})) for i, a, b, _ in pairs}
+
+
+def test_fingerprints_tell_how_many_differ(spark):
+    rng = random.Random(12)
+    ratios = []
+    for n in (10, 100, 1000):
+        for _ in range(10):
+            keys = [rng.getrandbits(64) - (1 << 63) for _ in range(3 * n)]
+            ratios.append((n, keys[:2 * n], keys[n:]))
+    cells = iblt.subtract(*[iblt.sketch(iblt.entries(c, iblt.BASE, 0), iblt.BASE) for c in ("a", "b")])
+    frame = spark.createDataFrame(ratios, "n long, a array<long>, b array<long>").selectExpr(f"{iblt.expected(cells, 'size(a)', 'size(b)')} / (2 * n) AS r")
+    found = [r["r"] for r in frame.collect()]
+    assert 0.75 < sum(found) / len(found) < 1.25
+
+
 def brute_dedup(rows, length):
     seen, out = set(), []
     for d, t in rows:
