@@ -162,35 +162,41 @@ def difference(ours: str, theirs: str, tables: str, seed: int) -> str:
 
 
 def differences(pairs: DataFrame, group: int = GROUP) -> DataFrame:
-    """``pairs`` (pair: any id, ours, theirs: arrays of different digests, tables) to (pair, added, removed): arrays of the digests that
-    only ours and only theirs hold, by sketches of ``tables`` tables at first and of twice as many after each failure."""
-    waiting = pairs.selectExpr("pair", "ours", "theirs", "CAST(tables AS BIGINT) AS tables")
+    """``pairs`` (pair: any id, ours, theirs: arrays of different digests, tables, whole) to (pair, added, removed, n_added): arrays of the
+    digests that only ours and only theirs hold, by sketches of ``tables`` tables at first and of twice as many after each failure.
+    Pairs whose ``whole`` is false get the number alone."""
+    waiting = pairs.selectExpr("pair", "whole", "ours", "theirs", "CAST(tables AS BIGINT) AS tables")
     for level in range(4):  # FAN ** 4 groups of a pair, more than a text has paragraphs; 1 group is passed through
         dealt = [f"filter({c}, k -> pmod(xxhash64(k, {100 + level}), _n) = i) AS {c}" for c in ("ours", "theirs")]
         split = f"IF(_n = 1L, array(struct(ours, theirs)), transform(sequence(0L, _n - 1L), i -> struct({', '.join(dealt)})))"
         waiting = waiting.withColumn("_n", F.expr(f"least({FAN}L, CAST(ceil(tables / {group}) AS BIGINT))"))
-        waiting = waiting.selectExpr("pair", "CAST(ceil(tables / _n) AS BIGINT) AS tables", f"explode({split}) AS g").selectExpr("pair", "g.ours", "g.theirs", "tables")
+        waiting = waiting.selectExpr("pair", "whole", "CAST(ceil(tables / _n) AS BIGINT) AS tables", f"explode({split}) AS g")
+        waiting = waiting.selectExpr("pair", "whole", "g.ours", "g.theirs", "tables")
     done, seed = None, 11
     while True:
         # the result is used twice, so it is written once; groups that failed go on with their digests
         tried = waiting.withColumn("d", F.expr(difference("ours", "theirs", "tables", seed)))
         failed = F.col("d.left")
-        tried = stage(tried.select("pair", "d", "tables", *[F.when(failed, F.col(c)).alias(c) for c in ("ours", "theirs")]), "peeled")
-        good = tried.where(~failed).select("pair", "d.added", "d.removed")
+        tried = stage(tried.select(
+            "pair", "whole", "tables", F.col("d.left").alias("left"), F.size("d.added").alias("n_added"),
+            *[F.when(F.col("whole") & ~failed, F.col(f"d.{c}")).alias(c) for c in ("added", "removed")],
+            *[F.when(failed, F.col(c)).alias(c) for c in ("ours", "theirs")]), "peeled")
+        failed = F.col("left")
+        good = tried.where(~failed).select("pair", "n_added", "added", "removed")
         done = good if done is None else done.unionByName(good)
         if not tried.where(failed).limit(1).count():
-            return done.groupBy("pair").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("added", "removed")])
+            return done.groupBy("pair").agg(
+                F.sum("n_added").cast("int").alias("n_added"), *[F.flatten(F.collect_list(c)).alias(c) for c in ("added", "removed")])
         seed += 2
-        waiting = tried.where(failed).select("pair", "ours", "theirs", (F.col("tables") * 2).alias("tables"))
+        waiting = tried.where(failed).select("pair", "whole", "ours", "theirs", (F.col("tables") * 2).alias("tables"))
 
 
 def _long(n: int) -> Column:
     return F.lit(n).cast("long")
 
 
-def with_next(docs: DataFrame, doc_id: str, text: str = "text", more: dict[str, Column] | None = None,
-              ranges: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``docs`` with the columns ``more`` and _next: a struct of the text and ``more`` of the next row by id (after the last: the first).
+def with_next(docs: DataFrame, doc_id: str, text: str = "text", ranges: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``docs`` with _next: a struct of the text of the next row by id (after the last: the first).
 
     Ids with more rows than a range should have, and more than ``hot_rows``, are cut further by the hash of the text.
     """
@@ -215,9 +221,9 @@ def with_next(docs: DataFrame, doc_id: str, text: str = "text", more: dict[str,
     # one row of each range, and only the columns that go on
     first = rows.join(F.broadcast(before), ["_place", "_part", "_o", "_t"]).withColumn("_n", F.row_number().over(one)).where("_n = 1")
     first = first.select(F.col("_to").alias("_place"), F.col("_to_part").alias("_part"), "_o", "_t", F.lit(True).alias("_copy"), text)
-    rows = rows.unionByName(first, allowMissingColumns=True).withColumns(more or {})
+    rows = rows.unionByName(first, allowMissingColumns=True).repartition(max(1, len(heads)), "_place", "_part")  # tasks follow the input
     by = Window.partitionBy("_place", "_part").orderBy("_copy", "_o", "_t")
-    rows = rows.withColumn("_next", F.lead(F.struct(text, *(more or {}))).over(by))
+    rows = rows.withColumn("_next", F.lead(F.struct(text)).over(by))
     return rows.where(~F.col("_copy")).drop("_o", "_t", "_place", "_part", "_copy")
 
 
@@ -246,12 +252,12 @@ def compare(docs: DataFrame, keep: Sequence[str] = ("doc_id",), doc_id: str = "d
     kept = [f"_k{i}" for i in range(len(keep))]
     frame = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"),
                         *[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept)])
-    frame = with_next(frame, "_id", "text", {"keys": digests(F.col("text"))})
+    frame = with_next(frame, "_id", "text")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("_next.text"), half))
     frame = frame.select(
-        *kept, F.monotonically_increasing_id().alias("_row"), n.cast("long").alias("n_chars"), F.col("keys").alias("a"), F.col("_next.keys").alias("x"),
+        *kept, F.monotonically_increasing_id().alias("_row"), n.cast("long").alias("n_chars"), digests(F.col("text")).alias("a"), digests(F.col("_next.text")).alias("x"),
         F.transform(F.array(edited), lambda e: F.struct(F.sha2(e, 256).alias("sha"), digests(e).alias("keys")))[0].alias("_e"),
     ).select("*", F.col("_e.keys").alias("e"), F.col("_e.sha").alias("edited_sha256")).drop("_e")
     cells = ", ".join(f"'{c}', {let(entries(c, BASE, 0), 'all', sketch('all', BASE))}" for c in ("a", "e", "x"))
@@ -260,7 +266,8 @@ def compare(docs: DataFrame, keep: Sequence[str] = ("doc_id",), doc_id: str = "d
         f"named_struct('fingerprint', {fingerprint('c.a')}, 'edited_fingerprint', {fingerprint('c.e')}, 'e', {tries[0]}, 'x', {tries[1]})")))
     left = F.col("_d.e.left") | F.col("_d.x.left")
     rows = frame.withColumn("_d", tried).select(
-        *kept, "_row", "n_chars", "edited_sha256", "_d.fingerprint", "_d.edited_fingerprint",
+        *kept, "_row", "n_chars", F.unhex("edited_sha256").alias("edited_sha256"),
+        *[F.unhex(f"_d.{c}").alias(c) for c in ("fingerprint", "edited_fingerprint")],  # half the bytes of the text
         *[F.size(c).alias(f"_n{c}") for c in ("a", "e", "x")], *[F.col(f"_d.{c}.{f}").alias(f"_{c}_{f}") for c in ("e", "x") for f in ("left", "tables")],
         F.col("_d.e.added").alias("_e_added"), F.col("_d.e.removed").alias("_e_removed"), F.size("_d.x.added").alias("_x_added"),
         *[F.when(left, F.col(c)).alias(c) for c in ("a", "e", "x")])
@@ -268,20 +275,20 @@ def compare(docs: DataFrame, keep: Sequence[str] = ("doc_id",), doc_id: str = "d
 
     left = F.col("_e_left") | F.col("_x_left")
     pairs = [rows.where(F.col(f"_{c}_left")).select((F.col("_row") * 2 + i).alias("pair"), F.col("a").alias("ours"), F.col(c).alias("theirs"),
-             F.col(f"_{c}_tables").alias("tables")) for i, c in enumerate(("e", "x"))]
+             F.col(f"_{c}_tables").alias("tables"), F.lit(c == "e").alias("whole")) for i, c in enumerate(("e", "x"))]
     found = differences(pairs[0].unionByName(pairs[1]))
     later = found.groupBy(F.shiftright("pair", 1).alias("_pair")).agg(*[
         F.max(F.when(F.col("pair") % 2 == i, F.col(c))).alias(name)
-        for i, c, name in ((0, "added", "_ea"), (0, "removed", "_er"), (1, "added", "_xa"))])
+        for i, c, name in ((0, "added", "_ea"), (0, "removed", "_er"), (1, "n_added", "_xa"))])
     mended = rows.where(left).join(later, F.col("_row") == F.col("_pair")).withColumns({
         "_e_added": F.when(F.col("_e_left"), F.col("_ea")).otherwise(F.col("_e_added")),
         "_e_removed": F.when(F.col("_e_left"), F.col("_er")).otherwise(F.col("_e_removed")),
-        "_x_added": F.when(F.col("_x_left"), F.size("_xa")).otherwise(F.col("_x_added"))}).select(*rows.columns)
+        "_x_added": F.when(F.col("_x_left"), F.col("_xa")).otherwise(F.col("_x_added"))}).select(*rows.columns)
 
     def spell(keys: Column) -> Column:
         return F.array_join(F.array_sort(F.transform(keys, lambda k: F.lower(F.lpad(F.hex(k), 16, "0")))), ",")
 
     return rows.where(~left).unionByName(mended).select(
-        *[F.col(k).alias(c) for c, k in zip(keep, kept)], "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        *[F.col(k).alias(c) for c, k in zip(keep, kept)], "n_chars", *[F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")],
         likeness(F.col("_na"), F.col("_ne"), F.size("_e_added")).alias("near_edited"), likeness(F.col("_na"), F.col("_nx"), F.col("_x_added")).alias("near_next"),
         spell(F.col("_e_added")).alias("removed_paragraphs"), spell(F.col("_e_removed")).alias("added_paragraphs"))

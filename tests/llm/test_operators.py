@@ -150,9 +150,11 @@ def test_recovered_digests(spark):
     for i, (common, ours, theirs, tables) in enumerate([(0, 0, 0, 1), (5, 0, 1, 1), (900, 3, 2, 1), (300, 0, 0, 1), (0, 400, 500, 2), (20, 3000, 10, 600), (0, 60, 0, 1)]):
         keys = [rng.getrandbits(64) - (1 << 63) for _ in range(common + ours + theirs)]
         pairs.append((i, keys[:common + ours], keys[:common] + keys[common + ours:], tables))
-    frame = spark.createDataFrame(pairs, "pair long, ours array<long>, theirs array<long>, tables long")
+    frame = spark.createDataFrame(pairs, "pair long, ours array<long>, theirs array<long>, tables long").withColumn("whole", F.lit(True))
     got = {r["pair"]: (sorted(r["added"]), sorted(r["removed"])) for r in iblt.differences(frame).collect()}
     assert got == {i: (sorted({*a} - {*b}), sorted({*b} - {*a})) for i, a, b, _ in pairs}
+    counted = {r["pair"]: (r["n_added"], r["added"]) for r in iblt.differences(frame.withColumn("whole", F.lit(False))).collect()}
+    assert counted == {i: (len({*a} - {*b}), []) for i, a, b, _ in pairs}
 
 
 def test_fingerprints_tell_how_many_differ(spark):
