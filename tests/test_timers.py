@@ -1,3 +1,4 @@
+import pandas as pd
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
@@ -32,3 +33,47 @@ def test_provider_is_set_back(spark):
     with timers.rocksdb_state(spark):
         assert spark.conf.get(timers.PROVIDER) == timers.ROCKS_DB
     assert spark.conf.get(timers.PROVIDER, None) == before
+
+
+class _State:
+    """A state handle that counts the calls to it."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = 0, None, []
+
+    def getValueState(self, *_):
+        return self
+
+    getListState = getValueState
+
+    def __getattr__(self, name):
+        raise AssertionError(name)
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_a_key_costs_few_calls_to_the_state_whatever_its_days():
+    state, own = _State(), timers.Activity(1000)
+    own.init(state)
+    for n in (40, 70):
+        at = pd.date_range("2024-01-01", periods=n, freq="D")
+        state.calls = 0
+        (out,) = own.handleInputRows(("a",), iter([pd.DataFrame({"events": 1, "total": 1.0, "last_seen": at})]), state)
+        assert out["days"].tolist() == [n] and state.calls <= 4 and len(state.timers) == 1
