@@ -211,6 +211,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return dedup_rows(df, keys, [F.col(c).desc() for c in order])
 
 
+#: Marks of a group that one task adds up: each is wide (a decimal and its sum), and sorted and held by the window.
+MARK_ROWS = 1_000_000
+
+
 def moving_average(df: DataFrame, keys: Sequence[str], ts: str, value: Column, seconds: int, name: str,
                    max_group_rows: int | None = None) -> DataFrame:
     """Average of ``value`` over rows of the group with time in [t - seconds, t].
@@ -227,7 +231,7 @@ def moving_average(df: DataFrame, keys: Sequence[str], ts: str, value: Column, s
     mark = F.struct(F.col("_t").alias("_at"), F.lit(0).alias("_side"), F.coalesce("_v", zero).alias("_v"), F.col("_n"))
     probe = F.struct((F.col("_t") - seconds * 1_000_000 - 1).alias("_at"), F.lit(1).alias("_side"), zero.alias("_v"), F.lit(0).cast("bigint").alias("_n"))
     marks = points.select(*keys, "_t", F.inline(F.array(mark, probe)))
-    sums = running_totals(marks, keys, ["_at", "_side", "_t"], {"_sv": F.col("_v"), "_sn": F.col("_n")}, max_group_rows)
+    sums = running_totals(marks, keys, ["_at", "_side", "_t"], {"_sv": F.col("_v"), "_sn": F.col("_n")}, max_group_rows or MARK_ROWS)
 
     def difference(c):
         return F.max(F.when(F.col("_side") == 0, F.col(c))) - F.max(F.when(F.col("_side") == 1, F.col(c)))

@@ -183,3 +183,15 @@ def test_price_alert_levels(spark):
     prices = spark.createDataFrame([("BTC", 1, 50000.0), ("BTC", 2, 57500.0), ("BTC", 3, 58000.0), ("BTC", 4, 29000.0), ("ETH", 1, 10.0)], "s string, n int, p double")
     out = windows.price_alerts(prices, "s", ["n"], "p")
     assert rows(out, "s", "n", "severity", "message") == [("BTC", 2, "MEDIUM", "Price changed 15.00%"), ("BTC", 4, "HIGH", "Price changed -50.00%")]
+
+
+def test_moving_average_splits_groups_of_many_marks(spark, monkeypatch):
+    from millrace.operators import runs
+
+    made, split = [], runs.split_runs
+    monkeypatch.setattr(runs, "split_runs", lambda *a: made.append(split(*a)) or made[-1])
+    df = spark.range(400).selectExpr("id", "'a' AS k", "timestamp_seconds(id * 60) AS ts", "CAST(id % 7 AS DECIMAL(18,2)) AS v")
+    plain = windows.moving_average(df, ["k"], "ts", F.col("v"), 3600, "m").select("id", "m").collect()
+    monkeypatch.setattr(windows, "MARK_ROWS", 100)
+    assert sorted(windows.moving_average(df, ["k"], "ts", F.col("v"), 3600, "m").select("id", "m").collect()) == sorted(plain)
+    assert made[0] is None and made[1] is not None
