@@ -37,6 +37,17 @@ PAIRS_UP_TO = 12  # runs of so many are compared pair by pair
 AGAIN_FROM = 20_000  # runs from so many are indexed again
 
 
+def majority(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Fingerprint of each run of hashes: the bits that over half of its hashes have; 0 for an empty run."""
+    out = np.zeros(len(sizes), U64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        sums = np.add.reduceat(bits, (np.cumsum(sizes) - sizes)[some], axis=0, dtype=np.int32)
+        out[some] = np.packbits(2 * sums > sizes[some][:, None], axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
 def fingerprints_of(s, width: int = WIDTH) -> np.ndarray:
     """Fingerprint of each text of a lower-cased slab."""
     import xxhash
@@ -57,13 +68,7 @@ def fingerprints_of(s, width: int = WIDTH) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     begin, end = place[s.start[first]].tolist(), (place[s.end[last] - 1] + 1).tolist()
     h = np.array([digest(data[a:b], SEED) for a, b in zip(begin, end)], "<u8")
-    out = np.zeros(texts, U64)
-    some = np.flatnonzero(shingles)
-    if len(some):
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sums = np.add.reduceat(bits, at[:-1][some], axis=0, dtype=np.int32)
-        out[some] = np.packbits(2 * sums > shingles[some][:, None], axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    return majority(h, shingles)
 
 
 def fingerprints(docs: DataFrame, keep: Sequence[str] = ("doc_id",), width: int = WIDTH) -> DataFrame:

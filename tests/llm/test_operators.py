@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import public_tokenizers
 import xxhash
@@ -412,6 +413,61 @@ def test_near_duplicates_by_five_word_shingles(spark, block):
     assert parts[0] == parts[1] and len(parts[1]) < len(out)
 
 
+def near_copies(rng):
+    out = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randint(60, 300))]
+        for changed in (0, 1, 1, 2, 6, 9):
+            w = list(base)
+            for _ in range(changed):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+            out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("segments", [3, 4])
+def test_simhash_links_what_is_near_in_bits_and_similar_in_shingles(spark, monkeypatch, segments):
+    monkeypatch.setattr(shingles, "SEGMENTS", ((None, segments),))
+    docs = spark.createDataFrame(list(enumerate(near_copies(random.Random(4)))), "doc_id long, text string").repartition(3)
+    sets = shingles.sets_with_entries(docs)
+    nodes = {r["node"]: (r["fp"] % 2**64, set(np.frombuffer(r["shingles"], np.uint64).tolist())) for r in sets.collect()}
+    for fp, own in nodes.values():
+        assert fp == sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in own) > len(own))
+
+    def alike(x, y):
+        return 5 * len(x & y) >= 4 * len(x | y)
+
+    name = {n: n for n in nodes}
+    found = [(r["a"], r["b"]) for r in shingles.by_fingerprint(sets).collect()]
+    for a, b in found:
+        assert alike(nodes[a][1], nodes[b][1])
+        old, new = name[a], name[b]
+        name = {n: new if m == old else m for n, m in name.items()}
+    near = [(a, b) for a in nodes for b in nodes if a < b and (nodes[a][0] ^ nodes[b][0]).bit_count() <= shingles.DISTANCE and alike(nodes[a][1], nodes[b][1])]
+    assert len(near) > 20 and all(name[a] == name[b] for a, b in near)
+
+
+def test_a_block_without_links_names_its_sets_exactly():
+    rng = np.random.default_rng(1)
+    nodes = rng.integers(-2**63, 2**63, 5)
+    rows = pd.DataFrame({"root": nodes[0], "node": nodes, "class": nodes, "shingles": [rng.bytes(400) for _ in nodes], "blocks": 2})
+    far = shingles._compare(rows)
+    assert far["a"].tolist() == far["b"].tolist() == nodes[1:].tolist()
+
+
+def test_pipeline_drops_near_duplicates_by_simhash_first(spark, monkeypatch):
+    """Of what SimHash connects no set is compared again, and what it misses is still found."""
+    texts = near_copies(random.Random(4))
+    rows = [(i, t, "en", "s1", len(t)) for i, t in enumerate(texts)]
+    asked, dealt, links, in_blocks = [], [], simhash.links, shingles._in_blocks
+    monkeypatch.setattr(simhash, "links", lambda fps, *a: asked.append((fps.count(), a)) or links(fps, *a))
+    monkeypatch.setattr(shingles, "_in_blocks", lambda rows, far: dealt.append((far, rows.count())) or in_blocks(rows, far))
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA.split(", score")[0]).repartition(4), SF)
+    assert {r["doc_id"] for r in kept.collect()} == set(jaccard_roots(texts))
+    assert [a for _, a in asked] == [(shingles.DISTANCE, 4)] and asked[0][0] > 40
+    assert [far for far, _ in dealt] == [False, True] and dealt[1][1] < asked[0][0]
+
+
 def test_pipeline_drops_near_copies_of_five_word_similarity(spark):
     rows = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS).collect()]
     kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA.split(", score")[0]).repartition(4), SF)
