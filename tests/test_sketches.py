@@ -64,3 +64,16 @@ def test_ten_thousand_keywords_need_no_pattern_each(spark):
     assert "RLike" not in text and "CartesianProduct" not in text and "NestedLoop" not in text and len(text) < 60_000
     # "w<even> tail" in its own document only; an odd word in its own and the one before
     assert found.where("documents > 0").groupBy("documents").count().orderBy("documents").collect() == [(1, 150), (2, 150)]
+
+
+def test_phrases_of_two_words_are_counted_without_a_search(spark):
+    """Every document holds every word, so that a search by the rarest word would try all phrases in all of them."""
+    names = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(names[i:] + names[:i])) for i in range(40)], "id long, text string")
+    words = spark.createDataFrame([(f"{a}, {b}",) for a in names for b in names] + [(f"{names[0]} w1 w2 w3",), ("w39 w0 w2",)], "word string")
+    found = mentions.keyword_mentions(docs, "id", "text", words.where("word LIKE '%,%'"), "word")
+    assert "contains" not in plan(found).lower() and "collect_list" not in plan(found)
+    next_to = {(a, b) for a, b in zip(names, names[1:] + names[:1])}
+    assert {tuple(r[0].split(", ")): r[1] for r in found.collect()} == {(a, b): 39 * ((a, b) in next_to) for a in names for b in names}
+    both = {r[0]: r[1] for r in mentions.keyword_mentions(docs, "id", "text", words, "word").where("documents > 0").collect()}
+    assert both["w0 w1 w2 w3"] == 37 and both["w0, w1"] == 39 and "w39 w0 w2" not in both and len(both) == 41
