@@ -109,8 +109,9 @@ def pack(docs: DataFrame, tokenizer: str, keep: Sequence[str] = (), end: int = 1
                 held.append((ids, at, own))
                 size += len(ids)
                 if size >= block_ids:
-                    yield _packed(held, kept, counts, sizes, step)
-                    held, size = [], 0
+                    block, held, size = held, [], 0
+                    yield _packed(block, kept, counts, sizes, step)
+                    del block
         if held:
             yield _packed(held, kept, counts, sizes, step)
 
@@ -119,8 +120,20 @@ def pack(docs: DataFrame, tokenizer: str, keep: Sequence[str] = (), end: int = 1
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("row_start").alias("start"), *list(OUT)[1:])
 
 
+def _cut(held: list, at: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The pieces of the held ids that start at ``at``, in one buffer, so that a block is copied once."""
+    out, ends = np.empty(n.sum(), "<u4"), np.cumsum(n)
+    first = np.cumsum([0, *(len(x) for x, _, _ in held)])
+    of = np.searchsorted(first, at, "right") - 1  # a text lies within one part
+    for part, a, k, end in zip(of.tolist(), (at - first[of]).tolist(), n.tolist(), ends.tolist()):
+        out[end - k:end] = held[part][0][a:a + k]
+    if out.nbytes >= 2**31:
+        raise ValueError("a text of over 2 GB of ids does not fit an Arrow column")
+    offsets = np.concatenate([[0], 4 * ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+
 def _packed(held: list, kept: list, counts: dict, sizes: Sequence[int], step: int) -> pa.RecordBatch:
-    ids = np.concatenate([x for x, _, _ in held])
     lengths = np.concatenate([np.diff(at) for _, at, _ in held])
     begin = np.cumsum(lengths) - lengths
     windows = plan(lengths.tolist(), sizes)
@@ -132,12 +145,9 @@ def _packed(held: list, kept: list, counts: dict, sizes: Sequence[int], step: in
             rows.append((text, start, n, offset, i, window, groups[i]))
             offset += n
     text, start, n, offset, window, size, group = np.array(rows, np.int64).reshape(-1, 7).T
-    at = begin[text] + start
-    data = ids.astype("<u4").tobytes()
-    blobs = [data[4 * a:4 * (a + k)] for a, k in zip(at.tolist(), n.tolist())]
     own = [pa.concat_arrays([x[i] for _, _, x in held]).take(pa.array(text)) for i in range(len(kept))]
     columns = [pa.array(start), pa.array(n), pa.array(lengths[text]), pa.array(counts["windows"] + window), pa.array(offset),
-               pa.array(size.astype(np.int32)), pa.array(counts["groups"] + group), pa.array(blobs, pa.binary())]
+               pa.array(size.astype(np.int32)), pa.array(counts["groups"] + group), _cut(held, begin[text] + start, n)]
     counts["windows"] += len(windows)
     counts["groups"] += max(groups, default=-1) + 1
     return pa.RecordBatch.from_arrays([*own, *columns], names=[*(f.name for f in kept), *OUT])

@@ -34,7 +34,8 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[int, int] = {}
+        # hashes of the words in order, and their places: a dict of as many words takes ten times the memory
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
@@ -52,13 +53,13 @@ class Encoder:
         return ids, np.diff(ends, prepend=-1)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> np.ndarray:
-        """Keep the ids of new words; the places of the words."""
+        """Keep the ids of new words, ``keys`` in order; the places of the words."""
         letters = np.array([w.isalpha() for w in words])
         order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
         n = int(letters.sum())
         parts = [f([words[i] for i in x.tolist()]) for f, x in ((self._joined, order[:n]), (self._encoded, order[n:]))]
         ids, sizes = (np.concatenate(x) for x in zip(*parts))
-        first = len(self.place)
+        first = len(self.keys)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while first + len(keys) > len(self.at):
@@ -67,17 +68,23 @@ class Encoder:
         self.size[first:first + len(keys)] = sizes
         self.at[first:first + len(keys)] = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
-        self.place.update(zip(keys[order].tolist(), range(first, first + len(keys))))
-        place = np.empty(len(keys), np.int64)
+        place = np.empty(len(keys), np.int32)
         place[order] = first + np.arange(len(keys))
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.place = np.insert(self.keys, at, keys), np.insert(self.place, at, place)
         return place
 
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        """The places of the words, -1 of those not met."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return np.where(self.keys[at] == keys, self.place[at], -1) if len(self.keys) else np.full(len(keys), -1, np.int32)
+
     def encode(self, s: Slab) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, index of each text's first id)."""
         keys, first, back = np.unique(word_hash(s), return_index=True, return_inverse=True)
-        if len(self.place) + len(keys) > self.kept:
+        if len(self.keys) + len(keys) > self.kept:
             self._clear()
-        place = np.array([self.place.get(k, -1) for k in keys.tolist()], np.int64)
+        place = self._places(keys)
         new = np.flatnonzero(place < 0)
         if len(new):
             data, at = s.data.tobytes(), first[new]
@@ -99,7 +106,7 @@ def encoder(path: str) -> Encoder:
 def encoded(column: pa.Array, path: str, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, bounds of each text's ids), with the id ``end`` after each text."""
     coder = encoder(path)
-    for lo, hi, s in slabs(column, limit=2 << 20, parts=True):
+    for lo, hi, s in slabs(column, parts=True):
         if coder.lower and b"<|" not in s.data.tobytes():  # special tokens keep their case
             s = s._replace(data=LOWER[s.data])
         ids, at = coder.encode(s)

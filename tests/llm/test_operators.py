@@ -4,10 +4,13 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import xxhash
@@ -16,7 +19,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from millrace.llm import (divergence, huffman_ids, iblt, language_id, mixing, ngram_lm, packing, quality_classifier, queries,
-                          shingles, simhash, suffix_dedup)
+                          shingles, simhash, suffix_dedup, tokens)
 from millrace.session import stage
 from tests.conftest import SF
 
@@ -339,6 +342,32 @@ def test_packing(docs, empty):
     assert packing.pack(empty, BPE).count() == 0
 
 
+def test_a_packing_worker_holds_little():
+    """Of 200,000 different words, and of a block beside its ids."""
+    dealt = np.random.default_rng(1).integers(97, 123, (200_000, 9)).astype(np.uint8)
+    dealt[:, 8] = 32
+    texts = pa.array([dealt[i:i + 1000].tobytes().decode() for i in range(0, len(dealt), 1000)])
+    coder = tokens.encoder(BPE)
+    coder._clear()
+    tracemalloc.start()
+    try:
+        held = [(ids, at, [pa.array(range(lo, hi))]) for lo, hi, ids, at in tokens.encoded(texts, BPE, 1)]
+        ids = np.concatenate([x for x, _, _ in held])
+        assert tracemalloc.get_traced_memory()[1] < 70e6
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        block = packing._packed(held, [SimpleNamespace(name="row")], {"windows": 0, "groups": 0}, packing.SIZES, packing.STEP)
+        assert tracemalloc.get_traced_memory()[1] - before < 2 * ids.nbytes
+    finally:
+        tracemalloc.stop()
+    first = np.cumsum([0, *np.concatenate([np.diff(at) for _, at, _ in held])])
+    assert len(held) > 1 and len(coder.keys) == len(np.unique(dealt[:, :8], axis=0)) and ids[:first[1]].tolist() == ids_of(texts[0].as_py(), 1)
+    for r in block.to_pylist():
+        at = first[r["row"]] + r["row_start"]
+        assert r["ids"] == ids[at:at + r["length"]].astype("<u4").tobytes()
+    assert sum(block["length"].to_pylist()) == len(ids)
+
+
 def test_packing_pads_little():
     rng = random.Random(2)
     windows = packing.plan([int(rng.lognormvariate(6.5, 1)) + 1 for _ in range(3000)])
