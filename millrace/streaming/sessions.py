@@ -3,8 +3,9 @@
 Spark's own session windows come out once, when the watermark has passed them. Here every batch shows the sessions as they are so far:
 a late row may lengthen a session or join two, so a batch retracts the sessions that it changes and adds what they became.
 
-Open sessions are a versioned table. A batch is first reduced to its own sessions, which are then merged with the open ones of their keys;
-a key has few of either, whatever its rows. Sums travel as limbs, so totals equal those of the whole table to the last bit. A session that
+Open sessions are a versioned table. A batch is first reduced to its own sessions, which are then laid beside the open ones in one pass over both:
+a session that touches no other is as it was, or new; only those that touch are aggregated, and they are what the batch changes. A key has
+few sessions, whatever its rows. Sums travel as limbs, so totals equal those of the whole table to the last bit. A session that
 the watermark (latest time seen less ``delay``) has passed is closed: it is handed out for good and leaves the state. Rows that
 are late by more are counted and left out.
 """
@@ -24,20 +25,27 @@ from millrace.sources.versions import VersionedTable
 SUMS = [f"total_{i}" for i in range(LIMBS + 1)]
 
 
-def _merged(pieces: DataFrame) -> DataFrame:
-    """Sessions from pieces (key, start, last, actions, sums), of which those of a key that touch are one."""
+def _laid_out(pieces: DataFrame) -> DataFrame:
+    """Sessions (key, start, last, actions, sums), with the number of their group (those of a key that touch) and of its members."""
     by = Window.partitionBy("key").orderBy("start", "last")
     reached = F.max("last").over(by.rowsBetween(Window.unboundedPreceding, -1))
     apart = F.when(F.col("start") <= reached + F.col("gap"), 0).otherwise(1)  # as Spark's: a gap of just this length does not part
     numbered = pieces.withColumn("_new", apart).withColumn("_nth", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("key", "_nth").agg(F.min("start").alias("start"), F.max("last").alias("last"), F.sum("actions").alias("actions"),
-                                               *[F.sum(c).alias(c) for c in SUMS], F.first("gap").alias("gap")).drop("_nth")
+    # alone: this one opens a group, and so does the next of its key
+    alone = (F.col("_new") == 1) & (F.coalesce(F.lead("_new").over(by), F.lit(1)) == 1)
+    return numbered.withColumn("_alone", alone).drop("_new")
 
 
-def shown(sessions: DataFrame) -> DataFrame:
-    """window_start, window_end, key, actions, total_value."""
+def _joined(pieces: DataFrame) -> DataFrame:
+    """One session of each group."""
+    return pieces.groupBy("key", "_nth").agg(F.min("start").alias("start"), F.max("last").alias("last"), F.sum("actions").alias("actions"),
+                                             *[F.sum(c).alias(c) for c in SUMS], F.first("gap").alias("gap")).drop("_nth")
+
+
+def shown(sessions: DataFrame, *also: str) -> DataFrame:
+    """window_start, window_end, key, actions, total_value and the columns ``also``."""
     return sessions.select(F.col("start").alias("window_start"), (F.col("last") + F.col("gap")).alias("window_end"), "key", "actions",
-                           fold([F.col(c) for c in SUMS]).alias("total_value"))
+                           fold([F.col(c) for c in SUMS]).alias("total_value"), *also)
 
 
 class Sessions:
@@ -70,18 +78,16 @@ class Sessions:
         at = F.col(self.ts).cast("timestamp_ntz")
         late = F.lit(False) if before is None else at < F.lit(before)
         facts = batch.agg(F.max(at).alias("seen"), F.coalesce(F.count_if(late), F.lit(0)).alias("late")).first()
-        pieces = stage(self._pieces(batch.where(~late | at.isNull())), "pieces")
+        pieces = self._pieces(batch.where(~late | at.isNull())).withColumn("_old", F.lit(False))
         seen = max([x for x in (facts["seen"], state["seen"] and datetime.fromisoformat(state["seen"])) if x], default=None)
-        old = self.open.read() if entry else pieces.limit(0)
-        touched = pieces.select(F.col("key").alias("_k")).distinct()
-        hit = old.join(touched, F.col("key").eqNullSafe(F.col("_k")), "left_semi")
-        merged = stage(_merged(hit.unionByName(pieces)), "merged")
+        if entry:
+            pieces = pieces.unionByName(self.open.read().withColumn("_old", F.lit(True)))
+        laid = stage(_laid_out(pieces), "laid")
         same = ["key", "start", "last", "actions", *SUMS, "gap"]
-        gone = hit.select(*same).exceptAll(merged.select(*same))
-        fresh = merged.select(*same).exceptAll(hit.select(*same))
-        changes = shown(gone).withColumn("op", F.lit("-")).unionByName(shown(fresh).withColumn("op", F.lit("+")))
-        changes.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
-        rest = old.join(touched, F.col("key").eqNullSafe(F.col("_k")), "left_anti").select(*same).unionByName(merged.select(*same))
+        joined = stage(_joined(laid.where("NOT _alone")).select(*same), "joined")
+        moved = laid.where("_old <> _alone").select(*same, F.when(F.col("_old"), "-").otherwise("+").alias("op"))  # old ones that touch others, new ones that don't
+        shown(moved.unionByName(joined.withColumn("op", F.lit("+"))), "op").write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+        rest = laid.where("_alone").select(*same).unionByName(joined)
         done = F.lit(False) if seen is None else F.col("last") + F.col("gap") < F.lit(seen - self.delay)
         shown(rest.where(done)).write.mode("overwrite").parquet(f"{self.path}/closed/batch_id={batch_id}")
         mark = {"batch": batch_id, "seen": seen and seen.isoformat(), "late": state["late"] + facts["late"]}

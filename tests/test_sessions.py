@@ -1,7 +1,9 @@
 """Sessions on a stream: late rows that join two, closing, rows that are too late, replays."""
 
+import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.sums import exact_sum
@@ -52,3 +54,21 @@ def test_sessions_close_behind_the_watermark(spark):
     assert kept.late_rows() == 1 and rows(kept.current(), "key", "actions") == [("a", 1), ("b", 2), ("c", 1)]
     kept.write(batch(spark), 3)
     assert kept.current().count() == 3
+
+
+def test_a_batch_passes_the_open_sessions_once(spark, monkeypatch):
+    """Random batches without joins or differences of whole sessions; the changes leave what one batch of all rows gives."""
+    rng = random.Random(3)
+    data = [[(rng.choice("abcde"), rng.randrange(3000), rng.uniform(-9, 9)) for _ in range(60)] for _ in range(3)]
+    kept, whole = (sessions.Sessions(spark, scratch_path(spark, "s"), "user", "ts", "value", delay=timedelta(days=30)) for _ in range(2))
+    whole.write(batch(spark, *[r for b in data for r in b]), 0)
+    for name in ("join", "exceptAll"):
+        monkeypatch.setattr(type(spark.range(1)), name, lambda *a, **k: pytest.fail("passes the open sessions again"))
+    for i, b in enumerate(data):
+        kept.write(batch(spark, *b), i)
+    monkeypatch.undo()
+    by = ["key", "window_start", "window_end", "actions", "total_value"]
+    assert rows(kept.current(), *by) == rows(whole.current(), *by)
+    net = kept.changes().groupBy(*by).agg(F.sum(F.when(F.col("op") == "+", 1).otherwise(-1)).alias("n"))
+    assert rows(net.where("n <> 0"), *by, "n") == [(*r, 1) for r in rows(whole.current(), *by)]
+    assert kept.changes().where("op = '-'").count() > 0
