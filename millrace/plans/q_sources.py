@@ -1,5 +1,6 @@
 """Queries for sources, sinks, upserts, dimensions, streams, functions, ML and graph."""
 
+import math
 import uuid
 from datetime import datetime, timedelta
 
@@ -658,11 +659,17 @@ SELECT CAST(user_id AS VARCHAR) AS key, min(ts) AS window_start, max(ts) + INTER
 FROM s GROUP BY user_id, session_no"""
 
 
+#: Rows of a file that a stream reads, about: one task reads a file.
+FILE_ROWS = 250_000
+
+
 def _streamed_sessions(t):
-    """Events in four files without any order of time, so that later batches lengthen and join sessions of earlier ones."""
+    """Events in four batches without any order of time, so that later batches lengthen and join sessions of earlier ones. The files of a batch follow its rows."""
     path = scratch_path(t.spark, "files")
-    t.events.select("event_id", "user_id", "ts", "value").repartition(4, "event_id").write.parquet(path)
-    source = t.spark.readStream.schema("event_id bigint, user_id bigint, ts timestamp_ntz, value double").option("maxFilesPerTrigger", 1).parquet(path)
+    events = t.events.select("event_id", "user_id", "ts", "value")
+    files = max(1, math.ceil(events.count() / (4 * FILE_ROWS)))
+    events.repartition(4 * files, "event_id").write.parquet(path)
+    source = t.spark.readStream.schema("event_id bigint, user_id bigint, ts timestamp_ntz, value double").option("maxFilesPerTrigger", files).parquet(path)
     kept = sessions.Sessions(t.spark, scratch_path(t.spark, "sessions"), "user_id", "ts", "value", delay=timedelta(days=3650))
     st.start_query(source, scratch_path(t.spark, "offsets"), "append", write=kept.write).awaitTermination()
     return kept

@@ -5,7 +5,8 @@ a late row may lengthen a session or join two, so a batch retracts the sessions
 
 Open sessions are a versioned table. A batch is first reduced to its own sessions, which are then laid beside the open ones in one pass over both:
 a session that touches no other is as it was, or new; only those that touch are aggregated, and they are what the batch changes. A key has
-few sessions, whatever its rows. Sums travel as limbs, so totals equal those of the whole table to the last bit. A session that
+few sessions, whatever its rows. Sums travel as limbs, so totals equal those of the whole table to the last bit; they are folded once per
+session made, and the total stays beside its sums until the session changes. A session that
 the watermark (latest time seen less ``delay``) has passed is closed: it is handed out for good and leaves the state. Rows that
 are late by more are counted and left out.
 """
@@ -15,7 +16,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.sums import LIMBS, fold, partial_sums
@@ -25,6 +26,10 @@ from millrace.sources.versions import VersionedTable
 SUMS = [f"total_{i}" for i in range(LIMBS + 1)]
 
 
+def _total() -> Column:
+    return fold([F.col(c) for c in SUMS])
+
+
 def _laid_out(pieces: DataFrame) -> DataFrame:
     """Sessions (key, start, last, actions, sums), with the number of their group (those of a key that touch) and of its members."""
     by = Window.partitionBy("key").orderBy("start", "last")
@@ -33,19 +38,20 @@ def _laid_out(pieces: DataFrame) -> DataFrame:
     numbered = pieces.withColumn("_new", apart).withColumn("_nth", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     # alone: this one opens a group, and so does the next of its key
     alone = (F.col("_new") == 1) & (F.coalesce(F.lead("_new").over(by), F.lit(1)) == 1)
-    return numbered.withColumn("_alone", alone).drop("_new")
+    laid = numbered.withColumn("_alone", alone).drop("_new")
+    return laid.withColumn("total", F.coalesce("total", F.when(F.col("_alone"), _total())))  # those that touch get theirs when joined
 
 
 def _joined(pieces: DataFrame) -> DataFrame:
     """One session of each group."""
     return pieces.groupBy("key", "_nth").agg(F.min("start").alias("start"), F.max("last").alias("last"), F.sum("actions").alias("actions"),
-                                             *[F.sum(c).alias(c) for c in SUMS], F.first("gap").alias("gap")).drop("_nth")
+                                             *[F.sum(c).alias(c) for c in SUMS], F.first("gap").alias("gap")).drop("_nth").withColumn("total", _total())
 
 
 def shown(sessions: DataFrame, *also: str) -> DataFrame:
     """window_start, window_end, key, actions, total_value and the columns ``also``."""
     return sessions.select(F.col("start").alias("window_start"), (F.col("last") + F.col("gap")).alias("window_end"), "key", "actions",
-                           fold([F.col(c) for c in SUMS]).alias("total_value"), *also)
+                           F.col("total").alias("total_value"), *also)
 
 
 class Sessions:
@@ -65,7 +71,9 @@ class Sessions:
         rows = batch.select(F.col(self.key).cast("string").alias("key"), F.col(self.ts).cast("timestamp_ntz").alias("at"), F.col(self.value).alias("value"))
         rows = rows.where("at IS NOT NULL").withColumn("t", F.col("at"))
         out = rows.groupBy(F.session_window("t", f"{int(self.gap.total_seconds())} seconds"), "key").agg(
-            F.min("at").alias("start"), F.max("at").alias("last"), F.count(F.lit(1)).alias("actions"), *partial_sums("value", "total"))
+            F.min("at").alias("start"), F.max("at").alias("last"), F.count(F.lit(1)).alias("actions"), *partial_sums("value", "total"),
+            # one row's sum is its value; adding zero makes -0.0 a 0.0, as fold does
+            F.when(F.count(F.lit(1)) == 1, F.max(F.col("value").cast("double")) + 0.0).alias("total"))
         return out.drop("session_window").withColumn("gap", gap)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
@@ -83,7 +91,7 @@ class Sessions:
         if entry:
             pieces = pieces.unionByName(self.open.read().withColumn("_old", F.lit(True)))
         laid = stage(_laid_out(pieces), "laid")
-        same = ["key", "start", "last", "actions", *SUMS, "gap"]
+        same = ["key", "start", "last", "actions", *SUMS, "gap", "total"]
         joined = stage(_joined(laid.where("NOT _alone")).select(*same), "joined")
         moved = laid.where("_old <> _alone").select(*same, F.when(F.col("_old"), "-").otherwise("+").alias("op"))  # old ones that touch others, new ones that don't
         shown(moved.unionByName(joined.withColumn("op", F.lit("+"))), "op").write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")

@@ -2,11 +2,13 @@
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.sums import exact_sum
+from millrace.plans import q_sources
 from millrace.session import scratch_path
 from millrace.streaming import sessions
 from tests.conftest import rows
@@ -72,3 +74,36 @@ def test_a_batch_passes_the_open_sessions_once(spark, monkeypatch):
     net = kept.changes().groupBy(*by).agg(F.sum(F.when(F.col("op") == "+", 1).otherwise(-1)).alias("n"))
     assert rows(net.where("n <> 0"), *by, "n") == [(*r, 1) for r in rows(whole.current(), *by)]
     assert kept.changes().where("op = '-'").count() > 0
+
+
+def test_totals_are_folded_once(spark, monkeypatch):
+    """A session's total is made with it: showing sessions folds nothing, and one row's total is what its fold gives."""
+    kept = sessions.Sessions(spark, scratch_path(spark, "s"), "user", "ts", "value", delay=timedelta(days=30))
+    odd = [0.1, -0.0, 1e-40, 5e-324, -1e-40, 1e35, -1e35, float("inf"), float("-inf"), float("nan"), None, 2.0**101, 29.27]
+    first = batch(spark, *[(f"{i}", i, v) for i, v in enumerate(odd)], ("m", 0, 0.1), ("m", 1, 0.2), ("m", 2, 1e17), ("m", 500, 7.0), ("n", 0, None), ("n", 1, None))
+    late = batch(spark, ("0", 10, 0.2), ("1", 900, 3.0), ("10", 15, -0.0))
+    kept.write(first, 0)
+    kept.write(late, 1)
+    twin = first.unionByName(late).withColumn("t", F.col("ts").cast("timestamp")).groupBy(F.session_window("t", "30 minutes"), "user").agg(
+        F.col("session_window.start").cast("timestamp_ntz").alias("start"), F.count(F.lit(1)).alias("n"), exact_sum("value").alias("total")).drop("session_window")
+    expected = [tuple(map(repr, r)) for r in rows(twin.orderBy("user", "start").select("user", "start", "n", "total"))]
+    monkeypatch.setattr(sessions, "fold", lambda *a: pytest.fail("folds again"))
+    assert sorted(tuple(map(repr, r)) for r in rows(kept.current(), "key", "window_start", "actions", "total_value")) == sorted(expected)
+    net = kept.changes().groupBy("key", "window_start", "actions", F.col("total_value").cast("string")).agg(F.sum(F.when(F.col("op") == "+", 1).otherwise(-1)).alias("n"))
+    assert net.where("n = 1").count() == len(expected) and net.where("n NOT IN (0, 1)").count() == 0
+
+
+def test_the_files_of_a_batch_follow_the_rows(t, monkeypatch):
+    """One file was one batch and so one task, whatever its rows."""
+    paths = {}
+
+    def noted(spark, label):
+        paths[label] = scratch_path(spark, label)
+        return paths[label]
+
+    monkeypatch.setattr(q_sources, "scratch_path", noted)
+    monkeypatch.setattr(q_sources, "FILE_ROWS", t.events.count() // 12)
+    kept = q_sources._streamed_sessions(t)
+    assert len(list(Path(paths["files"]).glob("*.parquet"))) >= 12
+    assert rows(kept.changes().select("batch_id").distinct()) == [(0,), (1,), (2,), (3,)]
+    assert kept.current().agg(F.sum("actions")).first()[0] == t.events.count()
